@@ -25,7 +25,7 @@ DEFAULT_START = (2018, 1)
 
 
 def empty_months(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], S.MONTH_KEY_SCHEMA)
+    return spark.range(0).select(F.lit(None).cast("int").alias("ano"), F.lit(None).cast("int").alias("mes"))
 
 
 def month_range(spark: SparkSession, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:

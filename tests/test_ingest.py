@@ -1,0 +1,148 @@
+"""Ingest, consolidation and layout tests on the sf0.001 tables."""
+import datetime as dt
+import glob
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+import monthly_facts as mf
+from monthly_facts import schema as S
+from monthly_facts.sources import testdata as TD
+from tests.conftest import SF_SMALL, bronze_rows
+
+TODAY = dt.date(2102, 1, 15)
+START = (2000, 1)
+
+
+@pytest.fixture(scope="module")
+def landed(spark):
+    import tempfile
+    layout = mf.Layout(tempfile.mkdtemp(prefix="mf-ingest-"))
+    mf.land_bronze(TD.bronze_from_tables(spark, SF_SMALL), layout.bronze)
+    bronze = mf.read_bronze(spark, layout.bronze)
+    report = mf.run_monthly(spark, bronze, layout, TODAY, start=START,
+                            facility_labels=TD.facility_labels(spark, SF_SMALL),
+                            procedure_labels=TD.procedure_labels(spark, SF_SMALL))
+    return layout, bronze, report
+
+
+def totals(df):
+    r = df.agg(*[F.sum(m).alias(m) for m in S.MEASURES]).first()
+    return tuple(round(r[m], 2) if isinstance(r[m], float) else r[m] for m in S.MEASURES)
+
+
+def test_totals_equal_across_layers(spark, landed):
+    layout, bronze, report = landed
+    assert report.succeeded > 0 and report.failed > 0   # empty calendar months are reported
+    assert report.consolidated and report.dims_refreshed and not report.dim_errors
+    silver = mf.derive_silver(bronze).select(
+        *[F.col(m).cast("double" if m in S.VALUE_MEASURES else "bigint").alias(m) for m in S.MEASURES])
+    gold = mf.read_gold(spark, layout.gold)
+    cons = mf.read_consolidated(spark, layout.consolidated)
+    monthly = mf.monthly_totals(cons)
+    assert totals(silver) == totals(gold) == totals(cons) == totals(monthly)
+
+
+def test_gold_keys_unique(spark, landed):
+    gold = mf.read_gold(spark, landed[0].gold)
+    assert gold.count() == gold.select(*S.GOLD_KEYS).distinct().count()
+
+
+def test_second_run_changes_nothing(spark, landed):
+    layout, bronze, _ = landed
+    before = sorted(glob.glob(os.path.join(layout.gold, "*", "*", "*.parquet")))
+    report = mf.run_monthly(spark, bronze, layout, TODAY, start=START)
+    assert report.succeeded == 0 and not report.consolidated and not report.dims_refreshed
+    after = sorted(glob.glob(os.path.join(layout.gold, "*", "*", "*.parquet")))
+    assert before == after
+
+
+def test_months_together_equal_months_in_steps(spark, landed, workdir):
+    layout, bronze, _ = landed
+    steps = mf.Layout(workdir)
+    mf.run_monthly(spark, bronze, steps, TODAY, start=START, end=(2097, 6), skip_dims=True)
+    mf.run_monthly(spark, bronze, steps, TODAY, start=START, end=(2099, 1), skip_dims=True)
+    mf.run_monthly(spark, bronze, steps, TODAY, start=START, skip_dims=True)
+    a = mf.read_gold(spark, layout.gold).select(*S.GOLD_COLUMNS)
+    b = mf.read_gold(spark, steps.gold).select(*S.GOLD_COLUMNS)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_consolidated_is_ordered_by_date(spark, landed):
+    files = sorted(glob.glob(os.path.join(landed[0].consolidated, "part-*.parquet")))
+    dates = []
+    for f in files:
+        dates += pq.read_table(f, columns=["data_ref"]).column("data_ref").to_pylist()
+    assert dates == sorted(dates) and len(dates) > 0
+
+
+def test_consolidated_by_keys_zstd(spark, landed, workdir):
+    out = os.path.join(workdir, "cons")
+    mf.consolidate(spark, landed[0].gold, out, by="keys", compression="zstd")
+    files = sorted(glob.glob(os.path.join(out, "part-*.parquet")))
+    assert "ZSTD" in str(pq.ParquetFile(files[0]).metadata.row_group(0).column(0).compression).upper()
+    keys = []
+    for f in files:
+        t = pq.read_table(f, columns=["Ano", "data_ref"]).to_pylist()
+        keys += [(r["Ano"], r["data_ref"].month) for r in t]
+    assert keys == sorted(keys)
+
+
+def test_failed_month_is_isolated(spark, workdir):
+    layout = mf.Layout(workdir)
+    good = {"PA_CODUNI": "1", "PA_VALPRO": "1.00", "PA_VALAPR": "1.00", "PA_QTDPRO": "1", "PA_QTDAPR": "1"}
+    bad = dict(good, PA_VALPRO="x")
+    rows = [dict(good, arquivo_origem="PACE2401"), dict(bad, arquivo_origem="PACE2402"),
+            dict(good, arquivo_origem="PACE2403")]
+    mf.land_bronze(bronze_rows(spark, rows), layout.bronze)
+    report = mf.ingest(spark, mf.read_bronze(spark, layout.bronze), layout, dt.date(2024, 5, 10),
+                       start=(2024, 1))
+    status = {(r.ano, r.mes): r.status for r in report.log.collect()}
+    assert status == {(2024, 1): "ok", (2024, 2): "failed", (2024, 3): "ok"}
+    assert report.succeeded == 2 and report.failed == 1
+    again = mf.ingest(spark, mf.read_bronze(spark, layout.bronze), layout, dt.date(2024, 5, 10), start=(2024, 1))
+    assert [(r.ano, r.mes, r.status) for r in again.log.collect()] == [(2024, 2, "failed")]
+
+
+def test_keep_silver_resume(spark, landed, workdir):
+    layout, bronze, _ = landed
+    lay = mf.Layout(workdir)
+    mf.ingest(spark, bronze, lay, TODAY, start=START, keep_silver=True)
+    assert mf.path_exists(spark, lay.silver)
+    a = mf.read_gold(spark, layout.gold).select(*S.GOLD_COLUMNS)
+    b = mf.read_gold(spark, lay.gold).select(*S.GOLD_COLUMNS)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_read_gold_tree_and_bronze_tree(spark, workdir):
+    d = os.path.join(workdir, "gold", "ano=2024", "mes=01")
+    os.makedirs(d)
+    t = pa.table({"PA_CODUNI": ["1"], "Ano": pa.array([2024], pa.int32()), "Mes": ["January"],
+                  "data_ref": pa.array([dt.date(2024, 1, 1)]), "PA_MUNPCN": ["2"], "PA_PROC_ID": ["3"],
+                  "PA_VALPRO": [1.5], "PA_VALAPR": [1.0], "PA_QTDPRO": [2], "PA_QTDAPR": [1]})
+    pq.write_table(t, os.path.join(d, "dados.parquet"))
+    g = mf.read_gold_tree(spark, os.path.join(workdir, "gold"))
+    r = g.first()
+    assert (r.Mes, r.ref_ano, r.ref_mes) == ("January", 2024, 1)
+    assert [(x.ano, x.mes) for x in mf.landed_months(g).collect()] == [(2024, 1)]
+
+    src = os.path.join(workdir, "bronze", "PACE2402")
+    os.makedirs(src)
+    pq.write_table(pa.table({"PA_CODUNI": ["007"], "PA_VALPRO": ["2.50"], "OTHER": ["x"]}),
+                   os.path.join(src, "part-0.parquet"))
+    b = mf.read_bronze_tree(spark, os.path.join(workdir, "bronze"))
+    r = b.first()
+    assert (r.PA_CODUNI, r.arquivo_origem) == ("007", "PACE2402")
+    assert "OTHER" not in b.columns
+
+
+def test_label_table_latin1_csv(spark, workdir):
+    p = os.path.join(workdir, "labels.csv")
+    with open(p, "wb") as f:
+        f.write("CNES,FANTASIA\n0001,Hospital São José\n0001,Hospital São José\n".encode("latin-1"))
+    dim = mf.facility_dimension(mf.read_label_table(spark, p))
+    rows = dim.collect()
+    assert len(rows) == 1 and rows[0].label_estabelecimento == "0001 - Hospital São José"
