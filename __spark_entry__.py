@@ -262,6 +262,16 @@ def q_published_facility_dim(spark, d):
     return spark.read.parquet(layout.facility_dim)
 
 
+def q_stream_gold(spark, d):
+    """Gold produced by the file-source stream over the landed bronze."""
+    from monthly_facts.streaming import run_stream_once
+
+    layout = _ingested(spark, d)["layout"]
+    out = fresh_dir(spark, "stream")
+    run_stream_once(spark, layout.bronze, out + "/gold", out + "/checkpoint")
+    return _r2(mf.read_gold(spark, out + "/gold").select(*S.GOLD_COLUMNS))
+
+
 def q_dashboard_monthly(spark, d):
     t = mf.dashboard_tables(_gold(spark, d), _facility_dim(spark, d), _procedure_dim(spark, d),
                             anos=YEARS, municipios=MUNICIPALITIES)
@@ -300,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_months": q_landed_months,
     "consolidated": q_consolidated,
     "published_facility_dim": q_published_facility_dim,
+    "stream_gold": q_stream_gold,
     "dashboard_monthly": q_dashboard_monthly,
 }
 
@@ -407,6 +418,7 @@ _FINAL = {
                      "FROM monthly",
     "consolidated": "SELECT * FROM gold",
     "published_facility_dim": "SELECT * FROM facdim",
+    "stream_gold": "SELECT * FROM gold",
     "dashboard_monthly": "SELECT data_ref, round(sum(PA_VALPRO), 2) PA_VALPRO, round(sum(PA_VALAPR), 2) PA_VALAPR, "
                          "CAST(sum(PA_QTDPRO) AS BIGINT) PA_QTDPRO, CAST(sum(PA_QTDAPR) AS BIGINT) PA_QTDAPR "
                          "FROM gold WHERE Ano IN (2098, 2099) AND PA_MUNPCN IN ('1', '2', '15') GROUP BY data_ref",

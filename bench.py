@@ -99,6 +99,7 @@ def run_all(spark, sf_dir: str, layout) -> dict[str, float]:
         t = mf.dashboard_tables(gold, fdim, pdim, anos=[2098, 2099], procedure_labels=chosen)
         for df in t.values():
             df.collect()
+        t["monthly"].unpersist()
     q["dashboard"] = timed(dashboard, repeat=3)
 
     return q

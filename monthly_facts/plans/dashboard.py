@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from monthly_facts import schema as S
@@ -27,14 +28,23 @@ def dashboard_tables(
     municipios: Iterable[str] | None = None,
     facility_labels: Iterable[str] | None = None,
     procedure_labels: Iterable[str] | None = None,
+    persist: bool = True,
 ) -> dict[str, DataFrame]:
     """Monthly totals for the current filters and every chart table
-    derived from them."""
+    derived from them.
+
+    With ``persist`` the monthly result (one row per month) is kept in
+    executor memory after its first use, so the six derived tables do not
+    each rescan the facts; call ``monthly.unpersist()`` when done. A lost
+    executor only means the cached rows are recomputed from the plan.
+    """
     if procedure_dim is not None:
         facts = filter_by_labels(facts, procedure_dim, S.PROCEDURE, D.PROCEDURE_LABEL, procedure_labels)
     if facility_dim is not None:
         facts = filter_by_labels(facts, facility_dim, S.FACILITY, D.FACILITY_LABEL, facility_labels)
     monthly = monthly_totals(facts, anos=anos, meses=meses, municipios=municipios)
+    if persist:
+        monthly = monthly.persist(StorageLevel.MEMORY_AND_DISK)
     value_series = R.value_series(monthly)
     quantity_series = R.quantity_series(monthly)
     return {
