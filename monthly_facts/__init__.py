@@ -23,6 +23,7 @@ from monthly_facts.operators.incremental import (
     month_range,
     pending_months,
     source_files,
+    source_months,
     start_month,
     year_month_grid,
 )
@@ -42,6 +43,7 @@ from monthly_facts.operators.serve import (
     shape,
     to_list,
     to_records,
+    write_records,
     year_bounds,
     years,
 )

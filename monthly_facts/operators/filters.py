@@ -35,6 +35,11 @@ def _values(values) -> list | None:
     return list(values)
 
 
+# Above this many literals an IN list becomes a semi join against a small
+# DataFrame of the values (planned as a broadcast by its known size).
+MAX_IN_LIST = 5000
+
+
 def keep_members(df: DataFrame, column: str, values) -> DataFrame:
     """Rows whose ``column`` is in ``values`` (list or one-column DataFrame)."""
     if values is None:
@@ -45,6 +50,10 @@ def keep_members(df: DataFrame, column: str, values) -> DataFrame:
     vals = _values(values)
     if not vals:
         return df
+    if len(vals) > MAX_IN_LIST:
+        dtype = df.schema[column].dataType
+        allowed = df.sparkSession.createDataFrame([(v,) for v in set(vals)], f"{column} {dtype.simpleString()}")
+        return df.join(allowed, on=column, how="left_semi")
     return df.where(F.col(column).isin(vals))
 
 

@@ -15,7 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthly_facts import schema as S
-from monthly_facts.functions.months import add_months_py, month_start, source_file_name
+from monthly_facts.functions.months import (
+    add_months_py,
+    month_start,
+    source_file_name,
+    source_month_date,
+)
 from monthly_facts.operators.filters import up_to_month
 
 # Months a source month takes to be published, and the first
@@ -61,6 +66,21 @@ def landed_months(gold: DataFrame) -> DataFrame:
     return gold.select(*cols).where(F.col("ano").isNotNull() & F.col("mes").isNotNull()).distinct()
 
 
+def source_months(bronze: DataFrame) -> DataFrame:
+    """Distinct (ano, mes) named by the source files of a bronze table.
+
+    Only the source-name column is read; on a landed bronze that is the
+    partition column, so the scan touches file footers only.
+    """
+    d = source_month_date(S.SOURCE_COL)
+    return (
+        bronze.select(S.SOURCE_COL).distinct()
+        .select(F.year(d).cast("int").alias("ano"), F.month(d).cast("int").alias("mes"))
+        .where(F.col("ano").isNotNull())
+        .distinct()
+    )
+
+
 def pending_months(available: DataFrame, landed: DataFrame,
                    end: tuple[int, int] | None = None) -> DataFrame:
     """Available months not yet landed, optionally capped at ``end``.

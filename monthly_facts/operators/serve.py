@@ -97,3 +97,8 @@ def to_list(df: DataFrame, column: str | None = None) -> list:
     """One column as a Python list; for small final answers only."""
     column = column or df.columns[0]
     return [r[0] for r in df.select(column).collect()]
+
+
+def write_records(df: DataFrame, path: str) -> None:
+    """Write a result as JSON lines (one record per row), ISO dates."""
+    df.write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").json(path)

@@ -2,6 +2,9 @@
 
 1. Months that should exist (calendar from a start month to today minus the
    publication lag) anti-join months already landed in gold -> pending.
+   Pending months are flagged by whether any bronze source names them (a
+   scan of the source-name partition column only); months without sources
+   are reported ``no_data`` without launching a job.
 2. Bronze rows of all pending months -> silver -> gold rollup, written as
    month partitions with dynamic overwrite, in **one** Spark job. The bronze
    filter is on the month parsed from the source name, i.e. on the bronze
@@ -35,6 +38,7 @@ from monthly_facts.operators.incremental import (
     empty_months,
     landed_months,
     pending_months,
+    source_months,
     start_month,
 )
 from monthly_facts.operators.silver import derive_silver, silver_for_months
@@ -121,10 +125,18 @@ def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.da
            keep_silver: bool = False) -> RunReport:
     """Land every pending month from ``bronze`` into ``layout.gold``."""
     pending = plan_months(spark, layout, today, start, end, after_latest, lag)
-    months = [(r["ano"], r["mes"]) for r in pending.collect()]
-    rows: list[tuple] = []
+    flagged = pending.join(
+        source_months(bronze).withColumn("has_source", F.lit(True)), ["ano", "mes"], "left"
+    ).orderBy("ano", "mes")
+    plan = [(r["ano"], r["mes"], bool(r["has_source"])) for r in flagged.collect()]
+    months = [(a, m) for a, m, has in plan if has]
+    if keep_silver and path_exists(spark, layout.silver):
+        # Months whose silver survived an earlier failure can land without bronze.
+        kept = {(r["ano"], r["mes"]) for r in landed_months(spark.read.parquet(layout.silver)).collect()}
+        months = [(a, m) for a, m, has in plan if has or (a, m) in kept]
+    errors: dict[tuple[int, int], str] = {}
+    landed_now: set[tuple[int, int]] = set()
     if months:
-        errors: dict[tuple[int, int], str] = {}
         try:
             _land(spark, bronze, layout, months, keep_silver)
         except Exception:  # noqa: BLE001 - isolate the failing month(s) below
@@ -134,13 +146,14 @@ def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.da
                 except Exception as e:  # noqa: BLE001 - reported in the run log
                     errors[m] = str(e).strip().splitlines()[0][:500] if str(e).strip() else type(e).__name__
         landed_now = {(r["ano"], r["mes"]) for r in existing_months(spark, layout).collect()}
-        for m in months:
-            if m in errors:
-                rows.append((m[0], m[1], FAILED, errors[m]))
-            elif m in landed_now:
-                rows.append((m[0], m[1], OK, None))
-            else:
-                rows.append((m[0], m[1], NO_DATA, "no source rows for this month"))
+    rows: list[tuple] = []
+    for a, m, _ in plan:
+        if (a, m) in errors:
+            rows.append((a, m, FAILED, errors[(a, m)]))
+        elif (a, m) in landed_now:
+            rows.append((a, m, OK, None))
+        else:
+            rows.append((a, m, NO_DATA, "no source rows for this month"))
     log = spark.createDataFrame(rows, RUN_LOG_SCHEMA)
     ok = sum(1 for r in rows if r[2] == OK)
     return RunReport(log=log, succeeded=ok, failed=len(rows) - ok)

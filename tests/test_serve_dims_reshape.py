@@ -92,3 +92,22 @@ def test_dashboard_tables(spark):
     t = mf.dashboard_tables(g, procedure_dim=pdim, procedure_labels=["b - Proc B"])
     assert [r.PA_VALPRO for r in t["monthly"].collect()] == [3.0, 4.0]
     assert set(t) >= {"yearly_values", "yearly_quantities", "value_series", "quantity_series", "value_mean", "quantity_mean"}
+
+
+def test_large_filter_list_uses_semi_join(spark):
+    from monthly_facts.operators import filters
+    g = gold(spark)
+    codes = [str(i) for i in range(filters.MAX_IN_LIST + 10)]
+    out = mf.monthly_totals(g, estabelecimentos=codes)
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 3
+
+
+def test_write_records(spark, workdir):
+    import json
+    import glob
+    import os
+    out = os.path.join(workdir, "monthly_json")
+    mf.write_records(mf.monthly_totals(gold(spark)), out)
+    recs = [json.loads(line) for f in glob.glob(os.path.join(out, "part-*")) for line in open(f)]
+    assert sorted(r["data_ref"] for r in recs) == ["2023-12-01", "2024-01-01", "2024-03-01"]
