@@ -61,6 +61,7 @@ from monthly_facts.sources.tables import (
     read_gold_tree,
     read_label_table,
     write_month_partitions,
+    write_silver,
     write_table,
 )
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 # Source file names are <group:2 letters><state:2 letters><yy><mm>,
 # optionally followed by a split-file suffix (e.g. PACE2401, PACE2401a).
-SOURCE_NAME_PATTERN = r"^([A-Z]{2})([A-Z]{2})(\d{2})(\d{2})"
+SOURCE_NAME_PATTERN = r"^([A-Za-z]{2})([A-Za-z]{2})(\d{2})(\d{2})"
 # The century is fixed to 20 for the two-digit year in the name.
 CENTURY_PREFIX = "20"
 # Months are rendered by their English name, e.g. January.

@@ -8,7 +8,17 @@ from pyspark.sql import functions as F
 from monthly_facts import schema as S
 
 
-def rollup(silver: DataFrame) -> DataFrame:
+def quantity(col: str, round_fractions: bool = False):
+    """A quantity read as bigint. Strict by default (``'12.5'`` fails the job);
+    with ``round_fractions`` a fractional text is rounded half away from
+    zero first (``'12.5'`` -> 13), as a SQL engine's text-to-bigint cast
+    may do."""
+    if not round_fractions:
+        return F.col(col).cast("bigint")
+    return F.round(F.col(col).cast("decimal(38,6)"), 0).cast("bigint")
+
+
+def rollup(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
     """Sum the four measures per (facility, Ano, Mes, data_ref, municipality,
     procedure).
 
@@ -22,7 +32,7 @@ def rollup(silver: DataFrame) -> DataFrame:
     partial row per map task, not its raw rows.
     """
     aggs = [F.sum(F.col(m).cast("double")).alias(m) for m in S.VALUE_MEASURES] + [
-        F.sum(F.col(m).cast("bigint")).alias(m) for m in S.QUANTITY_MEASURES
+        F.sum(quantity(m, round_quantities)).alias(m) for m in S.QUANTITY_MEASURES
     ]
     return silver.groupBy(*S.GOLD_KEYS).agg(*aggs).select(*S.GOLD_COLUMNS)
 

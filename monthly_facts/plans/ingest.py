@@ -47,6 +47,7 @@ from monthly_facts.sources.tables import (
     path_exists,
     read_gold,
     write_month_partitions,
+    write_silver,
     write_table,
 )
 
@@ -106,7 +107,7 @@ def _silver_source(spark: SparkSession, bronze: DataFrame, layout: Layout,
     todo = [m for m in months if m not in have]
     if todo:
         fresh = silver_for_months(derive_silver(bronze), todo)
-        write_month_partitions(fresh, layout.silver, sort_keys=[], rebalance=False)
+        write_silver(fresh, layout.silver)
     silver = spark.read.parquet(layout.silver)
     silver = silver.where(F.struct(S.PART_YEAR, S.PART_MONTH).isin(
         [F.struct(F.lit(a), F.lit(m)) for a, m in months]))
@@ -114,15 +115,15 @@ def _silver_source(spark: SparkSession, bronze: DataFrame, layout: Layout,
 
 
 def _land(spark: SparkSession, bronze: DataFrame, layout: Layout,
-          months: list[tuple[int, int]], keep_silver: bool) -> None:
+          months: list[tuple[int, int]], keep_silver: bool, round_quantities: bool = False) -> None:
     silver = _silver_source(spark, bronze, layout, months, keep_silver)
-    write_month_partitions(rollup(silver), layout.gold)
+    write_month_partitions(rollup(silver, round_quantities), layout.gold)
 
 
 def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.date,
            start: tuple[int, int] | None = None, end: tuple[int, int] | None = None,
            after_latest: bool = False, lag: int = PUBLICATION_LAG_MONTHS,
-           keep_silver: bool = False) -> RunReport:
+           keep_silver: bool = False, round_quantities: bool = False) -> RunReport:
     """Land every pending month from ``bronze`` into ``layout.gold``."""
     pending = plan_months(spark, layout, today, start, end, after_latest, lag)
     flagged = pending.join(
@@ -138,11 +139,11 @@ def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.da
     landed_now: set[tuple[int, int]] = set()
     if months:
         try:
-            _land(spark, bronze, layout, months, keep_silver)
+            _land(spark, bronze, layout, months, keep_silver, round_quantities)
         except Exception:  # noqa: BLE001 - isolate the failing month(s) below
             for m in months:
                 try:
-                    _land(spark, bronze, layout, [m], keep_silver)
+                    _land(spark, bronze, layout, [m], keep_silver, round_quantities)
                 except Exception as e:  # noqa: BLE001 - reported in the run log
                     errors[m] = str(e).strip().splitlines()[0][:500] if str(e).strip() else type(e).__name__
         landed_now = {(r["ano"], r["mes"]) for r in existing_months(spark, layout).collect()}
@@ -203,13 +204,14 @@ def run_monthly(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _
                 after_latest: bool = False, facility_labels: DataFrame | None = None,
                 procedure_labels: DataFrame | None = None, force_consolidate: bool = False,
                 skip_dims: bool = False, keep_silver: bool = False,
-                lag: int = PUBLICATION_LAG_MONTHS) -> RunReport:
+                lag: int = PUBLICATION_LAG_MONTHS, round_quantities: bool = False) -> RunReport:
     """Ingest pending months, then consolidate and refresh dimensions when
     needed: consolidate if the consolidated table is absent, any month
     landed, or ``force_consolidate``; refresh dimensions (unless skipped) if
     any month landed or the consolidated table was absent."""
     had_consolidated = consolidated_exists(spark, layout)
-    report = ingest(spark, bronze, layout, today, start, end, after_latest, lag, keep_silver)
+    report = ingest(spark, bronze, layout, today, start, end, after_latest, lag, keep_silver,
+                    round_quantities)
     if (not had_consolidated or report.succeeded > 0 or force_consolidate) and gold_exists(spark, layout):
         consolidate(spark, layout.gold, layout.consolidated)
         report.consolidated = True

@@ -48,10 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
     place every executor can read.
     """
     d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="monthly-facts-")
+    if d:
+        return d
+    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="monthly-facts-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
 

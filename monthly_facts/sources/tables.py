@@ -165,6 +165,16 @@ def write_month_partitions(df: DataFrame, path: str, sort_keys: list[str] | None
     )
 
 
+def write_silver(silver: DataFrame, path: str, rebalance: bool = False) -> None:
+    """Silver as a month-partitioned Parquet table (snappy, dictionary pages).
+
+    Silver derived from a bronze landed per source file already has one month
+    per task, so no shuffle is added unless ``rebalance`` is asked for (input
+    whose tasks mix many months).
+    """
+    write_month_partitions(silver, path, sort_keys=[], rebalance=rebalance)
+
+
 def write_table(df: DataFrame, path: str, compression: str = "snappy") -> None:
     """Overwrite a whole (unpartitioned) table."""
     df.write.mode("overwrite").option("compression", compression).parquet(path)

@@ -10,7 +10,8 @@ from monthly_facts.functions import (
 
 def test_source_name_parsing(spark):
     df = spark.createDataFrame(
-        [("PACE2401",), ("PACE2413",), ("PACEXXYY",), ("PACE2401a",), ("PASP1812",), (None,)], "n string")
+        [("PACE2401",), ("PACE2413",), ("PACEXXYY",), ("PACE2401a",), ("PASP1812",), (None,),
+         ("pace2402",), ("202401",)], "n string")
     rows = df.select("n", source_month_date("n").alias("d"), source_state("n").alias("uf")).collect()
     got = {r.n: (r.d, r.uf) for r in rows}
     assert got["PACE2401"] == (dt.date(2024, 1, 1), "CE")
@@ -19,6 +20,8 @@ def test_source_name_parsing(spark):
     assert got["PACE2401a"][0] == dt.date(2024, 1, 1)  # split-file suffix
     assert got["PASP1812"] == (dt.date(2018, 12, 1), "SP")
     assert got[None][0] is None
+    assert got["pace2402"] == (dt.date(2024, 2, 1), "ce")  # letters of either case
+    assert got["202401"][0] is None                        # a bare yyyymm folder is not a source name
 
 
 def test_month_name_is_english_full_name(spark):

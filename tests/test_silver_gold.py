@@ -79,3 +79,11 @@ def test_align(spark):
     assert out.collect()[0][0] == 1 and out.columns == ["PA_QTDPRO"]
     with pytest.raises(ValueError):
         S.align(df, T.StructType([T.StructField("nope", T.LongType())]))
+
+
+def test_fractional_quantity_strict_or_rounded(spark):
+    b = bronze_rows(spark, [{"PA_CODUNI": "1", "PA_QTDPRO": "12.5", "PA_QTDAPR": "-2.5", "arquivo_origem": "PACE2401"}])
+    with pytest.raises(PySparkException):
+        mf.rollup(mf.derive_silver(b)).collect()
+    r = mf.rollup(mf.derive_silver(b), round_quantities=True).first()
+    assert (r.PA_QTDPRO, r.PA_QTDAPR) == (13, -3)
