@@ -54,6 +54,7 @@ from monthly_facts.sources.bronze import land_bronze, read_bronze, read_bronze_t
 from monthly_facts.sources.tables import (
     Layout,
     configure_object_store,
+    migrate_gold_tree,
     path_exists,
     read_consolidated,
     read_dimension,

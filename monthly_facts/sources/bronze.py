@@ -54,21 +54,27 @@ def read_bronze_tree(spark: SparkSession, path: str, fmt: str = "parquet",
     return df.select(*cols, parent.alias(S.SOURCE_COL))
 
 
-def land_bronze(extracts: DataFrame, path: str, mode: str = "overwrite") -> None:
+def land_bronze(extracts: DataFrame, path: str, mode: str = "overwrite",
+                rebalance: bool = True) -> None:
     """Write decoded extracts (which carry ``arquivo_origem``) as a bronze
     table partitioned by source name.
 
     Overwrite is dynamic: only the source names present in ``extracts`` are
-    replaced, so landing one month never touches the others. Rows are
-    rebalanced on the source name first; Spark's adaptive execution splits an
-    oversized source across several tasks instead of giving it one.
+    replaced, so landing one month never touches the others. By default rows
+    are rebalanced on the source name first, so each task writes one source
+    and adaptive execution splits an oversized source across several tasks;
+    without it every task would write a file into every source it touches.
+    Pass ``rebalance=False`` when each input file already holds one source
+    (e.g. ``read_bronze_tree``), which saves a full shuffle of the extracts.
     """
     if S.SOURCE_COL not in extracts.columns:
         raise ValueError(f"extracts need a {S.SOURCE_COL!r} column")
     cols = [F.col(c).cast("string").alias(c) for c in S.COLUMNS_OF_INTEREST if c in extracts.columns]
+    out = extracts.select(*cols, F.col(S.SOURCE_COL))
+    if rebalance:
+        out = out.hint("rebalance", S.SOURCE_COL)
     (
-        extracts.select(*cols, F.col(S.SOURCE_COL))
-        .hint("rebalance", S.SOURCE_COL)
+        out
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")

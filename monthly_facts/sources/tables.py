@@ -100,10 +100,12 @@ def read_gold_tree(spark: SparkSession, path: str) -> DataFrame:
 
     Partition inference is disabled (a path column ``mes`` would replace the
     month-name column ``Mes``); the month is parsed from each file's path.
+    Columns are cast to the gold schema (quantity sums written as DOUBLE
+    come back as bigint).
     """
     df = spark.read.option("recursiveFileLookup", "true").parquet(path)
     fp = F.col("_metadata.file_path")
-    return df.select(
+    return S.align(df, S.GOLD_SCHEMA).select(
         *S.GOLD_COLUMNS,
         partition_value(fp, "ano").alias(S.PART_YEAR),
         partition_value(fp, "mes").alias(S.PART_MONTH),
@@ -111,7 +113,16 @@ def read_gold_tree(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_consolidated(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*S.GOLD_COLUMNS)
+    """The consolidated table (a directory or a single file), cast to the
+    gold schema."""
+    return S.align(spark.read.parquet(path), S.GOLD_SCHEMA)
+
+
+def migrate_gold_tree(spark: SparkSession, tree_path: str, gold_path: str) -> None:
+    """Copy a month tree ``ano=YYYY/mes=MM/`` into this library's gold layout
+    (one job; months are taken from the file paths)."""
+    tree = read_gold_tree(spark, tree_path)
+    write_month_partitions(tree.select(*S.GOLD_COLUMNS), gold_path)
 
 
 def read_dimension(spark: SparkSession, path: str, key: str, label: str) -> DataFrame:

@@ -120,14 +120,21 @@ def test_keep_silver_resume(spark, landed, workdir):
 def test_read_gold_tree_and_bronze_tree(spark, workdir):
     d = os.path.join(workdir, "gold", "ano=2024", "mes=01")
     os.makedirs(d)
+    # Quantity sums stored as DOUBLE, as the source pipeline's writer does.
     t = pa.table({"PA_CODUNI": ["1"], "Ano": pa.array([2024], pa.int32()), "Mes": ["January"],
                   "data_ref": pa.array([dt.date(2024, 1, 1)]), "PA_MUNPCN": ["2"], "PA_PROC_ID": ["3"],
-                  "PA_VALPRO": [1.5], "PA_VALAPR": [1.0], "PA_QTDPRO": [2], "PA_QTDAPR": [1]})
+                  "PA_VALPRO": [1.5], "PA_VALAPR": [1.0], "PA_QTDPRO": [2.0], "PA_QTDAPR": [1.0]})
     pq.write_table(t, os.path.join(d, "dados.parquet"))
+    d2 = os.path.join(workdir, "gold", "ano=2024", "mes=02")
+    os.makedirs(d2)
+    pq.write_table(t.set_column(3, "data_ref", pa.array([dt.date(2024, 2, 1)])), os.path.join(d2, "dados.parquet"))
     g = mf.read_gold_tree(spark, os.path.join(workdir, "gold"))
-    r = g.first()
-    assert (r.Mes, r.ref_ano, r.ref_mes) == ("January", 2024, 1)
-    assert [(x.ano, x.mes) for x in mf.landed_months(g).collect()] == [(2024, 1)]
+    r = g.where("ref_mes = 1").first()
+    assert (r.Mes, r.ref_ano, r.ref_mes, r.PA_QTDPRO) == ("January", 2024, 1, 2)
+    assert sorted((x.ano, x.mes) for x in mf.landed_months(g).collect()) == [(2024, 1), (2024, 2)]
+    mf.migrate_gold_tree(spark, os.path.join(workdir, "gold"), os.path.join(workdir, "ours"))
+    ours = mf.read_gold(spark, os.path.join(workdir, "ours"))
+    assert ours.count() == 2 and dict(ours.dtypes)["PA_QTDPRO"] == "bigint"
 
     src = os.path.join(workdir, "bronze", "PACE2402")
     os.makedirs(src)
