@@ -151,6 +151,16 @@ def q_monthly_totals_filtered(spark, d):
                                  municipios=MUNICIPALITIES, measures=["PA_VALPRO", "PA_QTDPRO"]))
 
 
+def q_monthly_totals_by_codes(spark, d):
+    procs = [str(i) for i in range(1, 400, 3)]
+    return _r2(mf.monthly_totals(_gold(spark, d), estabelecimentos=FACILITIES + ["10", "11"],
+                                 procedimentos=procs, measures=["PA_VALAPR", "PA_QTDAPR"]))
+
+
+def q_yearly_totals(spark, d):
+    return _r2(mf.yearly_totals(_monthly(spark, d), S.MEASURES))
+
+
 def q_monthly_preview(spark, d):
     return _r2(mf.preview(_monthly(spark, d), 3))
 
@@ -288,6 +298,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "municipalities": q_municipalities,
     "monthly_totals": q_monthly_totals,
     "monthly_totals_filtered": q_monthly_totals_filtered,
+    "monthly_totals_by_codes": q_monthly_totals_by_codes,
+    "yearly_totals": q_yearly_totals,
     "monthly_preview": q_monthly_preview,
     "facility_dim": q_facility_dim,
     "procedure_dim": q_procedure_dim,
@@ -379,6 +391,13 @@ _FINAL = {
                                "CAST(sum(PA_QTDPRO) AS BIGINT) PA_QTDPRO FROM gold "
                                "WHERE Ano IN (2098, 2099) AND Mes IN ('January', 'March') "
                                "AND PA_MUNPCN IN ('1', '2', '15') GROUP BY data_ref",
+    "monthly_totals_by_codes": "SELECT data_ref, round(sum(PA_VALAPR), 2) PA_VALAPR, "
+                               "CAST(sum(PA_QTDAPR) AS BIGINT) PA_QTDAPR FROM gold "
+                               "WHERE PA_CODUNI IN ('1', '2', '3', '10', '11') AND PA_PROC_ID IN "
+                               "(SELECT CAST(i AS VARCHAR) FROM range(1, 400, 3) t(i)) GROUP BY data_ref",
+    "yearly_totals": "SELECT CAST(year(data_ref) AS INTEGER) Ano, round(sum(PA_VALPRO), 2) PA_VALPRO, "
+                     "round(sum(PA_VALAPR), 2) PA_VALAPR, CAST(sum(PA_QTDPRO) AS BIGINT) PA_QTDPRO, "
+                     "CAST(sum(PA_QTDAPR) AS BIGINT) PA_QTDAPR FROM monthly GROUP BY 1",
     "monthly_preview": "SELECT * FROM monthly ORDER BY data_ref LIMIT 3",
     "facility_dim": "SELECT * FROM facdim",
     "procedure_dim": "SELECT * FROM procdim",

@@ -153,3 +153,28 @@ def test_label_table_latin1_csv(spark, workdir):
     dim = mf.facility_dimension(mf.read_label_table(spark, p))
     rows = dim.collect()
     assert len(rows) == 1 and rows[0].label_estabelecimento == "0001 - Hospital São José"
+
+
+def test_command_line_run(spark, workdir):
+    from monthly_facts.__main__ import main
+    layout = mf.Layout(workdir)
+    rows = [{"PA_CODUNI": "1", "PA_VALPRO": "1.00", "PA_VALAPR": "1.00", "PA_QTDPRO": "1",
+             "PA_QTDAPR": "1", "arquivo_origem": "PACE2401"}]
+    mf.land_bronze(bronze_rows(spark, rows), layout.bronze)
+    labels = os.path.join(workdir, "proc.csv")
+    with open(labels, "w") as f:
+        f.write("IP_COD,IP_DSCR\n0101,Consulta\n")
+    code = main(["--root", workdir, "--start", "2024-01", "--today", "2024-04-02",
+                 "--procedure-labels", labels])
+    assert code == 0
+    assert [r.label_procedimento for r in spark.read.parquet(layout.procedure_dim).collect()] == ["0101 - Consulta"]
+    assert mf.read_consolidated(spark, layout.consolidated).count() == 1
+
+
+def test_object_store_settings(spark):
+    mf.configure_object_store(spark, "http://store.local:9000", "k", "s")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    assert conf.get("fs.s3a.endpoint") == "http://store.local:9000"
+    assert conf.get("fs.s3a.path.style.access") == "true"
+    conf.unset("fs.s3a.access.key")
+    conf.unset("fs.s3a.secret.key")
