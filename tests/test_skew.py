@@ -1,0 +1,50 @@
+"""A source that holds most of the rows is split across write tasks, and the
+rollup stays exact."""
+import glob
+import os
+
+from pyspark.sql import functions as F
+
+import monthly_facts as mf
+from monthly_facts import schema as S
+from tests.conftest import bronze_rows
+
+
+def test_hot_month_is_split_and_exact(spark, workdir):
+    base = {"PA_MUNPCN": "1", "PA_PROC_ID": "p", "PA_VALPRO": "1.00", "PA_VALAPR": "1.00",
+            "PA_QTDPRO": "1", "PA_QTDAPR": "1"}
+    small = [dict(base, PA_CODUNI=str(i), arquivo_origem=f"PACE24{m:02d}") for m in range(2, 13) for i in range(50)]
+    seed = bronze_rows(spark, small)
+    # The hot source: 40,000 rows over 20,000 facilities, far more than all others together.
+    hot = (spark.range(40000)
+           .select(*[F.lit(None).cast("string").alias(c) for c in S.COLUMNS_OF_INTEREST], F.col("id"))
+           .withColumn("PA_CODUNI", (F.col("id") % 20000).cast("string"))
+           .withColumn("PA_PROC_ID", F.lit("p")).withColumn("PA_MUNPCN", F.lit("1"))
+           .withColumn("PA_VALPRO", F.lit("1.00")).withColumn("PA_VALAPR", F.lit("1.00"))
+           .withColumn("PA_QTDPRO", F.lit("1")).withColumn("PA_QTDAPR", F.lit("1"))
+           .withColumn(S.SOURCE_COL, F.lit("PACE2401")).drop("id"))
+    bronze = seed.unionByName(hot)
+    # Tiny data: shrink the advisory size and keep upstream tasks separate so
+    # that the split AQE applies to large inputs is exercised here.
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled"]
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], "16k")
+    spark.conf.set(keys[1], "false")
+    try:
+        layout = mf.Layout(workdir)
+        mf.land_bronze(bronze, layout.bronze)
+        hot_files = glob.glob(os.path.join(layout.bronze, "arquivo_origem=PACE2401", "*.parquet"))
+        assert len(hot_files) > 1                      # the hot source was written by several tasks
+        report = mf.ingest(spark, mf.read_bronze(spark, layout.bronze), layout,
+                           __import__("datetime").date(2025, 2, 10), start=(2024, 1))
+        assert report.succeeded == 12
+        gold_files = glob.glob(os.path.join(layout.gold, "ref_ano=2024", "ref_mes=1", "*.parquet"))
+        assert len(gold_files) > 1                     # the hot month too
+        g = mf.read_gold(spark, layout.gold)
+        jan = g.where("ref_mes = 1")
+        assert jan.count() == 20000
+        assert jan.agg(F.sum("PA_QTDPRO")).first()[0] == 40000
+        assert g.count() == g.select(*S.GOLD_KEYS).distinct().count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
