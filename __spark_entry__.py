@@ -226,14 +226,12 @@ def _gaps(spark, d):
 
 def q_pending_months(spark, d):
     available = mf.available_months(spark, PENDING_START, PENDING_TODAY)
-    pending = mf.pending_months(available, _gaps(spark, d))
-    return pending.select(F.make_date("ano", "mes", F.lit(1)).alias("m"))
+    return mf.month_dates(mf.pending_months(available, _gaps(spark, d)))
 
 
 def q_pending_months_bounded(spark, d):
     available = mf.available_months(spark, PENDING_START, PENDING_TODAY)
-    pending = mf.pending_months(available, _gaps(spark, d), end=FIRST_RUN_END)
-    return pending.select(F.make_date("ano", "mes", F.lit(1)).alias("m"))
+    return mf.month_dates(mf.pending_months(available, _gaps(spark, d), end=FIRST_RUN_END))
 
 
 def q_latest_month(spark, d):

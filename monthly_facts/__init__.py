@@ -20,6 +20,7 @@ from monthly_facts.operators.incremental import (
     available_months,
     landed_months,
     latest_month,
+    month_dates,
     month_range,
     pending_months,
     source_files,
@@ -61,6 +62,7 @@ from monthly_facts.sources.tables import (
     read_gold,
     read_gold_tree,
     read_label_table,
+    read_silver,
     write_month_partitions,
     write_silver,
     write_table,

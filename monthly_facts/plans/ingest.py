@@ -46,6 +46,7 @@ from monthly_facts.sources.tables import (
     Layout,
     path_exists,
     read_gold,
+    read_silver,
     write_month_partitions,
     write_silver,
     write_table,
@@ -102,13 +103,12 @@ def _silver_source(spark: SparkSession, bronze: DataFrame, layout: Layout,
         return silver_for_months(derive_silver(bronze), months)
     have: set[tuple[int, int]] = set()
     if path_exists(spark, layout.silver):
-        have = {(r["ano"], r["mes"]) for r in landed_months(
-            spark.read.parquet(layout.silver)).collect()}
+        have = {(r["ano"], r["mes"]) for r in landed_months(read_silver(spark, layout.silver)).collect()}
     todo = [m for m in months if m not in have]
     if todo:
         fresh = silver_for_months(derive_silver(bronze), todo)
         write_silver(fresh, layout.silver)
-    silver = spark.read.parquet(layout.silver)
+    silver = read_silver(spark, layout.silver)
     silver = silver.where(F.struct(S.PART_YEAR, S.PART_MONTH).isin(
         [F.struct(F.lit(a), F.lit(m)) for a, m in months]))
     return silver.select([f.name for f in S.SILVER_SCHEMA.fields])
@@ -133,7 +133,7 @@ def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.da
     months = [(a, m) for a, m, has in plan if has]
     if keep_silver and path_exists(spark, layout.silver):
         # Months whose silver survived an earlier failure can land without bronze.
-        kept = {(r["ano"], r["mes"]) for r in landed_months(spark.read.parquet(layout.silver)).collect()}
+        kept = {(r["ano"], r["mes"]) for r in landed_months(read_silver(spark, layout.silver)).collect()}
         months = [(a, m) for a, m, has in plan if has or (a, m) in kept]
     errors: dict[tuple[int, int], str] = {}
     landed_now: set[tuple[int, int]] = set()

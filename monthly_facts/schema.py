@@ -8,7 +8,7 @@ first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,8 +75,6 @@ GOLD_SCHEMA = T.StructType(
     ]
 )
 
-MONTH_KEY_SCHEMA = "ano int, mes int"
-
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: same names, same order, each column cast.
@@ -89,11 +87,7 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name not in have]
     if missing:
         raise ValueError(f"input lacks columns {missing}")
-    return df.select([_cast(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
-
-
-def _cast(col: Column, data_type: T.DataType) -> Column:
-    return col.cast(data_type)
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def drop_duplicate_columns(df: DataFrame) -> DataFrame:

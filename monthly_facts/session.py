@@ -61,9 +61,4 @@ def fresh_dir(spark: SparkSession, name: str = "work") -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for local assertions in tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "shared_dir", "fresh_dir", "local_path"]
+__all__ = ["build_session", "shared_dir", "fresh_dir"]

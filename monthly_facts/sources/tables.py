@@ -86,7 +86,10 @@ def configure_object_store(spark: SparkSession, endpoint: str, access_key: str |
 # --------------------------------------------------------------------- reads
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Silver written by ``write_silver``: the 31 silver columns plus the
+    partition columns ``ref_ano`` / ``ref_mes`` (used for pruning)."""
+    return spark.read.parquet(path).select(
+        *[f.name for f in S.SILVER_SCHEMA.fields], S.PART_YEAR, S.PART_MONTH)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
