@@ -41,6 +41,7 @@ from monthly_facts.operators.serve import (
     months_of_years,
     municipalities,
     preview,
+    read_records,
     shape,
     to_list,
     to_records,

@@ -102,3 +102,11 @@ def to_list(df: DataFrame, column: str | None = None) -> list:
 def write_records(df: DataFrame, path: str) -> None:
     """Write a result as JSON lines (one record per row), ISO dates."""
     df.write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").json(path)
+
+
+def read_records(spark, path: str, schema: str | None = None) -> DataFrame:
+    """Read JSON records back. With a DDL ``schema`` (default: monthly
+    totals) ISO date strings are parsed as dates, not left as text."""
+    schema = schema or ("data_ref date, PA_VALPRO double, PA_VALAPR double, "
+                        "PA_QTDPRO bigint, PA_QTDAPR bigint")
+    return spark.read.schema(schema).option("dateFormat", "yyyy-MM-dd").json(path)

@@ -111,3 +111,6 @@ def test_write_records(spark, workdir):
     mf.write_records(mf.monthly_totals(gold(spark)), out)
     recs = [json.loads(line) for f in glob.glob(os.path.join(out, "part-*")) for line in open(f)]
     assert sorted(r["data_ref"] for r in recs) == ["2023-12-01", "2024-01-01", "2024-03-01"]
+    back = mf.read_records(spark, out)
+    assert dict(back.dtypes)["data_ref"] == "date"
+    assert back.exceptAll(mf.monthly_totals(gold(spark))).count() == 0
