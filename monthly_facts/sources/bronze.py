@@ -26,12 +26,13 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Read a bronze table landed by ``land_bronze``."""
     return (
         spark.read.option("basePath", path)
-        .schema(_landed_schema())
+        .schema(landed_schema())
         .parquet(path)
     )
 
 
-def _landed_schema():
+def landed_schema():
+    """Columns of interest (text) plus the source-name partition column."""
     from pyspark.sql import types as T
 
     return T.StructType(list(S.BRONZE_SCHEMA.fields) + [T.StructField(S.SOURCE_COL, T.StringType(), True)])

@@ -24,7 +24,7 @@ from monthly_facts import schema as S
 from monthly_facts.functions.months import source_month_date
 from monthly_facts.operators.gold import rollup
 from monthly_facts.operators.silver import derive_silver, silver_for_months
-from monthly_facts.sources.bronze import _landed_schema, read_bronze
+from monthly_facts.sources.bronze import landed_schema, read_bronze
 from monthly_facts.sources.tables import write_month_partitions
 
 
@@ -57,7 +57,7 @@ def ingest_stream(spark: SparkSession, bronze_path: str, gold_path: str, checkpo
     ``available_now`` (default) drains every new file and stops;
     ``processing_time`` (e.g. ``"1 hour"``) keeps polling instead.
     """
-    reader = spark.readStream.schema(_landed_schema()).option("basePath", bronze_path)
+    reader = spark.readStream.schema(landed_schema()).option("basePath", bronze_path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(bronze_path).select(S.SOURCE_COL)
