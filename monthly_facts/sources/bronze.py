@@ -39,14 +39,17 @@ def landed_schema():
 
 
 def read_bronze_tree(spark: SparkSession, path: str, fmt: str = "parquet",
-                     columns: list[str] | None = None, **options) -> DataFrame:
+                     columns: list[str] | None = None, skip_unreadable: bool = True,
+                     **options) -> DataFrame:
     """Read a tree of one directory per source file, any nesting.
 
     Partition inference is off (``recursiveFileLookup``), the source name is
     the file's parent directory, and only ``columns`` (default: the columns of
-    interest that exist) are read.
+    interest that exist) are read. A file that cannot be read is skipped
+    (``skip_unreadable``), so one broken extract does not stop the others.
     """
-    reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
+    reader = (spark.read.format(fmt).option("recursiveFileLookup", "true")
+              .option("ignoreCorruptFiles", "true" if skip_unreadable else "false"))
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.load(path)

@@ -178,3 +178,16 @@ def test_object_store_settings(spark):
     assert conf.get("fs.s3a.path.style.access") == "true"
     conf.unset("fs.s3a.access.key")
     conf.unset("fs.s3a.secret.key")
+
+
+def test_bronze_tree_skips_unreadable_files(spark, workdir):
+    good = os.path.join(workdir, "PACE2401")
+    bad = os.path.join(workdir, "PACE2402")
+    os.makedirs(good)
+    os.makedirs(bad)
+    pq.write_table(pa.table({"PA_CODUNI": ["1"], "PA_VALPRO": ["1.00"]}), os.path.join(good, "a.parquet"))
+    pq.write_table(pa.table({"PA_CODUNI": ["2"], "PA_VALPRO": ["2.00"]}), os.path.join(bad, "b.parquet"))
+    with open(os.path.join(bad, "broken.parquet"), "wb") as f:
+        f.write(b"PAR1 this is not a parquet file")
+    rows = mf.read_bronze_tree(spark, workdir).collect()
+    assert sorted((r.PA_CODUNI, r.arquivo_origem) for r in rows) == [("1", "PACE2401"), ("2", "PACE2402")]
