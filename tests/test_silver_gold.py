@@ -87,3 +87,12 @@ def test_fractional_quantity_strict_or_rounded(spark):
         mf.rollup(mf.derive_silver(b)).collect()
     r = mf.rollup(mf.derive_silver(b), round_quantities=True).first()
     assert (r.PA_QTDPRO, r.PA_QTDAPR) == (13, -3)
+
+
+def test_silver_column_choice(spark):
+    b = _rows(spark).withColumn("EXTRA", F.lit(7))
+    assert mf.derive_silver(b).columns == [f.name for f in S.SILVER_SCHEMA.fields]
+    everything = mf.derive_silver(b, columns=None)
+    assert "EXTRA" in everything.columns and dict(everything.dtypes)["EXTRA"] == "int"
+    few = mf.derive_silver(b, columns=["PA_CODUNI", "PA_VALPRO"])
+    assert few.columns == ["PA_CODUNI", "PA_VALPRO", "arquivo_origem", "data_ref", "Ano", "Mes", "UF"]
