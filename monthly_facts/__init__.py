@@ -64,6 +64,7 @@ from monthly_facts.sources.tables import (
     read_gold_tree,
     read_label_table,
     read_silver,
+    register_views,
     write_month_partitions,
     write_silver,
     write_table,

@@ -148,6 +148,25 @@ def read_label_table(spark: SparkSession, path: str, fmt: str = "csv",
     return reader.load(path)
 
 
+def register_views(spark: SparkSession, layout: Layout) -> list[str]:
+    """Temp views over the published tables, for queries written as SQL:
+    ``gold`` (with ``ref_ano``/``ref_mes`` for pruning), ``consolidated``,
+    ``dim_facility`` and ``dim_procedure``. Only tables that exist are
+    registered; returns their names."""
+    readers = {
+        "gold": (layout.gold, lambda p: read_gold(spark, p)),
+        "consolidated": (layout.consolidated, lambda p: read_consolidated(spark, p)),
+        "dim_facility": (layout.facility_dim, lambda p: spark.read.parquet(p)),
+        "dim_procedure": (layout.procedure_dim, lambda p: spark.read.parquet(p)),
+    }
+    names = []
+    for name, (path, read) in readers.items():
+        if path_exists(spark, path):
+            read(path).createOrReplaceTempView(name)
+            names.append(name)
+    return names
+
+
 # -------------------------------------------------------------------- writes
 
 def write_month_partitions(df: DataFrame, path: str, sort_keys: list[str] | None = None,

@@ -191,3 +191,22 @@ def test_bronze_tree_skips_unreadable_files(spark, workdir):
         f.write(b"PAR1 this is not a parquet file")
     rows = mf.read_bronze_tree(spark, workdir).collect()
     assert sorted((r.PA_CODUNI, r.arquivo_origem) for r in rows) == [("1", "PACE2401"), ("2", "PACE2402")]
+
+
+def test_sql_over_registered_views(spark, landed):
+    layout = landed[0]
+    assert set(mf.register_views(spark, layout)) == {"gold", "consolidated", "dim_facility", "dim_procedure"}
+    years_sql = [r.Ano for r in spark.sql("SELECT DISTINCT Ano FROM consolidated ORDER BY Ano").collect()]
+    assert years_sql == mf.to_list(mf.years(mf.read_consolidated(spark, layout.consolidated)))
+    months_sql = [r.Mes for r in spark.sql(
+        "SELECT Mes FROM consolidated WHERE Ano IN (2098, 2099) GROUP BY Mes ORDER BY MIN(data_ref)").collect()]
+    assert months_sql == mf.to_list(mf.months_of_years(mf.read_gold(spark, layout.gold), [2098, 2099]))
+    totals_sql = spark.sql(
+        "SELECT data_ref, SUM(PA_VALPRO) AS PA_VALPRO, SUM(PA_VALAPR) AS PA_VALAPR, SUM(PA_QTDPRO) AS PA_QTDPRO, "
+        "SUM(PA_QTDAPR) AS PA_QTDAPR FROM gold WHERE Ano IN (2098) AND PA_MUNPCN IN ('1', '2') "
+        "GROUP BY data_ref ORDER BY data_ref")
+    api = mf.monthly_totals(mf.read_gold(spark, layout.gold), anos=[2098], municipios=["1", "2"])
+    r2 = lambda df: df.select(*[F.round(c, 2).alias(c) if c in S.VALUE_MEASURES else c for c in df.columns])
+    assert r2(totals_sql).collect() == r2(api).collect()
+    labels = spark.sql("SELECT PA_PROC_ID, label_procedimento FROM dim_procedure").count()
+    assert labels == spark.read.parquet(layout.procedure_dim).count()
