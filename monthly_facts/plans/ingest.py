@@ -13,7 +13,8 @@
    the months are retried one job each, so one bad month is reported and
    the others still land.
 4. Consolidation and dimension refresh follow the rules of the run: rebuild
-   when absent, when any month landed, or when forced.
+   when absent, when any month landed, or when forced. They are independent
+   writes and are submitted concurrently.
 
 Each write is one job with an output committer: a lost executor only
 re-runs its tasks, and a failed job leaves the previous months untouched.
@@ -24,6 +25,7 @@ The pending-month list comes to the driver; it is bounded by the calendar
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -136,7 +138,6 @@ def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.da
         kept = {(r["ano"], r["mes"]) for r in landed_months(read_silver(spark, layout.silver)).collect()}
         months = [(a, m) for a, m, has in plan if has or (a, m) in kept]
     errors: dict[tuple[int, int], str] = {}
-    landed_now: set[tuple[int, int]] = set()
     if months:
         try:
             _land(spark, bronze, layout, months, keep_silver, round_quantities)
@@ -146,7 +147,9 @@ def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.da
                     _land(spark, bronze, layout, [m], keep_silver, round_quantities)
                 except Exception as e:  # noqa: BLE001 - reported in the run log
                     errors[m] = str(e).strip().splitlines()[0][:500] if str(e).strip() else type(e).__name__
-        landed_now = {(r["ano"], r["mes"]) for r in existing_months(spark, layout).collect()}
+    # A month named by at least one bronze row always yields gold rows, so the
+    # committed months are exactly the attempted ones that did not fail.
+    landed_now = {m for m in months if m not in errors}
     rows: list[tuple] = []
     for a, m, _ in plan:
         if (a, m) in errors:
@@ -180,25 +183,41 @@ def consolidate(spark: SparkSession, gold_path: str, out_path: str, by: str = "d
     write_table(gold.orderBy(*order), out_path, compression=compression)
 
 
-def refresh_dimensions(spark: SparkSession, layout: Layout, facility_labels: DataFrame | None,
-                       procedure_labels: DataFrame | None) -> list[str]:
-    """Build and publish both dimensions; one failing does not stop the other.
-    Returns the error messages."""
+def _dimension_jobs(layout: Layout, facility_labels: DataFrame | None,
+                    procedure_labels: DataFrame | None) -> list[tuple[str, object]]:
+    jobs = []
+    if facility_labels is not None:
+        jobs.append((layout.facility_dim,
+                     lambda: write_table(D.facility_dimension(facility_labels), layout.facility_dim)))
+    if procedure_labels is not None:
+        jobs.append((layout.procedure_dim,
+                     lambda: write_table(D.procedure_dimension(procedure_labels), layout.procedure_dim)))
+    return jobs
+
+
+def _run_concurrently(jobs: list[tuple[str, object]]) -> list[str]:
+    """Run independent write jobs from separate threads (Spark schedules
+    jobs from different threads side by side); returns error messages."""
     errors = []
-    jobs = [
-        (facility_labels, D.facility_dimension, layout.facility_dim),
-        (procedure_labels, D.procedure_dimension, layout.procedure_dim),
-    ]
-    for labels, build, path in jobs:
-        if labels is None:
-            continue
-        try:
-            write_table(build(labels), path)
-        except Exception as e:  # noqa: BLE001 - reported to the caller
-            errors.append(f"{path}: {str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__}")
+    if not jobs:
+        return errors
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [(name, pool.submit(fn)) for name, fn in jobs]
+        for name, fut in futures:
+            e = fut.exception()
+            if e is not None:
+                msg = str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__
+                errors.append(f"{name}: {msg}")
     return errors
 
 
+def refresh_dimensions(spark: SparkSession, layout: Layout, facility_labels: DataFrame | None,
+                       procedure_labels: DataFrame | None) -> list[str]:
+    """Build and publish both dimensions, concurrently; one failing does not
+    stop the other. Returns the error messages."""
+    return _run_concurrently(_dimension_jobs(layout, facility_labels, procedure_labels))
+
+
 def run_monthly(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.date,
                 start: tuple[int, int] | None = None, end: tuple[int, int] | None = None,
                 after_latest: bool = False, facility_labels: DataFrame | None = None,
@@ -212,10 +231,16 @@ def run_monthly(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _
     had_consolidated = consolidated_exists(spark, layout)
     report = ingest(spark, bronze, layout, today, start, end, after_latest, lag, keep_silver,
                     round_quantities)
-    if (not had_consolidated or report.succeeded > 0 or force_consolidate) and gold_exists(spark, layout):
-        consolidate(spark, layout.gold, layout.consolidated)
-        report.consolidated = True
-    if not skip_dims and (report.succeeded > 0 or not had_consolidated):
-        report.dim_errors = refresh_dimensions(spark, layout, facility_labels, procedure_labels)
-        report.dims_refreshed = True
+    do_consolidate = (not had_consolidated or report.succeeded > 0 or force_consolidate) and gold_exists(spark, layout)
+    do_dims = not skip_dims and (report.succeeded > 0 or not had_consolidated)
+    jobs = _dimension_jobs(layout, facility_labels, procedure_labels) if do_dims else []
+    if do_consolidate:
+        jobs.append((layout.consolidated, lambda: consolidate(spark, layout.gold, layout.consolidated)))
+    errors = _run_concurrently(jobs)
+    cons_errors = [e for e in errors if e.startswith(layout.consolidated + ":")]
+    if cons_errors:
+        raise RuntimeError(cons_errors[0])
+    report.consolidated = do_consolidate
+    report.dims_refreshed = do_dims
+    report.dim_errors = [e for e in errors if e not in cons_errors]
     return report
