@@ -98,8 +98,7 @@ def run_all(spark, sf_dir: str, layout) -> dict[str, float]:
 
     def dashboard():
         t = mf.dashboard_tables(gold, fdim, pdim, anos=[2098, 2099], procedure_labels=chosen)
-        for df in t.values():
-            df.collect()
+        mf.collect_tables(t)
         t["monthly"].unpersist()
     q["dashboard"] = timed(dashboard, repeat=3)
 

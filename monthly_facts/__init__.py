@@ -37,6 +37,7 @@ from monthly_facts.operators.reshape import (
     yearly_totals,
 )
 from monthly_facts.operators.serve import (
+    collect_tables,
     monthly_totals,
     months_of_years,
     municipalities,

@@ -110,3 +110,25 @@ def read_records(spark, path: str, schema: str | None = None) -> DataFrame:
     schema = schema or ("data_ref date, PA_VALPRO double, PA_VALAPR double, "
                         "PA_QTDPRO bigint, PA_QTDAPR bigint")
     return spark.read.schema(schema).option("dateFormat", "yyyy-MM-dd").json(path)
+
+
+def collect_tables(tables: dict[str, DataFrame], first: str | None = "monthly",
+                   max_parallel: int = 4) -> dict[str, list]:
+    """Collect several small results, e.g. the dashboard's tables.
+
+    ``first`` is collected alone (it fills the cache the others read), the
+    rest are submitted from threads so Spark runs their jobs side by side.
+    Only for final answers of bounded size.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    out: dict[str, list] = {}
+    if first is not None and first in tables:
+        out[first] = tables[first].collect()
+    rest = {k: v for k, v in tables.items() if k not in out}
+    if rest:
+        with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(rest)))) as pool:
+            futures = {k: pool.submit(df.collect) for k, df in rest.items()}
+            for k, fut in futures.items():
+                out[k] = fut.result()
+    return out

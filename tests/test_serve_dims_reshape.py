@@ -92,6 +92,10 @@ def test_dashboard_tables(spark):
     t = mf.dashboard_tables(g, procedure_dim=pdim, procedure_labels=["b - Proc B"])
     assert [r.PA_VALPRO for r in t["monthly"].collect()] == [3.0, 4.0]
     assert set(t) >= {"yearly_values", "yearly_quantities", "value_series", "quantity_series", "value_mean", "quantity_mean"}
+    rows = mf.collect_tables(t)
+    assert set(rows) == set(t) and [r.PA_VALPRO for r in rows["monthly"]] == [3.0, 4.0]
+    assert len(rows["value_series"]) == 4
+    t["monthly"].unpersist()
 
 
 def test_large_filter_list_uses_semi_join(spark):
