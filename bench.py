@@ -86,9 +86,8 @@ def run_all(spark, sf_dir: str, layout) -> dict[str, float]:
         gold, anos=[2098, 2099], meses=["January", "March"], municipios=["1", "2", "15"]).collect(), repeat=3)
 
     def options():
-        mf.years(cons).collect()
-        mf.months_of_years(cons, [2098, 2099]).collect()
-        mf.municipalities(cons).collect()
+        mf.collect_tables({"years": mf.years(cons), "months": mf.months_of_years(cons, [2098, 2099]),
+                           "municipalities": mf.municipalities(cons)}, first=None)
     q["option_lists"] = timed(options, repeat=3)
 
     fdim = spark.read.parquet(layout.facility_dim)
