@@ -73,10 +73,13 @@ def land_bronze(extracts: DataFrame, path: str, mode: str = "overwrite",
     """
     if S.SOURCE_COL not in extracts.columns:
         raise ValueError(f"extracts need a {S.SOURCE_COL!r} column")
-    cols = [F.col(c).cast("string").alias(c) for c in S.COLUMNS_OF_INTEREST if c in extracts.columns]
-    out = extracts.select(*cols, F.col(S.SOURCE_COL))
+    present = [c for c in S.COLUMNS_OF_INTEREST if c in extracts.columns]
+    out = extracts.select(*present, S.SOURCE_COL)
     if rebalance:
         out = out.hint("rebalance", S.SOURCE_COL)
+    # Text conversion after the exchange: it runs in the (parallel) write
+    # tasks and the shuffle carries the compact typed values.
+    out = out.select(*[F.col(c).cast("string").alias(c) for c in present], S.SOURCE_COL)
     (
         out
         .write.mode(mode)

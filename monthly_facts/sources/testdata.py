@@ -2,8 +2,7 @@
 
 Facility = supplier key, procedure = part key, municipality = the supplier's
 nation, source file = ``PACE`` + yyMM of the ship date. Money goes through
-``decimal(15,2)`` before becoming text, so both engines print the same
-digits. The other bronze columns are absent from these tables and are NULL.
+``decimal(15,2)``, so its text form has the same digits in both engines. The other bronze columns are absent from these tables and are NULL.
 The join is left to the planner: it broadcasts supplier only when its
 measured size is under the session's threshold and sort-merges otherwise.
 """
@@ -30,17 +29,19 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(su, li["l_suppkey"] == su["s_suppkey"], "inner")
-    price = F.col("l_extendedprice").cast("decimal(15,2)").cast("string")
-    qty = F.col("l_quantity").cast("bigint").cast("string")
+    # Measures stay typed (decimal cents, bigint); they become text where the
+    # bronze is consumed (landing or silver), with the same digits.
+    price = F.col("l_extendedprice").cast("decimal(15,2)")
+    qty = F.col("l_quantity").cast("bigint")
     returned = F.col("l_returnflag") == "R"
     mapped = {
-        S.FACILITY: F.col("l_suppkey").cast("string"),
-        S.PROCEDURE: F.col("l_partkey").cast("string"),
-        S.MUNICIPALITY: F.col("s_nationkey").cast("string"),
+        S.FACILITY: F.col("l_suppkey"),
+        S.PROCEDURE: F.col("l_partkey"),
+        S.MUNICIPALITY: F.col("s_nationkey"),
         "PA_VALPRO": price,
-        "PA_VALAPR": F.when(returned, F.lit("0.00")).otherwise(price),
+        "PA_VALAPR": F.when(returned, F.lit(0).cast("decimal(15,2)")).otherwise(price),
         "PA_QTDPRO": qty,
-        "PA_QTDAPR": F.when(returned, F.lit("0")).otherwise(qty),
+        "PA_QTDAPR": F.when(returned, F.lit(0).cast("bigint")).otherwise(qty),
     }
     cols = [mapped.get(c, F.lit(None).cast("string")).alias(c) for c in S.COLUMNS_OF_INTEREST]
     source = F.concat(F.lit(TEST_GROUP + TEST_STATE), F.date_format("l_shipdate", "yyMM"))
