@@ -447,10 +447,31 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_monthly_totals(spark, SMOKE_DIR)
 
 
+# The corpus operators are optional: without their subpackage (or the pipeline
+# module at the top) the other queries work as before. An import error inside
+# them is not hidden.
+_OPTIONAL = ("monthly_facts.llm", "corpus_pipeline")
+
+
+def _corpus() -> tuple[dict, dict]:
+    try:
+        import corpus_pipeline
+        from monthly_facts.llm import queries as corpus
+    except ModuleNotFoundError as e:
+        if e.name is None or not any(e.name == n or e.name.startswith(n + ".") for n in _OPTIONAL):
+            raise
+        return {}, {}
+    found, sql = dict(corpus.QUERIES), dict(corpus.ORACLES)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | _corpus()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     # A final part that starts with a comma extends the WITH list.
-    return {k: _BASE + v for k, v in _FINAL.items()}
+    return {k: _BASE + v for k, v in _FINAL.items()} | _corpus()[1]
