@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthly_facts.llm import mixing, preference, sharding, url_vocab
-from monthly_facts.llm.tables import ROW_HASH_SQL, table
+from monthly_facts.llm import (
+    decontam,
+    fertility,
+    mixing,
+    near_dedup,
+    preference,
+    sharding,
+    substring_dedup,
+    unigram_count,
+    url_vocab,
+    weak_label,
+)
+from monthly_facts.llm.tables import OWN, ROW_HASH_SQL, table
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +25,25 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    found = fertility.judged(docs, keep_text=False)
+    names = [*fertility.COUNTS, "base_failed", "kept", *fertility.MEASURES]
+    return found.select("doc_id", *[F.col(OWN + c).alias(c) for c in names])
+
+
+def op5_weak_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_label.scored(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.sharded(docs).drop("text")
@@ -24,10 +54,18 @@ def op7_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.formatted(preference.with_other_reply(convs))
 
 
+def op8_unigram_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram_count.counted(table(spark, sf_dir, "documents"))
+
+
 def op9_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_vocab.judged(table(spark, sf_dir, "pages"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digested(table(spark, sf_dir, "documents"))
+
+
 # The targets in closed form: sources by words for a weight of one, capped
 # ones first; the share is the first at which the rest stays under its cap.
 OP1_SQL = f"""
@@ -52,13 +90,20 @@ FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source LEFT JOIN top ON d.sourc
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_near_dedup": op2_near_dedup,
+    "op3_decontamination": op3_decontamination,
+    "op4_fertility": op4_fertility,
+    "op5_weak_label": op5_weak_label,
     "op6_sharding": op6_sharding,
     "op7_preference": op7_preference,
+    "op8_unigram_count": op8_unigram_count,
     "op9_url_vocabulary": op9_url_vocabulary,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES = {
     "op1_mixing": OP1_SQL,
+    "op3_decontamination": decontam.contaminated_sql(),
     "op6_sharding": sharding.sharding_sql(),
     "op7_preference": preference.PREFERENCE_SQL,
     "op9_url_vocabulary": url_vocab.judged_sql(),

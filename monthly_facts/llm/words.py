@@ -107,7 +107,7 @@ def _block(first: int, data: np.ndarray, offsets: np.ndarray) -> Block:
     return Block(first, body, offsets, starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offsets))
 
 
-def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
+def blocks(texts: pa.Array, limit: int = BLOCK_BYTES, max_docs: int | None = None) -> Iterator[Block]:
     """Blocks of the documents of one Arrow string column; null is empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -120,6 +120,7 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     i = 0
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(ofs, ofs[i] + limit, side="right")) - 1)
+        j = j if max_docs is None else min(j, i + max_docs)
         yield _block(i, data, ofs[i:j + 1])
         i = j
 
@@ -144,3 +145,55 @@ def gram_starts(word_offsets: np.ndarray, n: int) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     shift = np.repeat(word_offsets[:-1] - (np.cumsum(counts) - counts), counts)
     return np.arange(total) + shift
+
+
+def per_doc(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` between consecutive offsets."""
+    total = np.zeros(len(values) + 1, dtype=np.int64)
+    np.cumsum(values, out=total[1:])
+    return np.diff(total[offsets])
+
+
+def ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers first[i] .. first[i] + count[i] - 1 of all i, in a row."""
+    ends = np.cumsum(count)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - count), count)
+
+
+def equal_to_other(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Flags of the keys that occur again, and of those that aren't the first
+    of their kind (by position)."""
+    order = np.argsort(keys, kind="stable")
+    same = keys[order][1:] == keys[order][:-1]
+    again, later = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    later[order[1:][same]] = True
+    return again, later
+
+
+def duplicate_lines(block: Block) -> np.ndarray:
+    """Per document: lines with a word that are equal to an earlier line."""
+    body = block.data[:block.offsets[-1]]
+    cuts = np.flatnonzero(body == 0x0A)
+    starts = np.unique(np.concatenate([block.offsets[:-1], cuts + 1]))
+    starts = starts[starts < len(body)]
+    # A line ends at its line feed or with its document.
+    ends = np.minimum(np.append(starts[1:], len(body)), len(body))
+    ends = ends - (body[ends - 1] == 0x0A) if len(starts) else ends
+    has_word = np.searchsorted(block.starts, ends) > np.searchsorted(block.starts, starts)
+    starts, ends = starts[has_word], ends[has_word]
+    doc = np.searchsorted(block.offsets, starts, side="right") - 1
+    keys = mix64(hash_spans(block.data, starts, ends) + doc.astype(np.uint64) * _M1)
+    return np.bincount(doc[equal_to_other(keys)[1]], minlength=len(block))
+
+
+def repeat_words(block: Block, hashes: np.ndarray, window: int) -> np.ndarray:
+    """Per document: words in windows that are found twice or more in it."""
+    starts = gram_starts(block.word_offsets, window)
+    doc = block.doc_of_word()[starts].astype(np.uint64)
+    again, _ = equal_to_other(mix64(gram_hashes(hashes, window)[starts] + doc * _M1)) if len(starts) else (starts, None)
+    covered = np.zeros(len(hashes), dtype=bool)
+    if len(starts):
+        for k in range(window):
+            covered[starts[again] + k] = True
+    return per_doc(covered, block.word_offsets)

@@ -1,0 +1,80 @@
+import hashlib
+import random
+
+import pytest
+
+from monthly_facts.llm import substring_dedup as S
+from tests.llm.helpers import DOCS, awkward_rows, collected, docs_frame, prose, words
+
+
+def brute(spark, rows, window=S.WINDOW):
+    """Documents in order; a window seen at an earlier place covers its words.
+    Equal rows are one document."""
+    keys = {(r["doc_id"], r["text"]): r["k"] for r in spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id bigint, text string")
+            .selectExpr("doc_id", "text", "xxhash64(doc_id, text) AS k").collect()}
+    first, out = {}, {}
+    for doc in sorted(set((r[0], r[1]) for r in rows), key=lambda d: (d[0] is None, d[0] or 0, keys[d])):
+        ws = words(doc[1])
+        gone = [False] * len(ws)
+        for k in range(len(ws) - window + 1):
+            w = tuple(ws[k:k + window])
+            if first.setdefault(w, (doc, k)) != (doc, k):
+                gone[k:k + window] = [True] * window
+        kept = " ".join(w for w, g in zip(ws, gone) if not g)
+        out[doc] = (len(ws), sum(gone), hashlib.sha256(kept.encode()).hexdigest())
+    return sorted((str(r[0]), *out[r[0], r[1]]) for r in rows)
+
+
+def run(docs, **k):
+    return sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in collected(S.digested(docs, **k)))
+
+
+def passages(seed, n=80):
+    rng = random.Random(seed)
+    shared = [prose(rng, rng.choice([19, 20, 21, 60, 200]), 3000) for _ in range(6)]
+    rows = []
+    for i in range(n):
+        parts = [rng.choice(shared) if rng.random() < 0.4 else prose(rng, rng.randrange(0, 80), 3000) for _ in range(rng.randrange(1, 5))]
+        rows.append((rng.randrange(10_000), rng.choice([" ", "\n", "\t \x0b"]).join(parts), "en", "a", 1))
+    return rows
+
+
+@pytest.mark.parametrize("hot", [S.HOT, 2])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed, hot):
+    rows = awkward_rows(seed) + passages(seed)
+    want = brute(spark, rows)
+    assert sum(r[2] for r in want) > 1000
+    assert run(docs_frame(spark, rows).repartition(7), hot=hot) == want
+    assert run(docs_frame(spark, rows, clash=True).coalesce(1), hot=hot) == want
+
+
+def test_periods_and_few_words(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice("ab") for _ in range(rng.randrange(15, 120))), "en", "a", 1) for i in range(40)]
+    rows += [(100, "a " * 500, "en", "a", 1), (101, "a " * 20, "en", "a", 1), (102, "a " * 19, "en", "a", 1), (103, "a b " * 100, "en", "a", 1)]
+    for window in (5, 20):
+        for hot in (S.HOT, 1):
+            assert run(docs_frame(spark, rows).repartition(5), window=window, hot=hot) == brute(spark, rows, window)
+
+
+def test_long_passage_in_many_documents(spark):
+    rng = random.Random(4)
+    passage = prose(rng, 70, 100_000)
+    rows = [(i, prose(rng, 30, 100_000) + " " + passage + " " + prose(rng, 30, 100_000), "en", "a", 1) for i in range(300)]
+    out = run(docs_frame(spark, rows).repartition(9), hot=50)
+    assert out == brute(spark, rows)
+    assert sorted(r[2] for r in out) == [0] + [70] * 299
+
+
+def test_kept_text_and_empty(spark):
+    text = prose(random.Random(1), 40, 100_000)
+    docs = spark.createDataFrame([(1, text, "", "", 0), (2, "front " + text + " back", "", "", 0)], DOCS)
+    assert {r["doc_id"]: r["kept"] for r in collected(S.deduplicated(docs))} == {1: text, 2: "front back"}
+    assert S.digested(docs_frame(spark, [])).collect() == []
+
+
+def test_whole_test_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert run(docs) == brute(spark, rows)

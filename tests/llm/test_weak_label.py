@@ -1,0 +1,51 @@
+import numpy as np
+
+from monthly_facts.llm import weak_label as W
+from tests.llm.helpers import awkward_rows, collected, docs_frame
+
+
+def test_estimate_finds_accuracies():
+    rng = np.random.default_rng(3)
+    truth = rng.random(40_000) < 0.7
+    right, speaks = [0.95, 0.9, 0.8, 0.85, 0.75], [0.9, 0.6, 0.8, 0.5, 0.7]
+    pattern = np.zeros(len(truth), dtype=np.int64)
+    for r, s in zip(right, speaks):
+        good = np.where(rng.random(len(truth)) < r, truth, ~truth)
+        pattern = pattern * 3 + np.where(rng.random(len(truth)) < s, np.where(good, W.GOOD, W.BAD), W.ABSTAIN)
+    kinds, back, n = np.unique(pattern, return_inverse=True, return_counts=True)
+    posterior, table, prior = W.estimate(kinds, n.astype(float), labellers=5, rounds=300)
+    assert abs(prior - 0.7) < 0.03
+    for k, r in enumerate(right):
+        assert abs(table[k, 1, W.GOOD] / table[k, 1, 1:].sum() - r) < 0.03
+        assert abs(table[k, 0, W.BAD] / table[k, 0, 1:].sum() - r) < 0.06
+    assert ((posterior[back] > 0.5) == truth).mean() > 0.93
+
+
+def test_held_out_accuracy(spark):
+    """Gold labels are never trained on, so all of them are held out."""
+    d = "/root/testdata/sf0.1/"
+    docs, labels = spark.read.parquet(d + "documents.parquet"), spark.read.parquet(d + "labels.parquet")
+    out = collected(W.scored(docs).join(labels, "doc_id"))
+    assert sum(r["kept"] == (r["quality"] == 1) for r in out) >= 0.98 * len(out)
+    good = [r for r in out if r["quality"] == 1]
+    assert sum(r["kept"] for r in good) >= 0.985 * len(good)
+
+
+def test_awkward_rows_and_reruns(spark):
+    rows = awkward_rows()
+    for clash in (False, True):
+        docs = docs_frame(spark, rows, clash)
+        out = collected(W.scored(docs))
+        assert len(out) == len(rows)
+        assert all(0 <= r["score"] <= 1 and 0 <= r["posterior"] <= 1 for r in out)
+        assert not any(r["kept"] for r in out if r["doc_id"] in (64, 65, 66))
+        assert sorted(map(str, collected(W.scored(docs)))) == sorted(map(str, out))
+
+
+def test_sample_bound(spark):
+    docs = docs_frame(spark, [(i, f"some plain words number {i} in a row of text", "en", "a", 1) for i in range(500)])
+    assert W.scored(docs, train_docs=50).count() == 500
+
+
+def test_empty(spark):
+    assert W.scored(docs_frame(spark, [])).collect() == []
