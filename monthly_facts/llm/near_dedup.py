@@ -18,14 +18,16 @@ empty (short texts) takes the sample of another by a fixed order of donors.
 So a document costs one draw per shingle, not one per shingle and sample.
 ``BANDS`` bands of ``ROWS`` samples each name a bucket.
 
-Links: in each bucket all members are held against one member, the hub, by
-exact weighted Jaccard similarity; those of ``SIMILARITY`` or more are linked.
-Members that are then not in the hub's component form a bucket of their own
-with a new hub, and so on until no bucket has more than one component; after
-``WHOLE_ROUNDS`` rounds the bucket is also split by one more sample each round,
-so that unlike members part. No pairs within a bucket are listed, and the hub
-differs between bands, so that a chain of similar texts is found through many
-hubs. Classes are the connected components.
+Links, in two steps. First all members of a bucket are held against one
+member, the hub, by exact weighted Jaccard similarity; those of ``SIMILARITY``
+or more are linked. That joins a large group in a number of comparisons that
+follows its size; the hub differs between bands. Then buckets whose members
+are in more than one connected component are looked at again: pairs of
+different components whose samples agree in at least ``LIKELY`` of the bins
+are compared exactly, the likeliest of each member first and, when those link
+nothing more, all that are left. No pairs of one component are listed. A
+bucket of more than ``MAX_BUCKET`` members is split by further samples for
+this step. Classes are the connected components.
 
 Equal texts are one node from the start (64-bit hash of the text; null counts
 as empty), so a group of copies costs one row.
@@ -52,7 +54,10 @@ SIMILARITY = 0.8
 FLOOR = 64
 BINS, BANDS, ROWS = 128, 25, 5
 HUB_ORDERS = 3
-WHOLE_ROUNDS = 3
+# 0.08 under the similarity: 2.3 standard deviations of the estimate.
+LIKELY = 0.72
+FIRST_PARTNERS = 3
+MAX_BUCKET = 4096
 GROUP_ROWS = 64
 BITMAP_BITS = 23
 # Documents of one block share a 64-bit key: 10 bits of document, 54 of hash.
@@ -330,32 +335,90 @@ def _texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     return once.unionByName(rows.where("n > 1").select("node", "text").dropDuplicates(["node"]))
 
 
-def _linked(keyed: DataFrame, reps: DataFrame, weights: Weights, similarity: float) -> DataFrame | None:
+def _split(entries: DataFrame) -> DataFrame:
+    """``entries`` (bucket, node, comp, sig) with buckets over MAX_BUCKET split
+    by one more sample at a time; members alike in all samples by their hash."""
+    for k in range(BINS + 1):
+        large = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_BUCKET)
+        large = written(large, "near-large")
+        if large.isEmpty():
+            break
+        more = F.substring("sig", k + 1, 1) if k < BINS else F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / MAX_BUCKET))
+        entries = written(entries.join(large, "bucket", "left").withColumn("bucket", F.when(
+            F.col("n").isNotNull(), F.xxhash64("bucket", more)).otherwise(F.col("bucket"))).drop("n"), "near-split")
+    return entries
+
+
+def _likely(entries: DataFrame, partners: int | None) -> DataFrame:
+    """(node, hub): pairs of members of one bucket and different components
+    whose samples agree; the likeliest ``partners`` of each member, or all."""
+    def pairs_of(nodes, comps, sigs, out):
+        for i in range(0, len(nodes), 32):
+            part = slice(i, i + 32)
+            agree = (sigs[part, None, :] == sigs[None, :, :]).mean(axis=2)
+            agree[comps[part, None] == comps[None, :]] = 0
+            if partners is not None and len(nodes) > partners:
+                kth = np.partition(agree, -partners, axis=1)[:, -partners]
+                agree[agree < kth[:, None]] = 0
+            x, y = np.nonzero(agree >= LIKELY)
+            out.append(np.stack([np.minimum(nodes[part][x], nodes[y]), np.maximum(nodes[part][x], nodes[y])]))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def result(out):
+            found = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), dtype=np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(found[1]), pa.array(found[0])], names=["node", "hub"])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sigs = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, BINS)
+            rows = [np.asarray(batch.column(k)) for k in range(3)] + [sigs]
+            held = [np.concatenate([h, r]) for h, r in zip(held, rows)] if held else rows
+            edges = np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])
+            out: list[np.ndarray] = []
+            # The last bucket may go on in the next batch.
+            for a, b in zip(edges[:-1], edges[1:]):
+                pairs_of(held[1][a:b], held[2][a:b], held[3][a:b], out)
+            held = [h[edges[-1]:] for h in held]
+            yield result(out)
+        if held:
+            out = []
+            pairs_of(held[1], held[2], held[3], out)
+            yield result(out)
+    sorted_ = entries.select("bucket", "node", "comp", "sig").repartition("bucket").sortWithinPartitions("bucket")
+    return sorted_.mapInArrow(read, "node bigint, hub bigint").distinct()
+
+
+def _linked(keyed: DataFrame, reps: DataFrame, weights: Weights, similarity: float) -> DataFrame:
     """(node, comp) of all nodes that have a link."""
     sketches = written(_sketches(keyed, weights), "near-sketches")
-    entries = sketches.select("node", F.posexplode("bands").alias("band", "bucket"))
-    texts, links, comps, rounds = None, None, None, 0
+    members = written(_with_hub(sketches.select("node", F.posexplode("bands").alias("band", "bucket"))), "near-members")
+    wanted = written(members.select("node").distinct().join(reps, "node"), "near-wanted")
+    texts = written(_texts(keyed, wanted), "near-texts")
+    tested = written(members.where("node <> hub").select(
+        F.greatest("node", "hub").alias("node"), F.least("node", "hub").alias("hub")).distinct(), "near-pairs")
+    links = written(_verified(tested, texts, weights, similarity), "near-links")
+    partners: int | None = FIRST_PARTNERS
     while True:
-        members = written(_with_hub(entries), "near-members")
-        pairs = members.where("node <> hub").select("node", "hub").distinct()
-        if texts is None:
-            wanted = members.select("node").distinct().join(reps, "node")
-            texts = written(_texts(keyed, written(wanted, "near-wanted")), "near-texts")
-        found = written(_verified(written(pairs, "near-pairs"), texts, weights, similarity), "near-links")
-        links = found if links is None else links.unionByName(found)
         comps = components(links)
-        of = comps.select(F.col("node").alias("x"), F.col("comp").alias("c"))
-        of_hub = comps.select(F.col("node").alias("y"), F.col("comp").alias("hc"))
-        apart = members.join(of, F.col("node") == F.col("x"), "left").join(of_hub, F.col("hub") == F.col("y"), "left").where(
-            F.coalesce("c", "node") != F.coalesce("hc", "hub")).select("bucket", "band", "node")
-        rounds += 1
-        if rounds > WHOLE_ROUNDS:
-            at = F.pmod(F.col("band") * ROWS + ROWS + F.lit(rounds - WHOLE_ROUNDS - 1), F.lit(BINS))
-            apart = apart.join(sketches.select("node", "sig"), "node").select(
-                F.xxhash64("bucket", F.substring("sig", at + 1, F.lit(1))).alias("bucket"), "band", "node")
-        entries = written(apart, "near-apart")
-        if entries.isEmpty() or entries.groupBy("bucket").count().where("count > 1").isEmpty():
-            return comps
+        of = members.select("bucket", "node").join(comps, "node", "left").select(
+            "bucket", "node", F.coalesce("comp", "node").alias("comp"))
+        mixed = of.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+        entries = of.join(mixed.select("bucket"), "bucket").join(sketches.select("node", "sig"), "node")
+        found = _likely(_split(written(entries, "near-mixed")), partners)
+        found = written(found.join(tested, ["node", "hub"], "left_anti"), "near-pairs")
+        if found.isEmpty():
+            if partners is None:
+                return comps
+            partners = None
+            continue
+        new = written(_verified(found, texts, weights, similarity), "near-links")
+        tested, links = tested.unionByName(found), links.unionByName(new)
+        if new.isEmpty():
+            if partners is None:
+                return comps
+            partners = None
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:

@@ -31,7 +31,7 @@ def similarity(a, b):
     return shared / ((sum(a.values()) + sum(b.values()) - shared) or 1)
 
 
-def brute(rows, threshold=N.SIMILARITY):
+def roots(rows, threshold=N.SIMILARITY):
     w = weighted(rows)
     root = list(range(len(rows)))
 
@@ -43,11 +43,21 @@ def brute(rows, threshold=N.SIMILARITY):
         for j in range(i):
             if (rows[i][1] or "") == (rows[j][1] or "") or similarity(w[i], w[j]) >= threshold - 1e-9:
                 root[find(i)] = find(j)
+    return [find(i) for i in range(len(rows))]
+
+
+def classes_of(rows, of=None):
+    """The lowest id of each class."""
     groups = collections.defaultdict(list)
-    for i in range(len(rows)):
-        groups[find(i)].append(rows[i][0])
-    ids = {g: min((d for d in ds if d is not None), default=None) for g, ds in groups.items()}
-    return sorted((str(rows[i][0]), str(ids[find(i)])) for i in range(len(rows)))
+    for r, g in zip(rows, of or roots(rows)):
+        groups[g].append(r[0])
+    return {g: min((d for d in ds if d is not None), default=None) for g, ds in groups.items()}
+
+
+def brute(rows):
+    of = roots(rows)
+    ids = classes_of(rows, of)
+    return sorted((str(r[0]), str(ids[g])) for r, g in zip(rows, of))
 
 
 def edited(rng, text, share):
@@ -79,9 +89,8 @@ def test_against_brute_force(spark, seed, clash):
     assert run(docs.repartition(5)) == want
     kept = N.unique_documents(docs)
     assert kept.columns == docs.columns
-    by_class = collections.Counter(b for _, b in want if b != "None")
     out = collected(kept)
-    assert sorted(str(r["doc_id"]) for r in out if r["doc_id"] is not None) == sorted(by_class)
+    assert sorted(str(r["doc_id"]) for r in out) == sorted(str(c) for c in classes_of(rows).values())
     assert len(out) == len({(r["text"] or "") for r in out})
 
 
@@ -99,6 +108,15 @@ def test_large_group_and_chain(spark):
     assert {got[str(1000 + k)] for k in range(40)} == {"1000"}
 
 
+def test_buckets_over_the_bound_split(spark, monkeypatch):
+    monkeypatch.setattr(N, "MAX_BUCKET", 20)
+    rows = families(5, 15)
+    rng = random.Random(8)
+    text = prose(rng, 300, 10**6)
+    rows += [(5000 + i, edited(rng, text, rng.choice([0.001, 0.004, 0.01])), "en", "a", 1) for i in range(120)]
+    assert run(docs_frame(spark, rows).repartition(4)) == brute(rows)
+
+
 def test_samples_estimate_similarity():
     rng = random.Random(3)
     text = prose(rng, 2000, 10**6)
