@@ -25,9 +25,10 @@ follows its size; the hub differs between bands. Then buckets whose members
 are in more than one connected component are looked at again: pairs of
 different components whose samples agree in at least ``LIKELY`` of the bins
 are compared exactly, the likeliest of each member first and, when those link
-nothing more, all that are left. No pairs of one component are listed. A
-bucket of more than ``MAX_BUCKET`` members is split by further samples for
-this step. Classes are the connected components.
+nothing more, all that are left. There the members outside a bucket's largest
+component are the queries, held against all members in blocks of about
+``MAX_BUCKET``; no pairs of one component are listed. Classes are the
+connected components.
 
 Equal texts are one node from the start (64-bit hash of the text; null counts
 as empty), so a group of copies costs one row.
@@ -335,33 +336,45 @@ def _texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     return once.unionByName(rows.where("n > 1").select("node", "text").dropDuplicates(["node"]))
 
 
-def _split(entries: DataFrame) -> DataFrame:
-    """``entries`` (bucket, node, comp, sig) with buckets over MAX_BUCKET split
-    by one more sample at a time; members alike in all samples by their hash."""
-    for k in range(BINS + 1):
-        large = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_BUCKET)
-        large = written(large, "near-large")
-        if large.isEmpty():
-            break
-        more = F.substring("sig", k + 1, 1) if k < BINS else F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / MAX_BUCKET))
-        entries = written(entries.join(large, "bucket", "left").withColumn("bucket", F.when(
-            F.col("n").isNotNull(), F.xxhash64("bucket", more)).otherwise(F.col("bucket"))).drop("n"), "near-split")
-    return entries
-
-
-def _likely(entries: DataFrame, partners: int | None) -> DataFrame:
-    """(node, hub): pairs of members of one bucket and different components
-    whose samples agree; the likeliest ``partners`` of each member, or all."""
-    def pairs_of(nodes, comps, sigs, out):
-        for i in range(0, len(nodes), 32):
-            part = slice(i, i + 32)
-            agree = (sigs[part, None, :] == sigs[None, :, :]).mean(axis=2)
-            agree[comps[part, None] == comps[None, :]] = 0
-            if partners is not None and len(nodes) > partners:
+def _blocks_of_buckets(members: DataFrame, comps: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Rows (block, node, comp, sig, asks) of buckets whose members (bucket,
+    node) are in more than one component. Members outside the bucket's largest
+    component ask, all members are asked; a bucket of more than MAX_BUCKET is
+    dealt into blocks so that each asking member meets each other member in
+    one of them."""
+    of = members.select("bucket", "node").join(comps, "node", "left").select(
+        "bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    sizes = of.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    rows = of.join(sizes, "bucket").join(sketches.select("node", "sig"), "node").select(
+        "bucket", "node", "comp", "sig", (F.col("comp") != F.col("main.comp")).alias("asks"),
+        F.ceil(F.col("n") / MAX_BUCKET).alias("k"), F.ceil((F.col("n") - F.col("main.n")) / MAX_BUCKET).alias("kq"))
+    own, zero = F.xxhash64("node"), F.lit(0).cast("bigint")
+    asked = rows.select("bucket", "node", "comp", "sig", F.lit(False).alias("asks"), F.pmod(own, F.col("k")).alias("i"),
+                        F.explode(F.sequence(zero, F.col("kq") - 1)).alias("q"))
+    asking = rows.where("asks").select("bucket", "node", "comp", "sig", "asks", F.explode(F.sequence(zero, F.col("k") - 1)).alias("i"),
+                                       F.pmod(own, F.col("kq")).alias("q"))
+    return asked.unionByName(asking).select(F.xxhash64("bucket", "i", "q").alias("block"), "node", "comp", "sig", "asks")
+
+
+def _likely(rows: DataFrame, partners: int | None) -> DataFrame:
+    """(node, hub): pairs of members of one block and different components
+    whose samples agree; the likeliest ``partners`` of each asking member, or
+    all."""
+    def pairs_of(block, out):
+        nodes, comps, sigs, asks = block
+        asking = np.flatnonzero(asks)
+        asked = np.flatnonzero(~asks)
+        for i in range(0, len(asking), 32):
+            part = asking[i:i + 32]
+            agree = (sigs[part, None, :] == sigs[None, asked, :]).mean(axis=2)
+            agree[comps[part, None] == comps[None, asked]] = 0
+            if partners is not None and len(asked) > partners:
                 kth = np.partition(agree, -partners, axis=1)[:, -partners]
                 agree[agree < kth[:, None]] = 0
             x, y = np.nonzero(agree >= LIKELY)
-            out.append(np.stack([np.minimum(nodes[part][x], nodes[y]), np.maximum(nodes[part][x], nodes[y])]))
+            a, b = nodes[part[x]], nodes[asked[y]]
+            out.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -373,21 +386,20 @@ def _likely(entries: DataFrame, partners: int | None) -> DataFrame:
             if not batch.num_rows:
                 continue
             sigs = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, BINS)
-            rows = [np.asarray(batch.column(k)) for k in range(3)] + [sigs]
-            held = [np.concatenate([h, r]) for h, r in zip(held, rows)] if held else rows
+            more = [np.asarray(batch.column(k)) for k in range(3)] + [sigs, np.asarray(batch.column(4))]
+            held = [np.concatenate([h, m]) for h, m in zip(held, more)] if held else more
             edges = np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])
             out: list[np.ndarray] = []
-            # The last bucket may go on in the next batch.
+            # The last block may go on in the next batch.
             for a, b in zip(edges[:-1], edges[1:]):
-                pairs_of(held[1][a:b], held[2][a:b], held[3][a:b], out)
+                pairs_of([h[a:b] for h in held[1:]], out)
             held = [h[edges[-1]:] for h in held]
             yield result(out)
         if held:
             out = []
-            pairs_of(held[1], held[2], held[3], out)
+            pairs_of(held[1:], out)
             yield result(out)
-    sorted_ = entries.select("bucket", "node", "comp", "sig").repartition("bucket").sortWithinPartitions("bucket")
-    return sorted_.mapInArrow(read, "node bigint, hub bigint").distinct()
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(read, "node bigint, hub bigint").distinct()
 
 
 def _linked(keyed: DataFrame, reps: DataFrame, weights: Weights, similarity: float) -> DataFrame:
@@ -402,11 +414,7 @@ def _linked(keyed: DataFrame, reps: DataFrame, weights: Weights, similarity: flo
     partners: int | None = FIRST_PARTNERS
     while True:
         comps = components(links)
-        of = members.select("bucket", "node").join(comps, "node", "left").select(
-            "bucket", "node", F.coalesce("comp", "node").alias("comp"))
-        mixed = of.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        entries = of.join(mixed.select("bucket"), "bucket").join(sketches.select("node", "sig"), "node")
-        found = _likely(_split(written(entries, "near-mixed")), partners)
+        found = _likely(_blocks_of_buckets(members, comps, sketches), partners)
         found = written(found.join(tested, ["node", "hub"], "left_anti"), "near-pairs")
         if found.isEmpty():
             if partners is None:
