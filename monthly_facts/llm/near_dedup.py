@@ -21,11 +21,12 @@ So a document costs one draw per shingle, not one per shingle and sample.
 Links, in two steps. First all members of a bucket are held against one
 member, the hub, by exact weighted Jaccard similarity; those of ``SIMILARITY``
 or more are linked. That joins a large group in a number of comparisons that
-follows its size; the hub differs between bands. Then buckets whose members
+follows its size. Then buckets whose members
 are in more than one connected component are looked at again: pairs of
 different components whose samples agree in at least ``LIKELY`` of the bins
 are compared exactly, the likeliest of each member first and, when those link
-nothing more, all that are left. There the members outside a bucket's largest
+nothing more, all that are left; a pair counts in the first band that it
+shares. There the members outside a bucket's largest
 component are the queries, held against all members in blocks of about
 ``MAX_BUCKET``; no pairs of one component are listed. Classes are the
 connected components.
@@ -43,6 +44,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,10 +56,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 FLOOR = 64
 BINS, BANDS, ROWS = 128, 25, 5
-HUB_ORDERS = 3
-# 0.08 under the similarity: 2.3 standard deviations of the estimate.
-LIKELY = 0.72
-FIRST_PARTNERS = 3
+# 0.06 under the similarity: 1.7 standard deviations of the estimate.
+LIKELY = 0.74
+FIRST_PARTNERS = 1
 MAX_BUCKET = 4096
 GROUP_ROWS = 64
 BITMAP_BITS = 23
@@ -200,17 +201,23 @@ def _locally_frequent(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(read, "shingle bigint").distinct()
 
 
-def _bitmap(shingles: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size with the shingles' low bits."""
-    bit = F.col("shingle").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    words = shingles.select(F.shiftright(bit, 5).alias("w"), F.expr(
-        f"shiftleft(1L, CAST((shingle & {(1 << BITMAP_BITS) - 1}) & 31 AS INT))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+def _bitmap(values: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with the low bits of a column of hashes."""
+    name = values.columns[0]
+    bit = F.col(name).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    words = values.select(F.shiftright(bit, 5).alias("w"), F.expr(
+        f"shiftleft(1L, CAST(`{name}` & 31 AS INT))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
     out = np.zeros(1 << (BITMAP_BITS - 5), dtype=np.uint32)
     found = words.toPandas()  # at most 2^18 rows
     out[found["w"].to_numpy(dtype=np.int64)] = found["b"].to_numpy(dtype=np.int64).astype(np.uint32)
     return out
 
 
+def _in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    low = (hashes & _U((1 << BITMAP_BITS) - 1)).astype(np.int64)
+    return (bitmap[low >> 5] >> (low & 31).astype(np.uint32)) & 1 == 1
+
+
 def frequent_shingles(texts: DataFrame) -> Weights:
     """Exact document counts of the shingles in more than 1/FLOOR of all
     documents (``texts``: one column, one row per document)."""
@@ -220,8 +227,7 @@ def frequent_shingles(texts: DataFrame) -> Weights:
         for batch in batches:
             for block in _shingle_blocks(batch.column(0)):
                 found = _shingles(block)[1]
-                low = (found & _U((1 << BITMAP_BITS) - 1)).astype(np.int64)
-                found = found[(bitmap[low >> 5] >> (low & 31).astype(np.uint32)) & 1 == 1]
+                found = found[_in_bitmap(bitmap, found)]
                 found, n = np.unique(found, return_counts=True)
                 yield pa.RecordBatch.from_arrays([_signed(found), pa.array(n)], names=["shingle", "n"])
     total = texts.count()
@@ -266,11 +272,10 @@ def _sketches(keyed: DataFrame, weights: Weights) -> DataFrame:
 # ------------------------------------------------------------------- links
 
 def _with_hub(entries: DataFrame) -> DataFrame:
-    """``entries`` (bucket, band, node) of buckets with two members or more,
-    each with its bucket's hub."""
-    rank = F.xxhash64("node", F.col("band") % HUB_ORDERS)
-    hubs = entries.groupBy("bucket").agg(F.min(F.struct(rank.alias("r"), "node")).alias("h"), F.count(F.lit(1)).alias("n"))
-    return entries.join(hubs.where("n > 1").select("bucket", F.col("h.node").alias("hub")), "bucket")
+    """``entries`` (bucket, node) of buckets with two members or more, each
+    with its bucket's hub: the lowest node."""
+    hubs = entries.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
+    return entries.join(hubs.where("n > 1").select("bucket", "hub"), "bucket")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights, similarity: float) -> DataFrame:
@@ -326,10 +331,29 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` after more ``links``: components of the components."""
+    of = comps.select(F.col("node").alias("x"), F.col("comp").alias("c"))
+    between = links.join(of, F.col("node") == F.col("x"), "left").select("hub", F.coalesce("c", "node").alias("node")).join(
+        of, F.col("hub") == F.col("x"), "left").select("node", F.coalesce("c", "hub").alias("hub")).where("node <> hub").distinct()
+    above = components(written(between, "near-between")).select(F.col("node").alias("x"), F.col("comp").alias("c"))
+    ends = links.select("node").unionByName(links.select(F.col("hub").alias("node"))).distinct()
+    all_ = comps.unionByName(ends.join(comps, "node", "left_anti").select("node", F.col("node").alias("comp")))
+    return written(all_.join(above, F.col("comp") == F.col("x"), "left").select("node", F.coalesce("c", "comp").alias("comp")), "near-comps")
+
+
 def _texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text) of the ``wanted`` (node, rep), once each."""
     want = wanted.select(F.col("node").alias("w"), F.col("rep.doc_id").alias("d"), F.col("rep.n").alias("n"))
-    rows = keyed.join(want, (F.col("node") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("d")))
+    # Most other documents are dropped where they are read, before the join.
+    bitmap = _bitmap(wanted.select("node"))
+
+    @F.pandas_udf("boolean")
+    def perhaps(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for nodes in parts:
+            yield pd.Series(_in_bitmap(bitmap, nodes.to_numpy().view(np.uint64)))
+
+    rows = keyed.where(perhaps("node")).join(want, (F.col("node") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("d")))
     once = rows.where("n = 1").select("node", "text")
     if wanted.where("rep.n > 1").isEmpty():
         return once
@@ -337,7 +361,7 @@ def _texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _blocks_of_buckets(members: DataFrame, comps: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Rows (block, node, comp, sig, asks) of buckets whose members (bucket,
+    """Rows (block, node, comp, sig, asks, bands, band) of buckets whose members (bucket,
     node) are in more than one component. Members outside the bucket's largest
     component ask, all members are asked; a bucket of more than MAX_BUCKET is
     dealt into blocks so that each asking member meets each other member in
@@ -346,15 +370,15 @@ def _blocks_of_buckets(members: DataFrame, comps: DataFrame, sketches: DataFrame
         "bucket", "node", F.coalesce("comp", "node").alias("comp"))
     sizes = of.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
         F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    rows = of.join(sizes, "bucket").join(sketches.select("node", "sig"), "node").select(
-        "bucket", "node", "comp", "sig", (F.col("comp") != F.col("main.comp")).alias("asks"),
+    rows = of.join(sizes, "bucket").join(sketches, "node").select(
+        "bucket", "node", "comp", "sig", "bands", F.array_position("bands", F.col("bucket")).alias("band"), (F.col("comp") != F.col("main.comp")).alias("asks"),
         F.ceil(F.col("n") / MAX_BUCKET).alias("k"), F.ceil((F.col("n") - F.col("main.n")) / MAX_BUCKET).alias("kq"))
     own, zero = F.xxhash64("node"), F.lit(0).cast("bigint")
-    asked = rows.select("bucket", "node", "comp", "sig", F.lit(False).alias("asks"), F.pmod(own, F.col("k")).alias("i"),
-                        F.explode(F.sequence(zero, F.col("kq") - 1)).alias("q"))
-    asking = rows.where("asks").select("bucket", "node", "comp", "sig", "asks", F.explode(F.sequence(zero, F.col("k") - 1)).alias("i"),
-                                       F.pmod(own, F.col("kq")).alias("q"))
-    return asked.unionByName(asking).select(F.xxhash64("bucket", "i", "q").alias("block"), "node", "comp", "sig", "asks")
+    asked = rows.withColumn("asks", F.lit(False)).withColumn("i", F.pmod(own, F.col("k"))).withColumn(
+        "q", F.explode(F.sequence(zero, F.col("kq") - 1)))
+    asking = rows.where("asks").withColumn("i", F.explode(F.sequence(zero, F.col("k") - 1))).withColumn("q", F.pmod(own, F.col("kq")))
+    return asked.unionByName(asking).select(F.xxhash64("bucket", "i", "q").alias("block"), "node", "comp", "sig", "asks", "bands",
+                                            (F.col("band") - 1).cast("int").alias("band"))
 
 
 def _likely(rows: DataFrame, partners: int | None) -> DataFrame:
@@ -362,7 +386,7 @@ def _likely(rows: DataFrame, partners: int | None) -> DataFrame:
     whose samples agree; the likeliest ``partners`` of each asking member, or
     all."""
     def pairs_of(block, out):
-        nodes, comps, sigs, asks = block
+        nodes, comps, sigs, asks, keys, band = block
         asking = np.flatnonzero(asks)
         asked = np.flatnonzero(~asks)
         for i in range(0, len(asking), 32):
@@ -373,7 +397,9 @@ def _likely(rows: DataFrame, partners: int | None) -> DataFrame:
                 kth = np.partition(agree, -partners, axis=1)[:, -partners]
                 agree[agree < kth[:, None]] = 0
             x, y = np.nonzero(agree >= LIKELY)
-            a, b = nodes[part[x]], nodes[asked[y]]
+            x, y = part[x], asked[y]
+            new = ~(keys[x, :band[0]] == keys[y, :band[0]]).any(axis=1)
+            a, b = nodes[x[new]], nodes[y[new]]
             out.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,7 +412,8 @@ def _likely(rows: DataFrame, partners: int | None) -> DataFrame:
             if not batch.num_rows:
                 continue
             sigs = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, BINS)
-            more = [np.asarray(batch.column(k)) for k in range(3)] + [sigs, np.asarray(batch.column(4))]
+            more = [np.asarray(batch.column(k)) for k in range(3)] + [
+                sigs, np.asarray(batch.column(4)), np.asarray(batch.column(5).flatten()).reshape(-1, BANDS), np.asarray(batch.column(6))]
             held = [np.concatenate([h, m]) for h, m in zip(held, more)] if held else more
             edges = np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])
             out: list[np.ndarray] = []
@@ -405,15 +432,15 @@ def _likely(rows: DataFrame, partners: int | None) -> DataFrame:
 def _linked(keyed: DataFrame, reps: DataFrame, weights: Weights, similarity: float) -> DataFrame:
     """(node, comp) of all nodes that have a link."""
     sketches = written(_sketches(keyed, weights), "near-sketches")
-    members = written(_with_hub(sketches.select("node", F.posexplode("bands").alias("band", "bucket"))), "near-members")
+    members = written(_with_hub(sketches.select(F.explode("bands").alias("bucket"), "node")), "near-members")
     wanted = written(members.select("node").distinct().join(reps, "node"), "near-wanted")
     texts = written(_texts(keyed, wanted), "near-texts")
     tested = written(members.where("node <> hub").select(
         F.greatest("node", "hub").alias("node"), F.least("node", "hub").alias("hub")).distinct(), "near-pairs")
     links = written(_verified(tested, texts, weights, similarity), "near-links")
+    comps = components(links)
     partners: int | None = FIRST_PARTNERS
     while True:
-        comps = components(links)
         found = _likely(_blocks_of_buckets(members, comps, sketches), partners)
         found = written(found.join(tested, ["node", "hub"], "left_anti"), "near-pairs")
         if found.isEmpty():
@@ -422,10 +449,12 @@ def _linked(keyed: DataFrame, reps: DataFrame, weights: Weights, similarity: flo
             partners = None
             continue
         new = written(_verified(found, texts, weights, similarity), "near-links")
-        tested, links = tested.unionByName(found), links.unionByName(new)
-        if new.isEmpty():
-            if partners is None:
-                return comps
+        tested = tested.unionByName(found)
+        if not new.isEmpty():
+            comps = _joined(comps, new)
+        elif partners is None:
+            return comps
+        else:
             partners = None
 
 
