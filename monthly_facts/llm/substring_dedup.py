@@ -1,16 +1,16 @@
 """Substring deduplication by super-k-mer partitioning.
 
 A window is ``WINDOW`` consecutive words of one document. Its minimiser is the
-5-word gram with the lowest hash in it (the first of equals). Consecutive
-windows that share a minimiser occurrence form a super-k-mer: one packed
-string of their words. Equal windows have equal minimisers, so a bucket per
+5-word gram with the lowest hash in it. Consecutive windows that share a
+minimiser form a super-k-mer: one packed string of their words (a stretch of
+repeated words is one super-k-mer, not one per repetition). Equal windows have equal minimisers, so a bucket per
 minimiser sees all copies of its windows, and reading a bucket in document
 order finds for each window whether its words started earlier.
 
 What travels:
 
-1. (minimiser, document) for every super-k-mer; minimisers that occur once in
-   the corpus cannot hold a repeated window and go no further.
+1. (minimiser, document, occurrences), once per document; minimisers that
+   occur once in the corpus cannot hold a repeated window and go no further.
 2. The documents meet the list of their repeated minimisers and send those
    super-k-mers as packed strings. Equal strings of one block of documents
    are settled there: only the first travels, the others are covered whole.
@@ -42,6 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from monthly_facts.llm.tables import written
 from monthly_facts.llm.words import Block, blocks, gram_hashes, gram_starts, mix64
 
 WINDOW = 20
@@ -63,18 +64,19 @@ def _first_lowest(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def super_kmers(block: Block, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window's word, number of windows, minimiser hash) of each run of
-    windows that share a minimiser occurrence, in text order."""
+def super_kmers(block: Block, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first window's word, number of windows, minimiser hash,
+    places of the minimiser) of each run of windows that share a minimiser, in
+    text order."""
     starts = gram_starts(block.word_offsets, window)
     if not len(starts):
-        return starts, starts, np.zeros(0, dtype=np.uint64)
+        return starts, starts, starts, np.zeros(0, dtype=np.uint64), starts
     grams = gram_hashes(block.hashes(), GRAM)
     at = _first_lowest(grams, window - GRAM + 1)[starts]
-    # A run ends where the minimiser moves (also at a document's end, since
-    # windows of two documents share no word).
-    edges = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return starts[edges], np.diff(np.r_[edges, len(starts)]), grams[at[edges]]
+    doc = np.searchsorted(block.word_offsets, starts, side="right") - 1
+    moved = np.r_[True, at[1:] != at[:-1]]
+    edges = np.flatnonzero(np.r_[True, (grams[at[1:]] != grams[at[:-1]]) | (doc[1:] != doc[:-1])])
+    return doc[edges], starts[edges], np.diff(np.r_[edges, len(starts)]), grams[at[edges]], np.add.reduceat(moved.astype(np.int64), edges)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -90,10 +92,12 @@ def _minimisers(keyed: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             keys = batch.column(1).to_numpy()
             for block in blocks(batch.column(0)):
-                first, _, lowest = super_kmers(block, window)
-                doc = np.searchsorted(block.word_offsets, first, side="right") - 1
-                yield pa.RecordBatch.from_arrays([_signed(lowest), pa.array(keys[block.first + doc])], names=["m", "doc_key"])
-    return keyed.select("text", "doc_key").mapInArrow(read, "m bigint, doc_key bigint")
+                doc, _, _, lowest, places = super_kmers(block, window)
+                _, at, back = np.unique(mix64(lowest + doc.astype(np.uint64) * _SEED), return_index=True, return_inverse=True)
+                sums = np.bincount(back, weights=places, minlength=len(at)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(lowest[at]), pa.array(keys[block.first + doc[at]]), pa.array(sums)], names=["m", "doc_key", "n"])
+    return keyed.select("text", "doc_key").mapInArrow(read, "m bigint, doc_key bigint, n bigint")
 
 
 def _in_sets(doc: np.ndarray, values: np.ndarray, sets: pa.Array, marks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -128,8 +132,7 @@ def _packed(candidates: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             doc_ids, doc_keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for block in blocks(batch.column(2)):
-                first, count, lowest = super_kmers(block, window)
-                doc = np.searchsorted(block.word_offsets, first, side="right") - 1
+                doc, first, count, lowest, _ = super_kmers(block, window)
                 rows = slice(block.first, block.first + len(block))
                 sets, marks = batch.column(3)[rows], batch.column(4)[rows]
                 found, hot = _in_sets(doc, lowest, sets, marks)
@@ -208,11 +211,13 @@ def covered(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> tuple[Data
     """(documents with their doc_key, covered word ranges per document)."""
     keyed = _keyed(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
     found = _minimisers(keyed, window)
-    # Partial sums before the exchange; a minimiser of very many documents is
-    # split by the skew join.
-    repeated = found.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Partial sums before the exchange. Written, so that the join below has a
+    # plain exchange on either side and a minimiser of very many documents can
+    # be split by the skew join.
+    repeated = written(found.groupBy("m").agg(F.sum("n").alias("n")).where("n > 1").select(
+        "m", (F.col("n") > hot).alias("h")), "substring-minimisers")
     sets = (
-        found.join(repeated.select("m", (F.col("n") > hot).alias("h")), "m")
+        found.select("m", "doc_key").join(repeated, "m")
         .groupBy("doc_key").agg(F.collect_set(F.struct("m", "h")).alias("l"))
         .select("doc_key", F.col("l.m").alias("ms"), F.col("l.h").alias("hot"))
     )
