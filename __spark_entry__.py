@@ -17,16 +17,18 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import monthly_facts as mf
 from monthly_facts import schema as S
+from monthly_facts.functions.months import month_start, source_month_date
 from monthly_facts.operators import dims as D
 from monthly_facts.operators import reshape as R
-from monthly_facts.operators import serve
 from monthly_facts.session import fresh_dir
 from monthly_facts.sources import testdata as TD
+from monthly_facts.sources.files import partition_values, rename_folder, write_new
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -59,7 +61,7 @@ def _gold(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _monthly(spark: SparkSession, d: str) -> DataFrame:
-    return mf.monthly_totals(_gold(spark, d))
+    return mf.monthly_sums(_gold(spark, d))
 
 
 def _r2(df: DataFrame, *cols: str) -> DataFrame:
@@ -67,12 +69,37 @@ def _r2(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.round(c, 2).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def _numbered(df: DataFrame, *order) -> DataFrame:
-    """Attach the 1-based position in ``order`` as ``ord``. Only for option
-    lists bounded by the calendar or a code domain: the window has no
-    partition key."""
-    w = Window.orderBy(*order)
-    return df.withColumn("ord", F.row_number().over(w).cast("bigint"))
+def _positioned(df: DataFrame) -> DataFrame:
+    """The rows of an ordered result with their 1-based position in it as
+    ``ord``: the position is the operator's own, nothing is sorted here."""
+    schema = T.StructType(df.schema.fields + [T.StructField("ord", T.LongType())])
+    return df.sparkSession.createDataFrame(df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1] + 1)), schema)
+
+
+def _file_positions(spark: SparkSession, files: list[str], *columns) -> DataFrame:
+    """Rows of ordered data files with their position: rows of the files
+    before plus the row's place in its own file."""
+    rows = spark.read.schema(S.GOLD_SCHEMA).parquet(*files).select(
+        *columns, F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
+    sizes = {r["f"]: r["count"] for r in rows.groupBy("f").count().collect()}
+    at, starts = 0, []
+    for f in files:
+        name = f.rsplit("/", 1)[1]
+        starts.append((name, at))
+        at += sizes.get(name, 0)
+    return rows.join(spark.createDataFrame(starts, "f string, s bigint"), "f").withColumn(
+        "ord", F.col("s") + F.col("i") + 1).drop("f", "s", "i")
+
+
+def _tree(spark: SparkSession, parts: dict[str, DataFrame], name: str) -> str:
+    """A foreign tree ``<root>/<part>/<source name>/file``: partitioned writes
+    whose folders are renamed."""
+    root, work = fresh_dir(spark, name), fresh_dir(spark, name + "-parts")
+    for part, df in parts.items():
+        df.write.partitionBy(S.SOURCE_COL).parquet(f"{work}/{part}")
+        for (source,) in partition_values(spark, f"{work}/{part}", S.SOURCE_COL):
+            rename_folder(spark, f"{work}/{part}/{S.SOURCE_COL}={source}", f"{root}/{part}/{source}")
+    return root
 
 
 def _procedure_dim(spark, d):
@@ -112,8 +139,7 @@ def _ingested(spark: SparkSession, d: str) -> dict:
 # ------------------------------------------------------------------ queries
 
 def q_silver_rows(spark, d):
-    return _silver(spark, d).select(S.FACILITY, S.SOURCE_COL, S.DATE_COL, S.YEAR_COL,
-                                    S.MONTH_NAME_COL, S.STATE_COL)
+    return _silver(spark, d)
 
 
 def q_silver_facilities(spark, d):
@@ -126,7 +152,7 @@ def q_gold_rollup(spark, d):
 
 
 def q_years(spark, d):
-    return _numbered(mf.years(_gold(spark, d)), S.YEAR_COL)
+    return _positioned(mf.years(_gold(spark, d)))
 
 
 def q_year_bounds(spark, d):
@@ -134,16 +160,15 @@ def q_year_bounds(spark, d):
 
 
 def q_months_of_years(spark, d):
-    firsts = serve.month_firsts(_gold(spark, d), YEARS)
-    return _numbered(firsts, "first_date").select(S.MONTH_NAME_COL, "ord")
+    return _positioned(mf.months_of_years(_gold(spark, d), YEARS))
 
 
 def q_municipalities(spark, d):
-    return _numbered(mf.municipalities(_gold(spark, d)), F.col(S.MUNICIPALITY).asc_nulls_last())
+    return _positioned(mf.municipalities(_gold(spark, d)))
 
 
 def q_monthly_totals(spark, d):
-    return _r2(_monthly(spark, d))
+    return _r2(_positioned(mf.monthly_totals(_gold(spark, d))))
 
 
 def q_monthly_totals_filtered(spark, d):
@@ -162,7 +187,7 @@ def q_yearly_totals(spark, d):
 
 
 def q_monthly_preview(spark, d):
-    return _r2(mf.preview(_monthly(spark, d), 3))
+    return _r2(mf.preview(mf.monthly_totals(_gold(spark, d)), 3))
 
 
 def q_facility_dim(spark, d):
@@ -174,7 +199,7 @@ def q_procedure_dim(spark, d):
 
 
 def q_procedure_options(spark, d):
-    return mf.label_options(_procedure_dim(spark, d), D.PROCEDURE_LABEL)
+    return _positioned(mf.label_options(_procedure_dim(spark, d), D.PROCEDURE_LABEL))
 
 
 def q_totals_by_label(spark, d):
@@ -192,7 +217,7 @@ def q_totals_by_facility_label(spark, d):
 
 
 def q_yearly_long(spark, d):
-    return _r2(mf.yearly_long(_monthly(spark, d), S.VALUE_MEASURES, R.VALUE_COL))
+    return _r2(_positioned(mf.yearly_long(_monthly(spark, d), S.VALUE_MEASURES, R.VALUE_COL)))
 
 
 def q_yearly_qty_long(spark, d):
@@ -200,7 +225,7 @@ def q_yearly_qty_long(spark, d):
 
 
 def q_monthly_value_long(spark, d):
-    return _r2(R.value_series(_monthly(spark, d)))
+    return _r2(_positioned(R.value_series(_monthly(spark, d))))
 
 
 def q_monthly_qty_long(spark, d):
@@ -248,6 +273,181 @@ def q_ingest_gold(spark, d):
     return _r2(mf.read_gold(spark, layout.gold).select(*S.GOLD_COLUMNS))
 
 
+def q_filtered_from_gold(spark, d):
+    """Served from the stored month partitions; years and months prune folders."""
+    gold = mf.read_gold(spark, _ingested(spark, d)["layout"].gold)
+    return _r2(mf.monthly_totals(gold, anos=YEARS, meses=MONTHS, municipios=MUNICIPALITIES,
+                                 measures=["PA_VALPRO", "PA_QTDPRO"]))
+
+
+def q_totals_from_consolidated(spark, d):
+    cons = mf.read_consolidated(spark, _ingested(spark, d)["layout"].consolidated)
+    return _r2(_positioned(mf.monthly_totals(cons)))
+
+
+def q_dim_records(spark, d):
+    """Code and label of both published dimensions."""
+    layout = _ingested(spark, d)["layout"]
+    fac = mf.read_dimension(spark, layout.facility_dim, S.FACILITY, D.FACILITY_LABEL)
+    proc = mf.read_dimension(spark, layout.procedure_dim, S.PROCEDURE, D.PROCEDURE_LABEL)
+    return fac.select(F.lit("facility").alias("dim"), F.col(S.FACILITY).alias("code"), F.col(D.FACILITY_LABEL).alias("label")).unionAll(
+        proc.select(F.lit("procedure"), S.PROCEDURE, D.PROCEDURE_LABEL))
+
+
+def q_bad_names_dropped(spark, d):
+    """Returned rows get source names that name no month, or none at all."""
+    r = F.col("PA_VALAPR") == "0.00"
+    bad = F.element_at(F.array(F.lit("PACE2413"), F.lit("PACEXXYY"), F.lit("P1CE2401"), F.lit("")),
+                       F.pmod(F.col(S.FACILITY).cast("int"), F.lit(4)) + 1)
+    bronze = _bronze(spark, d).withColumn(S.SOURCE_COL, F.when(r, bad).otherwise(F.col(S.SOURCE_COL)))
+    return mf.derive_silver(bronze).select(S.FACILITY, S.SOURCE_COL, S.DATE_COL, "PA_VALPRO")
+
+
+def q_duplicate_columns(spark, d):
+    """A second column of the same name, with other values, is dropped."""
+    bronze = _bronze(spark, d)
+    twice = bronze.select("*", F.lit("second").alias(S.FACILITY), F.lit("second").alias("PA_VALPRO"))
+    return mf.derive_silver(twice).select(S.FACILITY, "PA_VALPRO", S.DATE_COL)
+
+
+def q_silver_table(spark, d):
+    out = fresh_dir(spark, "silver")
+    mf.write_silver(_silver(spark, d), out)
+    return mf.read_silver(spark, out).select(S.FACILITY, S.PROCEDURE, S.SOURCE_COL, S.DATE_COL, "PA_VALPRO", S.PART_YEAR, S.PART_MONTH)
+
+
+class _NoGold(mf.Layout):
+    """A layout whose gold cannot be written: its folder is a file."""
+
+    @property
+    def gold(self) -> str:
+        return self._p("not-a-folder")
+
+
+def q_resume_from_silver(spark, d):
+    """Gold fails after silver is stored; the next run has no bronze at all."""
+    root = fresh_dir(spark, "resume")
+    broken = _NoGold(root)
+    write_new(spark, broken.gold, "x")
+    bronze = _bronze(spark, d)
+    try:
+        mf.ingest(spark, bronze, broken, TODAY, start=START, keep_silver=True)
+    except Exception:  # noqa: BLE001 - the failure this query is about
+        pass
+    layout = mf.Layout(root)
+    mf.ingest(spark, bronze.where(F.lit(False)), layout, TODAY, start=START, keep_silver=True)
+    return _r2(mf.read_gold(spark, layout.gold).select(*S.GOLD_COLUMNS))
+
+
+def q_gold_tree(spark, d):
+    """Months published as ano=YYYY/mes=MM by another tool."""
+    out, tree = fresh_dir(spark, "gold"), fresh_dir(spark, "gold-tree")
+    mf.write_month_partitions(_gold(spark, d), out)
+    for a, m in mf.month_folders(spark, out):
+        rename_folder(spark, f"{out}/{S.PART_YEAR}={a}/{S.PART_MONTH}={m}", f"{tree}/ano={a}/mes={m:02d}")
+    return _r2(mf.read_gold_tree(spark, tree))
+
+
+def q_label_csv_dim(spark, d):
+    """A Latin-1 label table with accents and leading zeros."""
+    out = fresh_dir(spark, "labels")
+    TD.facility_labels(spark, d).select(
+        F.format_string("%07d", "CNES").alias("CNES"), F.concat("FANTASIA", F.lit(" São José")).alias("FANTASIA")
+    ).write.option("header", "true").option("encoding", "ISO-8859-1").csv(out)
+    return mf.facility_dimension(mf.read_label_table(spark, out))
+
+
+def q_records_roundtrip(spark, d):
+    out = fresh_dir(spark, "records")
+    mf.write_records(mf.monthly_totals(_gold(spark, d)), out)
+    return _r2(mf.read_records(spark, out))
+
+
+def q_option_list(spark, d):
+    """The municipalities as the Python list a selection box shows."""
+    options = mf.to_list(mf.municipalities(_gold(spark, d)))
+    return spark.createDataFrame(list(enumerate(options, start=1)), "ord bigint, opcao string")
+
+
+def q_result_shape(spark, d):
+    monthly = _monthly(spark, d)
+    rows, columns = mf.shape(monthly)
+    return spark.createDataFrame([(rows, columns, ",".join(monthly.columns))], "n_rows bigint, n_columns bigint, names string")
+
+
+def q_start_months(spark, d):
+    landed = mf.landed_months(_gold(spark, d))
+    cases = [("explicit", mf.start_month(landed, explicit=START, after_latest=True)),
+             ("after_latest", mf.start_month(landed, after_latest=True)), ("default", mf.start_month(landed))]
+    return spark.createDataFrame([(c, a, m) for c, (a, m) in cases], "caso string, ano int, mes int")
+
+
+def q_consolidated_order(spark, d):
+    files = mf.consolidated_files(spark, _ingested(spark, d)["layout"].consolidated)
+    return _file_positions(spark, files, S.DATE_COL, S.MUNICIPALITY, S.FACILITY, S.PROCEDURE)
+
+
+def q_consolidated_by_keys(spark, d):
+    out = fresh_dir(spark, "by-keys")
+    mf.consolidate(spark, _ingested(spark, d)["layout"].gold, out, by="keys", compression="zstd")
+    return _file_positions(spark, mf.consolidated_files(spark, out), S.DATE_COL, S.MUNICIPALITY, S.FACILITY, S.PROCEDURE)
+
+
+def q_bronze_tree_gold(spark, d):
+    """Landed from a foreign tree, then ingested."""
+    tree = mf.read_bronze_tree(spark, _tree(spark, {"all": _bronze(spark, d)}, "tree"))
+    layout = mf.Layout(fresh_dir(spark, "from-tree"))
+    mf.land_bronze(tree, layout.bronze, rebalance=False)
+    mf.ingest(spark, mf.read_bronze(spark, layout.bronze), layout, TODAY, start=START)
+    return _r2(mf.read_gold(spark, layout.gold).select(*S.GOLD_COLUMNS))
+
+
+def _broken_tree(spark: SparkSession, d: str) -> str:
+    """March sources lack a measure, May ones store a number, and June ones
+    have a second file that is no Parquet file."""
+    bronze = _bronze(spark, d)
+    month = F.month(source_month_date(S.SOURCE_COL))
+    root = _tree(spark, {"good": bronze.where(~month.isin(3, 5)),
+                         "lacking": bronze.where(month == 3).drop("PA_VALPRO"),
+                         "typed": bronze.where(month == 5).withColumn("PA_QTDPRO", F.col("PA_QTDPRO").cast("bigint"))}, "broken")
+    for r in bronze.where(month == 6).select(S.SOURCE_COL).distinct().collect():
+        write_new(spark, f"{root}/good/{r[0]}/cut.parquet", "PAR1 not the whole file")
+    return root
+
+
+def q_unreadable_sources(spark, d):
+    problems = mf.tree_problems(spark, _broken_tree(spark, d))
+    told = F.col("erro").startswith("lacks") | F.col("erro").startswith("not text")
+    return problems.select(S.SOURCE_COL, F.when(told, F.col("erro")).otherwise("unreadable").alias("problema")).distinct()
+
+
+def q_ingest_with_unreadable(spark, d):
+    """Months of unreadable sources fail and stay pending; the others land whole."""
+    root = _broken_tree(spark, d)
+    problems = mf.tree_problems(spark, root)
+    layout = mf.Layout(fresh_dir(spark, "unreadable"))
+    mf.land_bronze(mf.read_bronze_tree(spark, root, exclude=problems), layout.bronze, rebalance=False)
+    report = mf.ingest(spark, mf.read_bronze(spark, layout.bronze), layout, TODAY, start=START, unreadable=problems)
+    sums = mf.monthly_sums(mf.read_gold(spark, layout.gold), measures=["PA_VALPRO"])
+    log = report.log.where("status <> 'no_data'").withColumn(S.DATE_COL, month_start("ano", "mes"))
+    return _r2(log.join(sums, S.DATE_COL, "left").select(S.DATE_COL, "status", "PA_VALPRO"))
+
+
+def q_ingest_with_bad_month(spark, d):
+    """April extracts of facility 1 hold a quantity that is not a number."""
+    april = F.month(source_month_date(S.SOURCE_COL)) == 4
+    bronze = _bronze(spark, d).withColumn(
+        "PA_QTDPRO", F.when(april & (F.col(S.FACILITY) == "1"), "x").otherwise(F.col("PA_QTDPRO")))
+    layout = mf.Layout(fresh_dir(spark, "bad-month"))
+    report = mf.ingest(spark, bronze, layout, TODAY, start=START)
+    return report.log.select("ano", "mes", "status", "detalhe")
+
+
+def q_published_months(spark, d):
+    """Landed months as the run's bookkeeping sees them: a listing."""
+    return mf.existing_months(spark, _ingested(spark, d)["layout"])
+
+
 def q_ingest_run_summary(spark, d):
     runs = _ingested(spark, d)["runs"]
     parts = [r.summary().select(F.lit(i + 1).cast("int").alias("run"), "status", "n")
@@ -281,9 +481,20 @@ def q_stream_gold(spark, d):
 
 
 def q_dashboard_monthly(spark, d):
-    t = mf.dashboard_tables(_gold(spark, d), _facility_dim(spark, d), _procedure_dim(spark, d),
-                            anos=YEARS, municipios=MUNICIPALITIES)
-    return _r2(t["monthly"])
+    return _r2(_dashboard(spark, d)["monthly"])
+
+
+def _dashboard(spark, d):
+    """All filters at once, labels of both dimensions among them."""
+    fac, proc = _facility_dim(spark, d), _procedure_dim(spark, d)
+    return mf.dashboard_tables(
+        _gold(spark, d), fac, proc, anos=YEARS, municipios=MUNICIPALITIES,
+        facility_labels=fac.where(F.col(D.FACILITY_LABEL).like("%1 - %")).select(D.FACILITY_LABEL),
+        procedure_labels=proc.where(F.col(D.PROCEDURE_LABEL).like("1%")).select(D.PROCEDURE_LABEL))
+
+
+def _dashboard_query(name):
+    return lambda spark, d: _r2(_dashboard(spark, d)[name])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -316,12 +527,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_month": q_latest_month,
     "source_grid": q_source_grid,
     "ingest_gold": q_ingest_gold,
+    "filtered_from_gold": q_filtered_from_gold,
+    "totals_from_consolidated": q_totals_from_consolidated,
+    "dim_records": q_dim_records,
+    "bad_names_dropped": q_bad_names_dropped,
+    "duplicate_columns": q_duplicate_columns,
+    "silver_table": q_silver_table,
+    "resume_from_silver": q_resume_from_silver,
+    "gold_tree": q_gold_tree,
+    "label_csv_dim": q_label_csv_dim,
+    "records_roundtrip": q_records_roundtrip,
+    "option_list": q_option_list,
+    "result_shape": q_result_shape,
+    "start_months": q_start_months,
+    "consolidated_order": q_consolidated_order,
+    "consolidated_by_keys": q_consolidated_by_keys,
+    "bronze_tree_gold": q_bronze_tree_gold,
+    "unreadable_sources": q_unreadable_sources,
+    "ingest_with_unreadable": q_ingest_with_unreadable,
+    "ingest_with_bad_month": q_ingest_with_bad_month,
+    "published_months": q_published_months,
     "ingest_run_summary": q_ingest_run_summary,
     "landed_months": q_landed_months,
     "consolidated": q_consolidated,
     "published_facility_dim": q_published_facility_dim,
     "stream_gold": q_stream_gold,
     "dashboard_monthly": q_dashboard_monthly,
+    **{f"dashboard_{t}": _dashboard_query(t) for t in (
+        "yearly_values", "yearly_quantities", "value_series", "quantity_series", "value_mean", "quantity_mean")},
 }
 
 
@@ -374,8 +607,58 @@ SELECT run, status, count(*) n
 FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3) GROUP BY ALL
 """
 
+_DASHBOARD = """,
+dash AS (SELECT data_ref, round(sum(PA_VALPRO), 2) PA_VALPRO, round(sum(PA_VALAPR), 2) PA_VALAPR,
+                CAST(sum(PA_QTDPRO) AS BIGINT) PA_QTDPRO, CAST(sum(PA_QTDAPR) AS BIGINT) PA_QTDAPR
+         FROM gold WHERE Ano IN (2098, 2099) AND PA_MUNPCN IN ('1', '2', '15')
+         AND PA_CODUNI IN (SELECT PA_CODUNI FROM facdim WHERE label_estabelecimento LIKE '%1 - %')
+         AND PA_PROC_ID IN (SELECT PA_PROC_ID FROM procdim WHERE label_procedimento LIKE '1%') GROUP BY data_ref)
+"""
+
 _FINAL = {
-    "silver_rows": "SELECT PA_CODUNI, arquivo_origem, data_ref, Ano, Mes, UF FROM silver",
+    "silver_rows": "SELECT " + ", ".join(
+        c if c in ("PA_CODUNI", "PA_PROC_ID", "PA_MUNPCN", *S.MEASURES) else f"CAST(NULL AS VARCHAR) {c}"
+        for c in S.COLUMNS_OF_INTEREST) + ", arquivo_origem, data_ref, Ano, Mes, UF FROM silver",
+    "filtered_from_gold": "SELECT data_ref, round(sum(PA_VALPRO), 2) PA_VALPRO, CAST(sum(PA_QTDPRO) AS BIGINT) PA_QTDPRO "
+                          "FROM gold WHERE Ano IN (2098, 2099) AND Mes IN ('January', 'March') "
+                          "AND PA_MUNPCN IN ('1', '2', '15') GROUP BY data_ref",
+    "totals_from_consolidated": "SELECT *, row_number() OVER (ORDER BY data_ref) ord FROM monthly",
+    "dim_records": "SELECT 'facility' dim, PA_CODUNI code, label_estabelecimento \"label\" FROM facdim UNION ALL "
+                   "SELECT 'procedure', PA_PROC_ID, label_procedimento FROM procdim",
+    "bad_names_dropped": "SELECT PA_CODUNI, arquivo_origem, data_ref, PA_VALPRO FROM silver WHERE PA_VALAPR <> '0.00'",
+    "duplicate_columns": "SELECT PA_CODUNI, PA_VALPRO, data_ref FROM silver",
+    "silver_table": "SELECT PA_CODUNI, PA_PROC_ID, arquivo_origem, data_ref, PA_VALPRO, CAST(year(data_ref) AS INTEGER) ref_ano, "
+                    "CAST(month(data_ref) AS INTEGER) ref_mes FROM silver",
+    "resume_from_silver": "SELECT * FROM gold",
+    "gold_tree": "SELECT *, CAST(year(data_ref) AS INTEGER) ref_ano, CAST(month(data_ref) AS INTEGER) ref_mes FROM gold",
+    "label_csv_dim": "SELECT lpad(PA_CODUNI, 7, '0') PA_CODUNI, FANTASIA || ' São José' FANTASIA, "
+                     "lpad(PA_CODUNI, 7, '0') || ' - ' || FANTASIA || ' São José' label_estabelecimento FROM facdim",
+    "records_roundtrip": "SELECT * FROM monthly",
+    "option_list": "SELECT row_number() OVER (ORDER BY PA_MUNPCN) ord, PA_MUNPCN opcao FROM (SELECT DISTINCT PA_MUNPCN FROM gold)",
+    "result_shape": "SELECT count(*) n_rows, CAST(5 AS BIGINT) n_columns, 'data_ref,PA_VALPRO,PA_VALAPR,PA_QTDPRO,PA_QTDAPR' \"names\" FROM monthly",
+    "start_months": "SELECT 'explicit' caso, 2000 ano, 1 mes UNION ALL SELECT 'default', 2018, 1 UNION ALL "
+                    "SELECT 'after_latest', CAST(year(max(data_ref) + INTERVAL 1 MONTH) AS INTEGER), "
+                    "CAST(month(max(data_ref) + INTERVAL 1 MONTH) AS INTEGER) FROM gold",
+    "consolidated_order": "SELECT data_ref, PA_MUNPCN, PA_CODUNI, PA_PROC_ID, row_number() OVER "
+                          "(ORDER BY data_ref, PA_MUNPCN, PA_CODUNI, PA_PROC_ID) ord FROM gold",
+    "consolidated_by_keys": "SELECT data_ref, PA_MUNPCN, PA_CODUNI, PA_PROC_ID, row_number() OVER "
+                            "(ORDER BY Ano, month(data_ref), PA_MUNPCN, PA_CODUNI, PA_PROC_ID) ord FROM gold",
+    "bronze_tree_gold": "SELECT * FROM gold",
+    "unreadable_sources": "SELECT DISTINCT arquivo_origem, CASE month(data_ref) WHEN 3 THEN 'lacks PA_VALPRO' "
+                          "WHEN 5 THEN 'not text: PA_QTDPRO (INT64)' ELSE 'unreadable' END problema "
+                          "FROM silver WHERE month(data_ref) IN (3, 5, 6)",
+    "ingest_with_unreadable": "SELECT data_ref, CASE WHEN month(data_ref) IN (3, 5, 6) THEN 'failed' ELSE 'ok' END status, "
+                              "CASE WHEN month(data_ref) NOT IN (3, 5, 6) THEN PA_VALPRO END PA_VALPRO FROM monthly",
+    "ingest_with_bad_month": """,
+cal AS (SELECT CAST(m AS DATE) m FROM range(DATE '2000-01-01', DATE '2101-12-01', INTERVAL 1 MONTH) t(m)),
+bad AS (SELECT data_ref, count(*) n FROM silver WHERE month(data_ref) = 4 AND PA_CODUNI = '1' GROUP BY data_ref)
+SELECT CAST(year(m) AS INTEGER) ano, CAST(month(m) AS INTEGER) mes,
+       CASE WHEN n IS NOT NULL THEN 'failed' WHEN m IN (SELECT data_ref FROM monthly) THEN 'ok' ELSE 'no_data' END status,
+       CASE WHEN n IS NOT NULL THEN 'PA_QTDPRO: ' || n || ' values are not numbers, e.g. ' || chr(39) || 'x' || chr(39)
+            WHEN m NOT IN (SELECT data_ref FROM monthly) THEN 'no source rows for this month' END detalhe
+FROM cal LEFT JOIN bad ON m = data_ref
+""",
+    "published_months": "SELECT CAST(year(data_ref) AS INTEGER) ano, CAST(month(data_ref) AS INTEGER) mes FROM monthly",
     "silver_facilities": "SELECT PA_CODUNI, data_ref, PA_VALPRO FROM silver WHERE PA_CODUNI IN ('1','2','3')",
     "gold_rollup": "SELECT * FROM gold",
     "years": "SELECT Ano, row_number() OVER (ORDER BY Ano) ord FROM (SELECT DISTINCT Ano FROM gold)",
@@ -384,7 +667,7 @@ _FINAL = {
                        "WHERE Ano IN (2098, 2099) GROUP BY Mes",
     "municipalities": "SELECT PA_MUNPCN, row_number() OVER (ORDER BY PA_MUNPCN NULLS LAST) ord "
                       "FROM (SELECT DISTINCT PA_MUNPCN FROM gold)",
-    "monthly_totals": "SELECT * FROM monthly",
+    "monthly_totals": "SELECT *, row_number() OVER (ORDER BY data_ref) ord FROM monthly",
     "monthly_totals_filtered": "SELECT data_ref, round(sum(PA_VALPRO), 2) PA_VALPRO, "
                                "CAST(sum(PA_QTDPRO) AS BIGINT) PA_QTDPRO FROM gold "
                                "WHERE Ano IN (2098, 2099) AND Mes IN ('January', 'March') "
@@ -399,22 +682,24 @@ _FINAL = {
     "monthly_preview": "SELECT * FROM monthly ORDER BY data_ref LIMIT 3",
     "facility_dim": "SELECT * FROM facdim",
     "procedure_dim": "SELECT * FROM procdim",
-    "procedure_options": "SELECT label_procedimento FROM procdim",
+    "procedure_options": "SELECT label_procedimento, row_number() OVER (ORDER BY label_procedimento) ord FROM procdim",
     "totals_by_label": "SELECT data_ref, round(sum(PA_VALPRO), 2) PA_VALPRO FROM gold WHERE PA_PROC_ID IN "
                        "(SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE CAST(p_partkey AS VARCHAR) "
                        "|| ' - ' || p_name LIKE '1% - cold%') GROUP BY data_ref",
     "totals_by_facility_label": "SELECT data_ref, CAST(sum(PA_QTDPRO) AS BIGINT) PA_QTDPRO FROM gold "
                                 "WHERE PA_CODUNI IN (SELECT PA_CODUNI FROM facdim "
                                 "WHERE label_estabelecimento LIKE '1%') GROUP BY data_ref",
-    "yearly_long": "SELECT CAST(year(data_ref) AS INTEGER) Ano, 'Produzido' tipo, round(sum(PA_VALPRO), 2) valor "
+    "yearly_long": "SELECT *, row_number() OVER (ORDER BY tipo, Ano) ord FROM ("
+                   "SELECT CAST(year(data_ref) AS INTEGER) Ano, 'Produzido' tipo, round(sum(PA_VALPRO), 2) valor "
                    "FROM monthly GROUP BY 1 UNION ALL SELECT CAST(year(data_ref) AS INTEGER), 'Aprovado', "
-                   "round(sum(PA_VALAPR), 2) FROM monthly GROUP BY 1",
+                   "round(sum(PA_VALAPR), 2) FROM monthly GROUP BY 1)",
     "yearly_qty_long": "SELECT CAST(year(data_ref) AS INTEGER) Ano, 'Produzido' tipo, "
                        "CAST(sum(PA_QTDPRO) AS BIGINT) quantidade FROM monthly GROUP BY 1 UNION ALL "
                        "SELECT CAST(year(data_ref) AS INTEGER), 'Aprovado', CAST(sum(PA_QTDAPR) AS BIGINT) "
                        "FROM monthly GROUP BY 1",
-    "monthly_value_long": "SELECT data_ref, 'Produzido' tipo, PA_VALPRO valor FROM monthly UNION ALL "
-                          "SELECT data_ref, 'Aprovado', PA_VALAPR FROM monthly",
+    "monthly_value_long": "SELECT *, row_number() OVER (ORDER BY data_ref, tipo) ord FROM ("
+                          "SELECT data_ref, 'Produzido' tipo, PA_VALPRO valor FROM monthly UNION ALL "
+                          "SELECT data_ref, 'Aprovado', PA_VALAPR FROM monthly)",
     "monthly_qty_long": "SELECT data_ref, 'Produzido' tipo, PA_QTDPRO quantidade FROM monthly UNION ALL "
                         "SELECT data_ref, 'Aprovado', PA_QTDAPR FROM monthly",
     "pooled_mean": "SELECT round(avg(v), 2) media FROM (SELECT PA_VALPRO v FROM monthly UNION ALL "
@@ -436,9 +721,17 @@ _FINAL = {
     "consolidated": "SELECT * FROM gold",
     "published_facility_dim": "SELECT * FROM facdim",
     "stream_gold": "SELECT * FROM gold",
-    "dashboard_monthly": "SELECT data_ref, round(sum(PA_VALPRO), 2) PA_VALPRO, round(sum(PA_VALAPR), 2) PA_VALAPR, "
-                         "CAST(sum(PA_QTDPRO) AS BIGINT) PA_QTDPRO, CAST(sum(PA_QTDAPR) AS BIGINT) PA_QTDAPR "
-                         "FROM gold WHERE Ano IN (2098, 2099) AND PA_MUNPCN IN ('1', '2', '15') GROUP BY data_ref",
+    **{f"dashboard_{name}": _DASHBOARD + final for name, final in {
+        "monthly": "SELECT * FROM dash",
+        "yearly_values": "SELECT CAST(year(data_ref) AS INTEGER) Ano, 'Produzido' tipo, round(sum(PA_VALPRO), 2) valor FROM dash GROUP BY 1 "
+                         "UNION ALL SELECT CAST(year(data_ref) AS INTEGER), 'Aprovado', round(sum(PA_VALAPR), 2) FROM dash GROUP BY 1",
+        "yearly_quantities": "SELECT CAST(year(data_ref) AS INTEGER) Ano, 'Produzido' tipo, CAST(sum(PA_QTDPRO) AS BIGINT) quantidade FROM dash "
+                             "GROUP BY 1 UNION ALL SELECT CAST(year(data_ref) AS INTEGER), 'Aprovado', CAST(sum(PA_QTDAPR) AS BIGINT) FROM dash GROUP BY 1",
+        "value_series": "SELECT data_ref, 'Produzido' tipo, PA_VALPRO valor FROM dash UNION ALL SELECT data_ref, 'Aprovado', PA_VALAPR FROM dash",
+        "quantity_series": "SELECT data_ref, 'Produzido' tipo, PA_QTDPRO quantidade FROM dash UNION ALL SELECT data_ref, 'Aprovado', PA_QTDAPR FROM dash",
+        "value_mean": "SELECT round(avg(v), 2) media FROM (SELECT PA_VALPRO v FROM dash UNION ALL SELECT PA_VALAPR FROM dash)",
+        "quantity_mean": "SELECT round(avg(v), 2) media FROM (SELECT PA_QTDPRO v FROM dash UNION ALL SELECT PA_QTDAPR FROM dash)",
+    }.items()},
 }
 
 

@@ -22,6 +22,8 @@ from monthly_facts.operators.incremental import (
     latest_month,
     month_dates,
     month_range,
+    months_frame,
+    months_of_sources,
     pending_months,
     source_files,
     source_months,
@@ -38,6 +40,8 @@ from monthly_facts.operators.reshape import (
 )
 from monthly_facts.operators.serve import (
     collect_tables,
+    month_firsts,
+    monthly_sums,
     monthly_totals,
     months_of_years,
     municipalities,
@@ -52,13 +56,16 @@ from monthly_facts.operators.serve import (
 )
 from monthly_facts.operators.silver import derive_silver, silver_for_months
 from monthly_facts.plans.dashboard import dashboard_tables
-from monthly_facts.plans.ingest import consolidate, ingest, refresh_dimensions, run_monthly
-from monthly_facts.sources.bronze import land_bronze, read_bronze, read_bronze_tree
+from monthly_facts.plans.consolidate import consolidate
+from monthly_facts.plans.ingest import bad_measures, existing_months, ingest, refresh_dimensions, run_monthly
+from monthly_facts.sources.bronze import land_bronze, landed_sources, read_bronze, read_bronze_tree, tree_problems
+from monthly_facts.sources.files import path_exists
 from monthly_facts.sources.tables import (
     Layout,
     configure_object_store,
+    consolidated_files,
     migrate_gold_tree,
-    path_exists,
+    month_folders,
     read_consolidated,
     read_dimension,
     read_gold,

@@ -1,11 +1,14 @@
 """Optional membership filters.
 
 An absent *or empty* list means "no filter", so the predicate is skipped
-instead of becoming ``IN ()`` (which matches nothing in Spark). Lists become
-``IN`` predicates that Catalyst pushes into the Parquet scan; a DataFrame of
-allowed values becomes a left semi join, which never duplicates fact rows and
-lets the planner pick broadcast or sort-merge by the measured size of that
-side.
+instead of becoming ``IN ()`` (which matches nothing in Spark). A list of any
+length becomes an ``IN`` predicate that Catalyst pushes into the Parquet scan,
+its values cast to the column's type (codes are text, so ``12345`` means the
+code ``"12345"`` and never ``"0012345"``). A caller with very many values
+passes them as a DataFrame: that becomes a left semi join, which never
+duplicates fact rows and lets the planner pick broadcast or sort-merge by the
+measured size of that side. An empty DataFrame is a set without members and
+keeps nothing.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from monthly_facts import schema as S
 from monthly_facts.functions.months import month_key_leq
@@ -35,25 +39,19 @@ def _values(values) -> list | None:
     return list(values)
 
 
-# Above this many literals an IN list becomes a semi join against a small
-# DataFrame of the values (planned as a broadcast by its known size).
-MAX_IN_LIST = 5000
-
-
 def keep_members(df: DataFrame, column: str, values) -> DataFrame:
     """Rows whose ``column`` is in ``values`` (list or one-column DataFrame)."""
     if values is None:
         return df
     if isinstance(values, DataFrame):
-        allowed = values.select(F.col(values.columns[0]).alias(column)).distinct()
+        dtype = df.schema[column].dataType
+        allowed = values.select(F.col(values.columns[0]).cast(dtype).alias(column)).distinct()
         return df.join(allowed, on=column, how="left_semi")
     vals = _values(values)
     if not vals:
         return df
-    if len(vals) > MAX_IN_LIST:
-        dtype = df.schema[column].dataType
-        allowed = df.sparkSession.createDataFrame([(v,) for v in set(vals)], f"{column} {dtype.simpleString()}")
-        return df.join(allowed, on=column, how="left_semi")
+    if isinstance(df.schema[column].dataType, StringType):
+        vals = [v if v is None or isinstance(v, str) else str(v) for v in vals]
     return df.where(F.col(column).isin(vals))
 
 

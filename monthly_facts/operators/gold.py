@@ -2,29 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthly_facts import schema as S
 from monthly_facts.functions.months import month_name, year_of
 
 
-def quantity(col: str, round_fractions: bool = False):
-    """A quantity read as bigint. Strict by default (``'12.5'`` fails the job);
-    with ``round_fractions`` a fractional text is rounded half away from
-    zero first (``'12.5'`` -> 13), as a SQL engine's text-to-bigint cast
-    may do."""
-    if not round_fractions:
-        return F.col(col).cast("bigint")
-    return F.round(F.col(col).cast("decimal(38,6)"), 0).cast("bigint")
+def parsed(measure: str, round_fractions: bool = False) -> Column:
+    """A measure's text as double (values) or bigint (quantities), NULL where
+    it does not parse. With ``round_fractions`` a fractional quantity is
+    rounded half away from zero first (``'12.5'`` -> 13), as a SQL engine's
+    text-to-bigint cast may do; else it does not parse."""
+    c = F.col(measure)
+    if measure in S.VALUE_MEASURES:
+        return c.try_cast("double")
+    if round_fractions:
+        return F.round(c.try_cast("decimal(38,6)"), 0).try_cast("bigint")
+    return c.try_cast("bigint")
+
+
+def unparsed(measure: str, round_fractions: bool = False) -> Column:
+    """Whether a measure has a text that does not parse."""
+    return F.col(measure).isNotNull() & parsed(measure, round_fractions).isNull()
+
+
+def strict(measure: str, round_fractions: bool = False) -> Column:
+    """``parsed``, but a text that does not parse fails the job, whatever the
+    session's ANSI setting."""
+    message = F.concat(F.lit(f"{measure} is not a number: "), F.col(measure))
+    return F.when(unparsed(measure, round_fractions), F.raise_error(message)).otherwise(parsed(measure, round_fractions))
 
 
 def rollup(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
     """Sum the four measures per (facility, Ano, Mes, data_ref, municipality,
     procedure).
 
-    Values are read as double and quantities as bigint with strict casts: a
-    non-numeric measure fails the job (ANSI), it is not silently nulled. SQL
+    Values are read as double and quantities as bigint: a non-numeric measure
+    fails the job, it is not silently nulled. SQL
     sum semantics: NULLs are ignored, an all-NULL group sums to NULL, and a
     NULL key forms its own group.
 
@@ -37,9 +52,7 @@ def rollup(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
     row: same groups, a narrower shuffle and no month-name formatting per
     input row.
     """
-    aggs = [F.sum(F.col(m).cast("double")).alias(m) for m in S.VALUE_MEASURES] + [
-        F.sum(quantity(m, round_quantities)).alias(m) for m in S.QUANTITY_MEASURES
-    ]
+    aggs = [F.sum(strict(m, round_quantities)).alias(m) for m in S.MEASURES]
     keys = [S.FACILITY, S.DATE_COL, S.MUNICIPALITY, S.PROCEDURE]
     return (
         silver.groupBy(*keys).agg(*aggs)

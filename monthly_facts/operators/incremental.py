@@ -10,6 +10,7 @@ runs are reproducible.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,10 +55,9 @@ def available_months(spark: SparkSession, start: tuple[int, int], today: _dt.dat
 
 
 def landed_months(gold: DataFrame) -> DataFrame:
-    """Distinct (ano, mes) present in a gold table.
-
-    Uses the partition columns when the table is partitioned, so the scan
-    reads no data column (only file footers); falls back to ``data_ref``.
+    """Distinct (ano, mes) present in gold rows. This scans the rows (of a
+    partitioned table only the partition columns, but every row of them); the
+    months of a stored table come from its folders, ``tables.month_folders``.
     """
     if S.PART_YEAR in gold.columns and S.PART_MONTH in gold.columns:
         cols = [F.col(S.PART_YEAR).cast("int").alias("ano"), F.col(S.PART_MONTH).cast("int").alias("mes")]
@@ -67,10 +67,9 @@ def landed_months(gold: DataFrame) -> DataFrame:
 
 
 def source_months(bronze: DataFrame) -> DataFrame:
-    """Distinct (ano, mes) named by the source files of a bronze table.
-
-    Only the source-name column is read; on a landed bronze that is the
-    partition column, so the scan touches file footers only.
+    """Distinct (ano, mes) named by the sources of bronze rows. This scans the
+    source-name column; the sources of a stored bronze come from its folders,
+    ``bronze.landed_sources``.
     """
     d = source_month_date(S.SOURCE_COL)
     return (
@@ -81,6 +80,18 @@ def source_months(bronze: DataFrame) -> DataFrame:
     )
 
 
+def months_frame(spark: SparkSession, months: Iterable[tuple[int, int]]) -> DataFrame:
+    """(ano, mes) rows of a calendar-bounded list."""
+    return spark.createDataFrame(sorted(set(months)), "ano int, mes int")
+
+
+def months_of_sources(spark: SparkSession, names: Iterable[str]) -> DataFrame:
+    """Distinct (ano, mes) named by source names; names that do not parse name
+    no month."""
+    df = spark.createDataFrame([(n,) for n in names], f"{S.SOURCE_COL} string")
+    return source_months(df)
+
+
 def pending_months(available: DataFrame, landed: DataFrame,
                    end: tuple[int, int] | None = None) -> DataFrame:
     """Available months not yet landed, optionally capped at ``end``.

@@ -18,7 +18,7 @@ from monthly_facts import schema as S
 from monthly_facts.operators.filters import fact_filter
 
 
-def monthly_totals(
+def monthly_sums(
     facts: DataFrame,
     anos: Iterable[int] | None = None,
     meses: Iterable[str] | None = None,
@@ -27,18 +27,19 @@ def monthly_totals(
     procedimentos: Iterable[str] | DataFrame | None = None,
     measures: list[str] | None = None,
 ) -> DataFrame:
-    """Filtered sums per ``data_ref``, ordered by date.
+    """Filtered sums per ``data_ref``, in no order (for further aggregation).
 
     The result has one row per month whatever the data size; Spark computes it
     with a partial aggregate per task and a small final merge.
     """
     measures = measures or S.MEASURES
     df = fact_filter(facts, anos, meses, municipios, estabelecimentos, procedimentos)
-    return (
-        df.groupBy(S.DATE_COL)
-        .agg(*[F.sum(m).alias(m) for m in measures])
-        .orderBy(S.DATE_COL)
-    )
+    return df.groupBy(S.DATE_COL).agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def monthly_totals(facts: DataFrame, *args, **kwargs) -> DataFrame:
+    """``monthly_sums`` ordered by date."""
+    return monthly_sums(facts, *args, **kwargs).orderBy(S.DATE_COL)
 
 
 def years(facts: DataFrame) -> DataFrame:
@@ -88,15 +89,28 @@ def preview(df: DataFrame, n: int) -> DataFrame:
     return df.limit(n)
 
 
-def to_records(df: DataFrame) -> list[dict]:
-    """Rows as JSON-ready dicts; for small final answers only."""
-    return [r.asDict() for r in df.collect()]
+# A final answer has a row per month or per option.
+MAX_ANSWER_ROWS = 100_000
+
+
+def _answer(df: DataFrame, max_rows: int) -> list:
+    """All rows of a final answer; more than ``max_rows`` is an error, nothing
+    is left out."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"the result has more than {max_rows} rows; write it instead (write_records)")
+    return rows
+
+
+def to_records(df: DataFrame, max_rows: int = MAX_ANSWER_ROWS) -> list[dict]:
+    """Rows as JSON-ready dicts; for final answers of at most ``max_rows``."""
+    return [r.asDict() for r in _answer(df, max_rows)]
 
 
-def to_list(df: DataFrame, column: str | None = None) -> list:
-    """One column as a Python list; for small final answers only."""
+def to_list(df: DataFrame, column: str | None = None, max_rows: int = MAX_ANSWER_ROWS) -> list:
+    """One column as a Python list; for final answers of at most ``max_rows``."""
     column = column or df.columns[0]
-    return [r[0] for r in df.select(column).collect()]
+    return [r[0] for r in _answer(df.select(column), max_rows)]
 
 
 def write_records(df: DataFrame, path: str) -> None:
@@ -113,22 +127,22 @@ def read_records(spark, path: str, schema: str | None = None) -> DataFrame:
 
 
 def collect_tables(tables: dict[str, DataFrame], first: str | None = "monthly",
-                   max_parallel: int = 4) -> dict[str, list]:
-    """Collect several small results, e.g. the dashboard's tables.
+                   max_parallel: int = 4, max_rows: int = MAX_ANSWER_ROWS) -> dict[str, list]:
+    """Collect several final answers of at most ``max_rows`` each, e.g. the
+    dashboard's tables.
 
     ``first`` is collected alone (it fills the cache the others read), the
     rest are submitted from threads so Spark runs their jobs side by side.
-    Only for final answers of bounded size.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     out: dict[str, list] = {}
     if first is not None and first in tables:
-        out[first] = tables[first].collect()
+        out[first] = _answer(tables[first], max_rows)
     rest = {k: v for k, v in tables.items() if k not in out}
     if rest:
         with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(rest)))) as pool:
-            futures = {k: pool.submit(df.collect) for k, df in rest.items()}
+            futures = {k: pool.submit(_answer, df, max_rows) for k, df in rest.items()}
             for k, fut in futures.items():
                 out[k] = fut.result()
     return out

@@ -16,7 +16,7 @@ from monthly_facts import schema as S
 from monthly_facts.operators import dims as D
 from monthly_facts.operators import reshape as R
 from monthly_facts.operators.dims import filter_by_labels
-from monthly_facts.operators.serve import monthly_totals
+from monthly_facts.operators.serve import monthly_sums
 
 
 def dashboard_tables(
@@ -28,27 +28,30 @@ def dashboard_tables(
     municipios: Iterable[str] | None = None,
     facility_labels: Iterable[str] | None = None,
     procedure_labels: Iterable[str] | None = None,
-    persist: bool = True,
+    persist: bool = False,
 ) -> dict[str, DataFrame]:
     """Monthly totals for the current filters and every chart table
     derived from them.
 
-    With ``persist`` the monthly result (one row per month) is kept in
-    executor memory after its first use, so the six derived tables do not
-    each rescan the facts; call ``monthly.unpersist()`` when done. A lost
-    executor only means the cached rows are recomputed from the plan.
+    The derived tables are computed from the unordered sums; only ``monthly``
+    itself is ordered. With ``persist`` the sums (one row per month) are kept
+    in executor memory after their first use, so the six derived tables do
+    not each rescan the facts; the caller then unpersists
+    ``tables["monthly_sums"]``. A lost executor only means the cached rows are
+    recomputed from the plan.
     """
     if procedure_dim is not None:
         facts = filter_by_labels(facts, procedure_dim, S.PROCEDURE, D.PROCEDURE_LABEL, procedure_labels)
     if facility_dim is not None:
         facts = filter_by_labels(facts, facility_dim, S.FACILITY, D.FACILITY_LABEL, facility_labels)
-    monthly = monthly_totals(facts, anos=anos, meses=meses, municipios=municipios)
+    monthly = monthly_sums(facts, anos=anos, meses=meses, municipios=municipios)
     if persist:
         monthly = monthly.persist(StorageLevel.MEMORY_AND_DISK)
     value_series = R.value_series(monthly)
     quantity_series = R.quantity_series(monthly)
     return {
-        "monthly": monthly,
+        "monthly_sums": monthly,
+        "monthly": monthly.orderBy(S.DATE_COL),
         "yearly_values": R.yearly_long(monthly, S.VALUE_MEASURES, R.VALUE_COL),
         "yearly_quantities": R.yearly_long(monthly, S.QUANTITY_MEASURES, R.QUANTITY_COL),
         "value_series": value_series,

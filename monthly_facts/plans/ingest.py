@@ -1,17 +1,19 @@
 """The monthly ingest run.
 
 1. Months that should exist (calendar from a start month to today minus the
-   publication lag) anti-join months already landed in gold -> pending.
-   Pending months are flagged by whether any bronze source names them (a
-   scan of the source-name partition column only); months without sources
-   are reported ``no_data`` without launching a job.
-2. Bronze rows of all pending months -> silver -> gold rollup, written as
-   month partitions with dynamic overwrite, in **one** Spark job. The bronze
-   filter is on the month parsed from the source name, i.e. on the bronze
-   partition column, so only pending sources are read.
-3. If that job fails (for example a non-numeric measure under ANSI casts),
-   the months are retried one job each, so one bad month is reported and
-   the others still land.
+   publication lag) less the months already landed -> pending. Landed months
+   are the gold table's partition folders and available sources the bronze
+   table's: listings, not scans, so a run with nothing to do reads no table.
+2. One aggregation over the pending months' measures counts, per month, texts
+   that are not numbers. Months that have any are reported ``failed`` with
+   column, count and an example, and stay pending; so do months of sources
+   that were reported unreadable.
+3. Bronze rows of all other pending months -> silver -> gold rollup, written
+   as month partitions with dynamic overwrite, in **one** Spark job. The
+   bronze filter is on the month parsed from the source name, i.e. on the
+   bronze partition column, so only pending sources are read. A month is
+   ``ok`` if its partition is there afterwards. Any other error (a lost
+   cluster, a full disk) rises to the caller; months are then still pending.
 4. Consolidation and dimension refresh follow the rules of the run: rebuild
    when absent, when any month landed, or when forced. They are independent
    writes and are submitted concurrently.
@@ -27,27 +29,31 @@ from __future__ import annotations
 import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthly_facts import schema as S
+from monthly_facts.functions.months import source_month_date
 from monthly_facts.operators import dims as D
-from monthly_facts.operators.gold import rollup
+from monthly_facts.operators.gold import rollup, unparsed
 from monthly_facts.operators.incremental import (
     PUBLICATION_LAG_MONTHS,
     available_months,
-    empty_months,
-    landed_months,
+    months_frame,
+    months_of_sources,
     pending_months,
     source_months,
     start_month,
 )
 from monthly_facts.operators.silver import derive_silver, silver_for_months
+from monthly_facts.plans.consolidate import consolidate
+from monthly_facts.sources.files import list_files, path_exists
 from monthly_facts.sources.tables import (
     Layout,
-    path_exists,
-    read_gold,
+    month_folders,
+    newest_manifest,
     read_silver,
     write_month_partitions,
     write_silver,
@@ -77,14 +83,14 @@ def gold_exists(spark: SparkSession, layout: Layout) -> bool:
 
 
 def existing_months(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Months already landed in gold (empty when gold does not exist yet)."""
-    if not gold_exists(spark, layout):
-        return empty_months(spark)
-    return landed_months(read_gold(spark, layout.gold))
+    """Months already landed in gold (none when gold does not exist yet)."""
+    return months_frame(spark, month_folders(spark, layout.gold))
 
 
 def consolidated_exists(spark: SparkSession, layout: Layout) -> bool:
-    return path_exists(spark, layout.consolidated + "/_SUCCESS")
+    """A published manifest, or data files that another tool wrote there."""
+    return newest_manifest(spark, layout.consolidated) is not None or any(
+        "/consolidated/data/" not in f for f, _, _ in list_files(spark, layout.consolidated, ".parquet"))
 
 
 def plan_months(spark: SparkSession, layout: Layout, today: _dt.date,
@@ -96,65 +102,95 @@ def plan_months(spark: SparkSession, layout: Layout, today: _dt.date,
     return pending_months(available_months(spark, first, today, lag), landed, end)
 
 
-def _silver_source(spark: SparkSession, bronze: DataFrame, layout: Layout,
-                   months: list[tuple[int, int]], keep_silver: bool) -> DataFrame:
-    """Silver rows of ``months``. With ``keep_silver``, months already in the
-    silver table are reused and the others are derived and written there
-    first (resume after a failure between silver and gold)."""
-    if not keep_silver:
-        return silver_for_months(derive_silver(bronze), months)
-    have: set[tuple[int, int]] = set()
-    if path_exists(spark, layout.silver):
-        have = {(r["ano"], r["mes"]) for r in landed_months(read_silver(spark, layout.silver)).collect()}
-    todo = [m for m in months if m not in have]
-    if todo:
-        fresh = silver_for_months(derive_silver(bronze), todo)
-        write_silver(fresh, layout.silver)
+def _months_with_sources(spark: SparkSession, bronze: DataFrame, pending: DataFrame) -> set[tuple[int, int]]:
+    """Months that some source names. Of a landed bronze the names are the
+    partition folders of its files; other rows are looked through, of the
+    pending months only."""
+    folders = {f.rsplit("/", 2)[-2] for f in bronze.inputFiles()}
+    if folders and all(f.startswith(f"{S.SOURCE_COL}=") for f in folders):
+        months = months_of_sources(spark, {unquote(f.split("=", 1)[1]) for f in folders})
+    else:
+        dates = [_dt.date(r["ano"], r["mes"], 1) for r in pending.collect()]
+        months = source_months(bronze.where(source_month_date(S.SOURCE_COL).isin(dates)))
+    return {(r["ano"], r["mes"]) for r in months.collect()}
+
+
+def bad_measures(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
+    """(ano, mes, coluna, n, exemplo): texts in measures that are not numbers,
+    counted per month and measure in one aggregation."""
+    aggs = []
+    for m in S.MEASURES:
+        wrong = unparsed(m, round_quantities)
+        aggs += [F.count_if(wrong).alias(f"{m}_n"), F.min(F.when(wrong, F.col(m))).alias(f"{m}_x")]
+    counts = silver.groupBy(S.DATE_COL).agg(*aggs)
+    each = F.array(*[F.struct(F.lit(m).alias("coluna"), F.col(f"{m}_n").alias("n"), F.col(f"{m}_x").alias("exemplo"))
+                     for m in S.MEASURES])
+    return counts.select(F.year(S.DATE_COL).alias("ano"), F.month(S.DATE_COL).alias("mes"), F.explode(each).alias("e")).select(
+        "ano", "mes", "e.*").where("n > 0")
+
+
+def _stored_silver(spark: SparkSession, layout: Layout, months: list[tuple[int, int]]) -> DataFrame:
     silver = read_silver(spark, layout.silver)
     silver = silver.where(F.struct(S.PART_YEAR, S.PART_MONTH).isin(
         [F.struct(F.lit(a), F.lit(m)) for a, m in months]))
     return silver.select([f.name for f in S.SILVER_SCHEMA.fields])
 
 
-def _land(spark: SparkSession, bronze: DataFrame, layout: Layout,
-          months: list[tuple[int, int]], keep_silver: bool, round_quantities: bool = False) -> None:
-    silver = _silver_source(spark, bronze, layout, months, keep_silver)
-    write_month_partitions(rollup(silver, round_quantities), layout.gold)
+def _unreadable_months(spark: SparkSession, unreadable: DataFrame | None) -> dict[tuple[int, int], str]:
+    """Months named by the sources of a report of unreadable files (a row per
+    file), with what was said of them."""
+    if unreadable is None:
+        return {}
+    d = source_month_date(S.SOURCE_COL)
+    rows = unreadable.select(F.year(d).alias("a"), F.month(d).alias("m"), "arquivo", "erro").where("a IS NOT NULL").collect()
+    out: dict[tuple[int, int], list[str]] = {}
+    for r in rows:
+        out.setdefault((r["a"], r["m"]), []).append(f"{r['arquivo']}: {r['erro']}")
+    return {m: "; ".join(sorted(said)) for m, said in out.items()}
 
 
 def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.date,
            start: tuple[int, int] | None = None, end: tuple[int, int] | None = None,
            after_latest: bool = False, lag: int = PUBLICATION_LAG_MONTHS,
-           keep_silver: bool = False, round_quantities: bool = False) -> RunReport:
-    """Land every pending month from ``bronze`` into ``layout.gold``."""
+           keep_silver: bool = False, round_quantities: bool = False,
+           unreadable: DataFrame | None = None) -> RunReport:
+    """Land every pending month from ``bronze`` into ``layout.gold``.
+
+    ``unreadable`` is a report of files that are not in ``bronze`` (rows of
+    ``bronze.tree_problems``): their months fail and stay pending."""
     pending = plan_months(spark, layout, today, start, end, after_latest, lag)
-    flagged = pending.join(
-        source_months(bronze).withColumn("has_source", F.lit(True)), ["ano", "mes"], "left"
-    ).orderBy("ano", "mes")
-    plan = [(r["ano"], r["mes"], bool(r["has_source"])) for r in flagged.collect()]
-    months = [(a, m) for a, m, has in plan if has]
-    if keep_silver and path_exists(spark, layout.silver):
+    plan = [(r["ano"], r["mes"]) for r in pending.orderBy("ano", "mes").collect()]
+    errors = {m: said for m, said in _unreadable_months(spark, unreadable).items() if m in set(plan)}
+    known = _months_with_sources(spark, bronze, pending) if plan else set()
+    if keep_silver:
         # Months whose silver survived an earlier failure can land without bronze.
-        kept = {(r["ano"], r["mes"]) for r in landed_months(read_silver(spark, layout.silver)).collect()}
-        months = [(a, m) for a, m, has in plan if has or (a, m) in kept]
-    errors: dict[tuple[int, int], str] = {}
+        known |= set(month_folders(spark, layout.silver))
+    months = [m for m in plan if m in known and m not in errors]
+    # Stored silver was found clean when it was written (resume after a failure
+    # between silver and gold); the other months are derived.
+    stored = set(month_folders(spark, layout.silver)) if keep_silver else set()
+    fresh = [m for m in months if m not in stored]
+    if fresh:
+        silver = silver_for_months(derive_silver(bronze), fresh)
+        for r in bad_measures(silver, round_quantities).orderBy("ano", "mes", "coluna").collect():
+            said = f"{r['coluna']}: {r['n']} values are not numbers, e.g. {r['exemplo']!r}"
+            m = (r["ano"], r["mes"])
+            errors[m] = f"{errors[m]}; {said}" if m in errors else said
+        fresh, months = ([m for m in x if m not in errors] for x in (fresh, months))
     if months:
-        try:
-            _land(spark, bronze, layout, months, keep_silver, round_quantities)
-        except Exception:  # noqa: BLE001 - isolate the failing month(s) below
-            for m in months:
-                try:
-                    _land(spark, bronze, layout, [m], keep_silver, round_quantities)
-                except Exception as e:  # noqa: BLE001 - reported in the run log
-                    errors[m] = str(e).strip().splitlines()[0][:500] if str(e).strip() else type(e).__name__
-    # A month named by at least one bronze row always yields gold rows, so the
-    # committed months are exactly the attempted ones that did not fail.
-    landed_now = {m for m in months if m not in errors}
+        if not keep_silver:
+            silver = silver_for_months(derive_silver(bronze), months)
+        else:
+            if fresh:
+                write_silver(silver_for_months(derive_silver(bronze), fresh), layout.silver)
+            silver = _stored_silver(spark, layout, months)
+        write_month_partitions(rollup(silver, round_quantities), layout.gold)
+    landed = set(month_folders(spark, layout.gold))
     rows: list[tuple] = []
-    for a, m, _ in plan:
+    for a, m in plan:
         if (a, m) in errors:
             rows.append((a, m, FAILED, errors[(a, m)]))
-        elif (a, m) in landed_now:
+        elif (a, m) in landed:
             rows.append((a, m, OK, None))
         else:
             rows.append((a, m, NO_DATA, "no source rows for this month"))
@@ -163,26 +199,6 @@ def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.da
     return RunReport(log=log, succeeded=ok, failed=len(rows) - ok)
 
 
-def consolidate(spark: SparkSession, gold_path: str, out_path: str, by: str = "date",
-                compression: str = "snappy") -> None:
-    """All gold months as one table, ordered.
-
-    ``by="date"`` orders by data_ref; ``by="keys"`` by year, calendar month,
-    municipality, facility and procedure. The global sort is a range shuffle
-    with sampled bounds; the secondary keys let a month that holds a third of
-    all rows spread over many ranges instead of one task. Output is many
-    ordered files, not one, so the write scales with the cluster.
-    """
-    gold = spark.read.parquet(gold_path).select(*S.GOLD_COLUMNS)
-    if by == "date":
-        order = [S.DATE_COL, S.MUNICIPALITY, S.FACILITY, S.PROCEDURE]
-    elif by == "keys":
-        order = [S.YEAR_COL, F.month(S.DATE_COL), S.MUNICIPALITY, S.FACILITY, S.PROCEDURE]
-    else:
-        raise ValueError("by must be 'date' or 'keys'")
-    write_table(gold.orderBy(*order), out_path, compression=compression)
-
-
 def _dimension_jobs(layout: Layout, facility_labels: DataFrame | None,
                     procedure_labels: DataFrame | None) -> list[tuple[str, object]]:
     jobs = []
@@ -206,8 +222,7 @@ def _run_concurrently(jobs: list[tuple[str, object]]) -> list[str]:
         for name, fut in futures:
             e = fut.exception()
             if e is not None:
-                msg = str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__
-                errors.append(f"{name}: {msg}")
+                errors.append(f"{name}: {str(e).strip() or type(e).__name__}")
     return errors
 
 
@@ -223,19 +238,21 @@ def run_monthly(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _
                 after_latest: bool = False, facility_labels: DataFrame | None = None,
                 procedure_labels: DataFrame | None = None, force_consolidate: bool = False,
                 skip_dims: bool = False, keep_silver: bool = False,
-                lag: int = PUBLICATION_LAG_MONTHS, round_quantities: bool = False) -> RunReport:
+                lag: int = PUBLICATION_LAG_MONTHS, round_quantities: bool = False,
+                unreadable: DataFrame | None = None) -> RunReport:
     """Ingest pending months, then consolidate and refresh dimensions when
     needed: consolidate if the consolidated table is absent, any month
     landed, or ``force_consolidate``; refresh dimensions (unless skipped) if
     any month landed or the consolidated table was absent."""
     had_consolidated = consolidated_exists(spark, layout)
     report = ingest(spark, bronze, layout, today, start, end, after_latest, lag, keep_silver,
-                    round_quantities)
+                    round_quantities, unreadable)
     do_consolidate = (not had_consolidated or report.succeeded > 0 or force_consolidate) and gold_exists(spark, layout)
     do_dims = not skip_dims and (report.succeeded > 0 or not had_consolidated)
     jobs = _dimension_jobs(layout, facility_labels, procedure_labels) if do_dims else []
     if do_consolidate:
-        jobs.append((layout.consolidated, lambda: consolidate(spark, layout.gold, layout.consolidated)))
+        jobs.append((layout.consolidated, lambda: consolidate(
+            spark, layout.gold, layout.consolidated, force=force_consolidate)))
     errors = _run_concurrently(jobs)
     cons_errors = [e for e in errors if e.startswith(layout.consolidated + ":")]
     if cons_errors:

@@ -9,6 +9,7 @@ partitions and splits skewed ones at run time) and point
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,6 +34,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
+    if master.startswith("local") and "spark.checkpoint.dir" not in conf:
+        # One machine: any of its folders is shared by driver and executors.
+        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="monthly-facts-")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -43,14 +47,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder: ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder is
-    created and registered, so checkpoints and work tables always land in a
-    place every executor can read.
+    Read from the session. Where it is unset, a folder of this machine is
+    registered only if the master is local; on a cluster that would scatter
+    work tables over the executors' own disks, so it is an error.
     """
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="monthly-facts-")
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        master = spark.sparkContext.master
+        if not re.match(r"local($|\[)", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
+        d = tempfile.mkdtemp(prefix="monthly-facts-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
 

@@ -10,16 +10,30 @@ Two shapes are read:
   file, any depth). The source name is the parent directory of each file,
   taken from the ``_metadata.file_path`` column.
 
+Bronze is text in both: an explicit schema is read, never one that is inferred
+from whichever file comes first. Nothing is left out silently: a file that
+cannot be read, that lacks a key or measure column or stores one as anything
+but text is an error, unless its source is named in ``exclude``, which
+``tree_problems`` can supply and the ingest run reports as failed.
+
 Decoding the original compressed extract format is not done here: extracts
 arrive as Parquet or CSV.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from monthly_facts import schema as S
+from monthly_facts.sources.files import each_file, list_files, parquet_columns, partition_values
+
+# Columns without which a source cannot be rolled up.
+REQUIRED = [S.FACILITY, S.MUNICIPALITY, S.PROCEDURE, *S.MEASURES]
+PROBLEMS_SCHEMA = "arquivo string, arquivo_origem string, erro string"
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -33,35 +47,89 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 def landed_schema():
     """Columns of interest (text) plus the source-name partition column."""
-    from pyspark.sql import types as T
-
     return T.StructType(list(S.BRONZE_SCHEMA.fields) + [T.StructField(S.SOURCE_COL, T.StringType(), True)])
 
 
+def landed_sources(spark: SparkSession, path: str) -> list[str]:
+    """Source names of a landed bronze table, from its partition folders."""
+    return [v for (v,) in partition_values(spark, path, S.SOURCE_COL)]
+
+
+def _source_of(path: str) -> str:
+    return path.rsplit("/", 2)[-2]
+
+
+def _problem(columns: dict[str, str], wanted: list[str]) -> str | None:
+    missing = [c for c in REQUIRED if c in wanted and c not in columns]
+    typed = [f"{c} ({columns[c]})" for c in wanted if c in columns and columns[c] != "BINARY"]
+    parts = (["lacks " + ", ".join(missing)] if missing else []) + (["not text: " + ", ".join(typed)] if typed else [])
+    return "; ".join(parts) or None
+
+
+def _file_problems(spark: SparkSession, path: str, columns: list[str]) -> list[tuple[str, str, str]]:
+    files = [f for f, _, _ in list_files(spark, path)]
+    found = each_file(files, lambda f: _problem(parquet_columns(spark, f), columns))
+    return [(f, _source_of(f), _said(x) if isinstance(x, Exception) else x)
+            for f, x in zip(files, found) if x is not None]
+
+
+def _said(error: Exception) -> str:
+    """What a reader said, without the calls that led there."""
+    cause = getattr(error, "java_exception", None)
+    return cause.toString() if cause is not None else str(error)
+
+
+def tree_problems(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """(arquivo, arquivo_origem, erro) of the files of a Parquet tree that
+    cannot be read as bronze, found in the files' footers."""
+    rows = _file_problems(spark, path, columns or S.COLUMNS_OF_INTEREST)
+    return spark.createDataFrame(rows, PROBLEMS_SCHEMA)
+
+
 def read_bronze_tree(spark: SparkSession, path: str, fmt: str = "parquet",
-                     columns: list[str] | None = None, skip_unreadable: bool = True,
+                     columns: list[str] | None = None, exclude: Iterable[str] | DataFrame = (),
                      **options) -> DataFrame:
-    """Read a tree of one directory per source file, any nesting.
+    """Read a tree of one directory per source file, any nesting, as text.
 
     Partition inference is off (``recursiveFileLookup``), the source name is
-    the file's parent directory, and only ``columns`` (default: the columns of
-    interest that exist) are read. A file that cannot be read is skipped
-    (``skip_unreadable``), so one broken extract does not stop the others.
+    the file's parent directory. A problem in any file (see ``tree_problems``;
+    for other formats than Parquet a missing required column) raises; the
+    sources in ``exclude`` (names, or the rows of ``tree_problems``) are not
+    looked at and not read. A column of interest that is not required reads as
+    NULL where a file lacks it.
     """
-    reader = (spark.read.format(fmt).option("recursiveFileLookup", "true")
-              .option("ignoreCorruptFiles", "true" if skip_unreadable else "false"))
+    cols = columns if columns is not None else S.COLUMNS_OF_INTEREST
+    if isinstance(exclude, DataFrame):
+        exclude = [r[0] for r in exclude.select(S.SOURCE_COL).distinct().collect()]
+    exclude = set(exclude)
+    reader = spark.read.format(fmt).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "false")
     for k, v in options.items():
         reader = reader.option(k, v)
+    if fmt == "parquet":
+        bad = [p for p in _file_problems(spark, path, cols) if p[1] not in exclude]
+        if bad:
+            raise ValueError("cannot read as bronze: " + "; ".join(f"{f}: {e}" for f, _, e in bad))
+        # Excluded sources are not opened at all: only the other files are read.
+        paths = [f for f, _, _ in list_files(spark, path) if _source_of(f) not in exclude] if exclude else [path]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+        df = reader.schema(schema).load(paths) if paths else spark.createDataFrame([], schema).withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
+        source = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        return df.select(*cols, source.alias(S.SOURCE_COL))
     df = reader.load(path)
-    cols = columns if columns is not None else [c for c in S.COLUMNS_OF_INTEREST if c in df.columns]
-    parent = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return df.select(*cols, parent.alias(S.SOURCE_COL))
+    missing = [c for c in REQUIRED if c in cols and c not in df.columns]
+    if missing:
+        raise ValueError(f"bronze lacks columns {missing}")
+    source = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    text = [(F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c) for c in cols]
+    return df.select(*text, source.alias(S.SOURCE_COL)).where(~F.col(S.SOURCE_COL).isin(list(exclude)) if exclude else F.lit(True))
 
 
 def land_bronze(extracts: DataFrame, path: str, mode: str = "overwrite",
                 rebalance: bool = True) -> None:
     """Write decoded extracts (which carry ``arquivo_origem``) as a bronze
-    table partitioned by source name.
+    table of text columns, partitioned by source name. A missing key or
+    measure column is an error; other columns of interest that the extracts
+    lack are landed as NULL.
 
     Overwrite is dynamic: only the source names present in ``extracts`` are
     replaced, so landing one month never touches the others. By default rows
@@ -71,15 +139,14 @@ def land_bronze(extracts: DataFrame, path: str, mode: str = "overwrite",
     Pass ``rebalance=False`` when each input file already holds one source
     (e.g. ``read_bronze_tree``), which saves a full shuffle of the extracts.
     """
-    if S.SOURCE_COL not in extracts.columns:
-        raise ValueError(f"extracts need a {S.SOURCE_COL!r} column")
-    present = [c for c in S.COLUMNS_OF_INTEREST if c in extracts.columns]
-    out = extracts.select(*present, S.SOURCE_COL)
+    missing = [c for c in [S.SOURCE_COL, *REQUIRED] if c not in extracts.columns]
+    if missing:
+        raise ValueError(f"extracts lack columns {missing}")
+    out = extracts.select(
+        *[(F.col(c) if c in extracts.columns else F.lit(None)).cast("string").alias(c) for c in S.COLUMNS_OF_INTEREST],
+        S.SOURCE_COL)
     if rebalance:
         out = out.hint("rebalance", S.SOURCE_COL)
-    # Text conversion after the exchange: it runs in the (parallel) write
-    # tasks and the shuffle carries the compact typed values.
-    out = out.select(*[F.col(c).cast("string").alias(c) for c in present], S.SOURCE_COL)
     (
         out
         .write.mode(mode)

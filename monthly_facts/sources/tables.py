@@ -4,25 +4,27 @@ Layout under one root (any Hadoop path, e.g. ``s3a://bucket/prefix``)::
 
     silver/ref_ano=YYYY/ref_mes=M/      silver, partitioned by month
     gold/ref_ano=YYYY/ref_mes=M/        monthly rollup, partitioned by month
-    consolidated/                       all months, one table ordered by date
+    consolidated/                       all months, in order (plans/consolidate.py)
     dims/facility/  dims/procedure/     labelled dimensions
 
 Month partitions are written with dynamic overwrite, so a run replaces exactly
 the months it computed. Consolidated lives outside ``gold/`` so partition
-discovery of gold never sees it, and it is never written by a plan that reads
-it.
+discovery of gold never sees it.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from monthly_facts import schema as S
 from monthly_facts.functions.months import partition_value
 from monthly_facts.operators.gold import with_month_partition
+from monthly_facts.sources.files import list_files, partition_values, path_exists, read_text
 
 
 @dataclass(frozen=True)
@@ -57,15 +59,7 @@ class Layout:
         return self._p("dims", "procedure")
 
 
-# ---------------------------------------------------------------- filesystem
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, through the session's Hadoop filesystem."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(conf).exists(p))
-
+# -------------------------------------------------------------- object store
 
 def configure_object_store(spark: SparkSession, endpoint: str, access_key: str | None = None,
                            secret_key: str | None = None, path_style: bool = True) -> None:
@@ -85,17 +79,27 @@ def configure_object_store(spark: SparkSession, endpoint: str, access_key: str |
 
 # --------------------------------------------------------------------- reads
 
+def _partitioned(schema: T.StructType) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField(c, T.IntegerType()) for c in (S.PART_YEAR, S.PART_MONTH)])
+
+
+def month_folders(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """(year, month) of the month partitions of a silver or gold table, from
+    its folders: no file is opened."""
+    return sorted((int(a), int(m)) for a, m in partition_values(spark, path, S.PART_YEAR, S.PART_MONTH)
+                  if a.isdigit() and m.isdigit())
+
+
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """Silver written by ``write_silver``: the 31 silver columns plus the
     partition columns ``ref_ano`` / ``ref_mes`` (used for pruning)."""
-    return spark.read.parquet(path).select(
-        *[f.name for f in S.SILVER_SCHEMA.fields], S.PART_YEAR, S.PART_MONTH)
+    return spark.read.schema(_partitioned(S.SILVER_SCHEMA)).parquet(path)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """Gold written by ``write_month_partitions``: the ten gold columns plus
     the partition columns ``ref_ano`` / ``ref_mes`` (used for pruning)."""
-    return spark.read.parquet(path).select(*S.GOLD_COLUMNS, S.PART_YEAR, S.PART_MONTH)
+    return spark.read.schema(_partitioned(S.GOLD_SCHEMA)).parquet(path)
 
 
 def read_gold_tree(spark: SparkSession, path: str) -> DataFrame:
@@ -116,9 +120,34 @@ def read_gold_tree(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_consolidated(spark: SparkSession, path: str) -> DataFrame:
-    """The consolidated table (a directory or a single file), cast to the
-    gold schema."""
-    return S.align(spark.read.parquet(path), S.GOLD_SCHEMA)
+    """The consolidated table: the folders of its newest manifest or, where
+    another tool wrote it, a plain directory or single file cast to the gold
+    schema."""
+    newest = newest_manifest(spark, path)
+    if newest is None:
+        return S.align(spark.read.parquet(path), S.GOLD_SCHEMA)
+    folders = [f"{path.rstrip('/')}/{p['folder']}" for p in newest[1]["parts"]]
+    if not folders:
+        return spark.createDataFrame([], S.GOLD_SCHEMA)
+    return spark.read.schema(S.GOLD_SCHEMA).parquet(*folders)
+
+
+def newest_manifest(spark: SparkSession, path: str) -> tuple[int, dict] | None:
+    """(number, content) of the consolidated table's newest manifest."""
+    names = [f for f, _, _ in list_files(spark, path.rstrip("/") + "/manifests", ".json")]
+    if not names:
+        return None
+    last = max(names)
+    return int(last.rsplit("/", 1)[1].split(".")[0]), json.loads(read_text(spark, last))
+
+
+def consolidated_files(spark: SparkSession, path: str) -> list[str] | None:
+    """Data files of the consolidated table in the table's order; None if it
+    has no manifest."""
+    newest = newest_manifest(spark, path)
+    if newest is None:
+        return None
+    return [f for part in newest[1]["parts"] for f, _, _ in list_files(spark, f"{path.rstrip('/')}/{part['folder']}")]
 
 
 def migrate_gold_tree(spark: SparkSession, tree_path: str, gold_path: str) -> None:

@@ -29,8 +29,6 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(su, li["l_suppkey"] == su["s_suppkey"], "inner")
-    # Measures stay typed (decimal cents, bigint); they become text where the
-    # bronze is consumed (landing or silver), with the same digits.
     price = F.col("l_extendedprice").cast("decimal(15,2)")
     qty = F.col("l_quantity").cast("bigint")
     returned = F.col("l_returnflag") == "R"
@@ -43,7 +41,8 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "PA_QTDPRO": qty,
         "PA_QTDAPR": F.when(returned, F.lit(0).cast("bigint")).otherwise(qty),
     }
-    cols = [mapped.get(c, F.lit(None).cast("string")).alias(c) for c in S.COLUMNS_OF_INTEREST]
+    # Bronze is text: codes keep their digits, measures are read by the rollup.
+    cols = [mapped.get(c, F.lit(None)).cast("string").alias(c) for c in S.COLUMNS_OF_INTEREST]
     source = F.concat(F.lit(TEST_GROUP + TEST_STATE), F.date_format("l_shipdate", "yyMM"))
     return j.select(*cols, source.alias(S.SOURCE_COL))
 

@@ -6,12 +6,15 @@ last run" bookkeeping of the monthly job. ``trigger(availableNow=True)``
 processes everything that arrived and stops, so a scheduler can run it once
 a month like the batch job.
 
-Each micro-batch only tells which months received new files. Those months
-are then recomputed from *all* their bronze rows and written with dynamic
-partition overwrite. That makes a batch idempotent: if a batch is replayed
-after a failure, it rewrites the same months with the same result, and a
-late file for a month that already landed updates that month instead of
-being ignored or double counted.
+A micro-batch only notes which months received new files, as a small folder
+``touched/batch=N`` beside the checkpoint. After the drain each noted month
+is recomputed once, from *all* its bronze rows, and written with dynamic
+partition overwrite; then the note is marked as done. That makes it
+idempotent: a replayed batch notes the same months again, months noted before
+a failure are refreshed by the next drain, and a late file for a month that
+already landed updates that month instead of being ignored or double counted.
+With ``processing_time`` there is no end to wait for, so every batch is
+followed by a refresh.
 """
 
 from __future__ import annotations
@@ -23,8 +26,10 @@ from pyspark.sql.streaming import StreamingQuery
 from monthly_facts import schema as S
 from monthly_facts.functions.months import source_month_date
 from monthly_facts.operators.gold import rollup
+from monthly_facts.operators.incremental import months_frame
 from monthly_facts.operators.silver import derive_silver, silver_for_months
 from monthly_facts.sources.bronze import landed_schema, read_bronze
+from monthly_facts.sources.files import make_folder, partition_values
 from monthly_facts.sources.tables import write_month_partitions
 
 
@@ -49,13 +54,41 @@ def refresh_months(spark: SparkSession, bronze_path: str, gold_path: str,
     write_month_partitions(rollup(silver), gold_path)
 
 
+def _notes(checkpoint_path: str) -> str:
+    return checkpoint_path.rstrip("/") + "/touched"
+
+
+def note_months(spark: SparkSession, checkpoint_path: str, batch_id: int, months: list[tuple[int, int]]) -> None:
+    """Note that a batch touched ``months`` (again, if the batch is replayed)."""
+    if months:
+        months_frame(spark, months).coalesce(1).write.mode("overwrite").parquet(f"{_notes(checkpoint_path)}/batch={batch_id}")
+
+
+def refresh_noted(spark: SparkSession, bronze_path: str, gold_path: str, checkpoint_path: str) -> list[tuple[int, int]]:
+    """Refresh the months of all notes that are not done, each once; returns
+    them."""
+    root = _notes(checkpoint_path)
+    done = {b for (b,) in partition_values(spark, root, "done")}
+    todo = [b for (b,) in partition_values(spark, root, "batch") if b not in done]
+    if not todo:
+        return []
+    rows = spark.read.schema("ano int, mes int").parquet(*[f"{root}/batch={b}" for b in todo]).distinct().collect()
+    months = sorted((r["ano"], r["mes"]) for r in rows)
+    refresh_months(spark, bronze_path, gold_path, months)
+    for b in todo:
+        make_folder(spark, f"{root}/done={b}")
+    return months
+
+
 def ingest_stream(spark: SparkSession, bronze_path: str, gold_path: str, checkpoint_path: str,
                   available_now: bool = True, max_files_per_trigger: int | None = None,
                   processing_time: str | None = None) -> StreamingQuery:
     """Start the stream; returns the running query (``awaitTermination()`` it).
 
-    ``available_now`` (default) drains every new file and stops;
-    ``processing_time`` (e.g. ``"1 hour"``) keeps polling instead.
+    ``available_now`` (default) drains every new file and stops; the caller
+    then calls ``refresh_noted`` (``run_stream_once`` does both).
+    ``processing_time`` (e.g. ``"1 hour"``) keeps polling instead and
+    refreshes after each batch.
     """
     reader = spark.readStream.schema(landed_schema()).option("basePath", bronze_path)
     if max_files_per_trigger:
@@ -63,7 +96,9 @@ def ingest_stream(spark: SparkSession, bronze_path: str, gold_path: str, checkpo
     stream = reader.parquet(bronze_path).select(S.SOURCE_COL)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        refresh_months(batch.sparkSession, bronze_path, gold_path, months_in(batch))
+        note_months(batch.sparkSession, checkpoint_path, batch_id, months_in(batch))
+        if processing_time:
+            refresh_noted(batch.sparkSession, bronze_path, gold_path, checkpoint_path)
 
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_path)
     if processing_time:
@@ -74,9 +109,11 @@ def ingest_stream(spark: SparkSession, bronze_path: str, gold_path: str, checkpo
 
 
 def run_stream_once(spark: SparkSession, bronze_path: str, gold_path: str,
-                    checkpoint_path: str) -> None:
-    """Drain all new bronze files into gold and return when done."""
-    q = ingest_stream(spark, bronze_path, gold_path, checkpoint_path, available_now=True)
+                    checkpoint_path: str, max_files_per_trigger: int | None = None) -> list[tuple[int, int]]:
+    """Drain all new bronze files into gold; returns the months refreshed."""
+    q = ingest_stream(spark, bronze_path, gold_path, checkpoint_path, available_now=True,
+                      max_files_per_trigger=max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    return refresh_noted(spark, bronze_path, gold_path, checkpoint_path)

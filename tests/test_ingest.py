@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import monthly_facts as mf
 from monthly_facts import schema as S
 from monthly_facts.sources import testdata as TD
+from monthly_facts.sources.bronze import REQUIRED
 from tests.conftest import SF_SMALL, bronze_rows
 
 TODAY = dt.date(2102, 1, 15)
@@ -29,6 +30,10 @@ def landed(spark):
     return layout, bronze, report
 
 
+def local_files(uris):
+    return [u.removeprefix("file:") for u in uris]
+
+
 def totals(df):
     r = df.agg(*[F.sum(m).alias(m) for m in S.MEASURES]).first()
     return tuple(round(r[m], 2) if isinstance(r[m], float) else r[m] for m in S.MEASURES)
@@ -72,9 +77,8 @@ def test_months_together_equal_months_in_steps(spark, landed, workdir):
 
 
 def test_consolidated_is_ordered_by_date(spark, landed):
-    files = sorted(glob.glob(os.path.join(landed[0].consolidated, "part-*.parquet")))
     dates = []
-    for f in files:
+    for f in local_files(mf.consolidated_files(spark, landed[0].consolidated)):
         dates += pq.read_table(f, columns=["data_ref"]).column("data_ref").to_pylist()
     assert dates == sorted(dates) and len(dates) > 0
 
@@ -82,7 +86,7 @@ def test_consolidated_is_ordered_by_date(spark, landed):
 def test_consolidated_by_keys_zstd(spark, landed, workdir):
     out = os.path.join(workdir, "cons")
     mf.consolidate(spark, landed[0].gold, out, by="keys", compression="zstd")
-    files = sorted(glob.glob(os.path.join(out, "part-*.parquet")))
+    files = local_files(mf.consolidated_files(spark, out))
     assert "ZSTD" in str(pq.ParquetFile(files[0]).metadata.row_group(0).column(0).compression).upper()
     keys = []
     for f in files:
@@ -138,11 +142,10 @@ def test_read_gold_tree_and_bronze_tree(spark, workdir):
 
     src = os.path.join(workdir, "bronze", "PACE2402")
     os.makedirs(src)
-    pq.write_table(pa.table({"PA_CODUNI": ["007"], "PA_VALPRO": ["2.50"], "OTHER": ["x"]}),
-                   os.path.join(src, "part-0.parquet"))
+    pq.write_table(pa.table({c: ["007"] for c in REQUIRED} | {"OTHER": ["x"]}), os.path.join(src, "part-0.parquet"))
     b = mf.read_bronze_tree(spark, os.path.join(workdir, "bronze"))
     r = b.first()
-    assert (r.PA_CODUNI, r.arquivo_origem) == ("007", "PACE2402")
+    assert (r.PA_CODUNI, r.PA_CIDPRI, r.arquivo_origem) == ("007", None, "PACE2402")
     assert "OTHER" not in b.columns
 
 
@@ -180,19 +183,6 @@ def test_object_store_settings(spark):
     conf.unset("fs.s3a.secret.key")
 
 
-def test_bronze_tree_skips_unreadable_files(spark, workdir):
-    good = os.path.join(workdir, "PACE2401")
-    bad = os.path.join(workdir, "PACE2402")
-    os.makedirs(good)
-    os.makedirs(bad)
-    pq.write_table(pa.table({"PA_CODUNI": ["1"], "PA_VALPRO": ["1.00"]}), os.path.join(good, "a.parquet"))
-    pq.write_table(pa.table({"PA_CODUNI": ["2"], "PA_VALPRO": ["2.00"]}), os.path.join(bad, "b.parquet"))
-    with open(os.path.join(bad, "broken.parquet"), "wb") as f:
-        f.write(b"PAR1 this is not a parquet file")
-    rows = mf.read_bronze_tree(spark, workdir).collect()
-    assert sorted((r.PA_CODUNI, r.arquivo_origem) for r in rows) == [("1", "PACE2401"), ("2", "PACE2402")]
-
-
 def test_sql_over_registered_views(spark, landed):
     layout = landed[0]
     assert set(mf.register_views(spark, layout)) == {"gold", "consolidated", "dim_facility", "dim_procedure"}

@@ -98,13 +98,15 @@ def test_dashboard_tables(spark):
     t["monthly"].unpersist()
 
 
-def test_large_filter_list_uses_semi_join(spark):
-    from monthly_facts.operators import filters
+def test_long_list_is_a_predicate_and_a_frame_a_semi_join(spark):
     g = gold(spark)
-    codes = [str(i) for i in range(filters.MAX_IN_LIST + 10)]
+    codes = [str(i) for i in range(6000)]
     out = mf.monthly_totals(g, estabelecimentos=codes)
-    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
-    assert out.count() == 3
+    assert "LeftSemi" not in out._jdf.queryExecution().optimizedPlan().toString()
+    frame = spark.createDataFrame([(c,) for c in codes], "code string")
+    joined = mf.monthly_totals(g, estabelecimentos=frame)
+    assert "LeftSemi" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert out.collect() == joined.collect() and out.count() == 3
 
 
 def test_write_records(spark, workdir):
