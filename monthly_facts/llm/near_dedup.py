@@ -443,19 +443,16 @@ def _linked(keyed: DataFrame, reps: DataFrame, weights: Weights, similarity: flo
     while True:
         found = _likely(_blocks_of_buckets(members, comps, sketches), partners)
         found = written(found.join(tested, ["node", "hub"], "left_anti"), "near-pairs")
-        if found.isEmpty():
-            if partners is None:
-                return comps
-            partners = None
-            continue
         new = written(_verified(found, texts, weights, similarity), "near-links")
-        tested = tested.unionByName(found)
-        if not new.isEmpty():
+        linked = not new.isEmpty()
+        if linked:
             comps = _joined(comps, new)
-        elif partners is None:
+        if partners is None:
+            # All likely pairs across components were compared; joining
+            # components makes no new ones.
             return comps
-        else:
-            partners = None
+        tested = tested.unionByName(found)
+        partners = FIRST_PARTNERS if linked else None
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
