@@ -80,11 +80,11 @@ def _file_positions(spark: SparkSession, files: list[str], *columns) -> DataFram
     """Rows of ordered data files with their position: rows of the files
     before plus the row's place in its own file."""
     rows = spark.read.schema(S.GOLD_SCHEMA).parquet(*files).select(
-        *columns, F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
+        *columns, F.substring_index("_metadata.file_path", "/data/", -1).alias("f"), F.col("_metadata.row_index").alias("i"))
     sizes = {r["f"]: r["count"] for r in rows.groupBy("f").count().collect()}
     at, starts = 0, []
     for f in files:
-        name = f.rsplit("/", 1)[1]
+        name = f.rsplit("/data/", 1)[1]
         starts.append((name, at))
         at += sizes.get(name, 0)
     return rows.join(spark.createDataFrame(starts, "f string, s bigint"), "f").withColumn(
@@ -489,8 +489,8 @@ def _dashboard(spark, d):
     fac, proc = _facility_dim(spark, d), _procedure_dim(spark, d)
     return mf.dashboard_tables(
         _gold(spark, d), fac, proc, anos=YEARS, municipios=MUNICIPALITIES,
-        facility_labels=fac.where(F.col(D.FACILITY_LABEL).like("%1 - %")).select(D.FACILITY_LABEL),
-        procedure_labels=proc.where(F.col(D.PROCEDURE_LABEL).like("1%")).select(D.PROCEDURE_LABEL))
+        facility_labels=fac.where(F.col(D.FACILITY_LABEL).like("%1%")).select(D.FACILITY_LABEL),
+        procedure_labels=proc.where(F.col(D.PROCEDURE_LABEL).like("%1%")).select(D.PROCEDURE_LABEL))
 
 
 def _dashboard_query(name):
@@ -611,8 +611,8 @@ _DASHBOARD = """,
 dash AS (SELECT data_ref, round(sum(PA_VALPRO), 2) PA_VALPRO, round(sum(PA_VALAPR), 2) PA_VALAPR,
                 CAST(sum(PA_QTDPRO) AS BIGINT) PA_QTDPRO, CAST(sum(PA_QTDAPR) AS BIGINT) PA_QTDAPR
          FROM gold WHERE Ano IN (2098, 2099) AND PA_MUNPCN IN ('1', '2', '15')
-         AND PA_CODUNI IN (SELECT PA_CODUNI FROM facdim WHERE label_estabelecimento LIKE '%1 - %')
-         AND PA_PROC_ID IN (SELECT PA_PROC_ID FROM procdim WHERE label_procedimento LIKE '1%') GROUP BY data_ref)
+         AND PA_CODUNI IN (SELECT PA_CODUNI FROM facdim WHERE label_estabelecimento LIKE '%1%')
+         AND PA_PROC_ID IN (SELECT PA_PROC_ID FROM procdim WHERE label_procedimento LIKE '%1%') GROUP BY data_ref)
 """
 
 _FINAL = {
