@@ -84,11 +84,10 @@ def test_stages_against_brute_force(spark, tables):
     assert {r["shard_bytes"] <= sharding.SHARD_BYTES for r in collected(out)} == {True}
 
 
-def test_run_and_rerun(spark, tables):
+def test_run(spark, tables):
     d, rows, _ = tables
-    first, again = collected(corpus_pipeline.run(spark, d)), collected(corpus_pipeline.run(spark, d))
-    assert first and sorted(map(str, first)) == sorted(map(str, again))
-    assert {r["doc_id"] for r in first} <= {r[0] for r in rows}
+    out = collected(corpus_pipeline.run(spark, d))
+    assert out and {r["doc_id"] for r in out} <= {r[0] for r in rows}
 
 
 def test_empty_documents(spark, tmp_path):
