@@ -4,7 +4,7 @@ Words of the whole text are tokenized by public vocabularies: a piece
 vocabulary with byte fallback (``<vocab_dir>/piece_bpe_32k.model``) and a
 byte-level one (``<vocab_dir>/byte_bpe_50k.tiktoken``). Neither joins
 characters across white space, so a text's tokens are the tokens of its
-words, and each different word is tokenized once per worker. Per document:
+words, and each different word is tokenized about once per task. Per document:
 
 * ``chars_per_token``  code points in words per piece,
 * ``chars_per_byte_token``  the same for the byte-level vocabulary,
@@ -46,7 +46,7 @@ from monthly_facts.llm.words import Block, blocks, duplicate_lines, per_doc, ran
 VOCAB_DIR = "/opt/tokenizers"
 # Fixed value: the pre-tokenizer pattern that belongs to the byte-level ranks.
 BYTE_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -176,15 +176,20 @@ def measured(docs: DataFrame, vocab_dir: str = VOCAB_DIR, keep_text: bool = True
     schema = T.StructType([docs.schema[c] for c in carried] + added)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = batch.schema.names
-            for block in blocks(batch.column(names.index("text"))):
-                part = batch.slice(block.first, len(block))
-                found = measure_block(block, vocab_dir)
-                arrays = [part.column(names.index(c)) for c in carried]
-                arrays += [pa.array(found[c], type=pa.int64()) for c in COUNTS]
-                arrays += [pa.array(found[c], type=pa.float64(), from_pandas=True) for c in MEASURES]
-                yield pa.RecordBatch.from_arrays(arrays, names=carried + [f.name for f in added])
+        try:
+            for batch in batches:
+                names = batch.schema.names
+                for block in blocks(batch.column(names.index("text"))):
+                    part = batch.slice(block.first, len(block))
+                    found = measure_block(block, vocab_dir)
+                    arrays = [part.column(names.index(c)) for c in carried]
+                    arrays += [pa.array(found[c], type=pa.int64()) for c in COUNTS]
+                    arrays += [pa.array(found[c], type=pa.float64(), from_pandas=True) for c in MEASURES]
+                    yield pa.RecordBatch.from_arrays(arrays, names=carried + [f.name for f in added])
+        finally:
+            # A worker lives on for other tasks, which need the memory.
+            for vocabulary in _vocabularies(vocab_dir):
+                vocabulary.clear()
 
     return docs.mapInArrow(measure, schema)
 

@@ -193,7 +193,7 @@ def _locally_frequent(texts: DataFrame) -> DataFrame:
             for block in _shingle_blocks(batch.column(0)):
                 held.append(_shingles(block)[1])
                 size, docs = size + len(held[-1]), docs + len(block)
-                if size >= 4_000_000:
+                if size >= 2_000_000:
                     yield frequent()
                     held, size, docs = [], 0, 0
         if held:

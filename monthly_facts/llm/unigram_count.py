@@ -38,7 +38,7 @@ VOCAB_DIR = "/opt/tokenizers"
 WORD_MARK = "▁"
 # Fixed value: what an unknown character scores below the lowest piece.
 UNKNOWN_PENALTY = 10.0
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 
 def vocabulary(vocab_dir: str = VOCAB_DIR) -> tuple[list[tuple[str, float]], bool]:
