@@ -283,8 +283,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights, similarity:
     members come in groups of about GROUP_ROWS, each sorted behind a copy of
     the hub's text and read as a stream."""
     sizes = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
-    salted = pairs.join(sizes, "hub").select(
-        "hub", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / GROUP_ROWS)).alias("salt"), "node", F.lit(1).alias("member"))
+    # Written, as both the members and the copies of the hubs come from it.
+    salted = written(pairs.join(sizes, "hub").select(
+        "hub", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / GROUP_ROWS)).alias("salt"), "node", F.lit(1).alias("member")), "near-salted")
     heads = salted.select("hub", "salt").distinct().select("hub", "salt", F.col("hub").alias("node"), F.lit(0).alias("member"))
     rows = salted.unionByName(heads).join(texts, "node").repartition("hub", "salt").sortWithinPartitions("hub", "salt", "member")
 
