@@ -1,4 +1,4 @@
-"""Near-duplicate classes: improved consistent weighted sampling over TF-IDF
+"""Near-duplicate classes: consistent samples of the unit parts of TF-IDF
 shingles, banded, verified by weighted Jaccard similarity.
 
 A document is its 5-word shingles (a text of one to four words is one
@@ -12,10 +12,14 @@ blocks; a bitmap of fixed size of those names lets a second pass count them
 over all documents. What is left is at most FLOOR times the mean number of
 shingles per document, which is what goes to the tasks.
 
-Samples: every shingle falls by its hash into one of ``BINS`` bins, and each
-bin keeps its improved consistent weighted sample (Ioffe 2010). A bin left
-empty (short texts) takes the sample of another by a fixed order of donors.
-So a document costs one draw per shingle, not one per shingle and sample.
+Samples: a shingle of weight w is cut into unit parts, numbered from 0: the
+whole ones, and what is left of w as one more part that is there with that
+probability, by a number fixed for the shingle and part. So the plain Jaccard
+similarity of two documents' parts follows the weighted one of their shingles,
+however uneven the weights are. Every part falls by its hash into one of
+``BINS`` bins, and each bin keeps its lowest part. A bin left empty (short
+texts) takes the sample of another by a fixed order of donors. So a document
+costs one draw per part, at most two per word, not one per shingle and sample.
 ``BANDS`` bands of ``ROWS`` samples each name a bucket.
 
 Links, in two steps. First all members of a bucket are held against one
@@ -114,9 +118,14 @@ class Weights:
         return counts * idf
 
 
-def _uniform(hashes: np.ndarray, k: int) -> np.ndarray:
-    """The k-th number of each hash, between 0 and 1 (neither)."""
-    x = mix64(hashes + _U((0x9E3779B97F4A7C15 * (k + 1)) % (1 << 64)))
+def _part_hashes(hashes: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """A hash of each shingle's numbered part."""
+    return mix64(hashes + (part + 1).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+
+
+def _uniform(hashes: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """A number of each shingle's numbered part, between 0 and 1 (neither)."""
+    x = mix64(_part_hashes(hashes, part) + _U(0xD6E8FEB86659FD93))
     return ((x >> _U(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
@@ -129,25 +138,21 @@ def samples(block: Block, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
     doc, hashes, counts = _shingles(block)
     if not len(doc):
         return np.zeros(0, dtype=np.int64), np.zeros((0, BINS), dtype=np.uint64)
-    w = np.log(weights.of(hashes, counts))
-    r = -np.log(_uniform(hashes, 0) * _uniform(hashes, 1))
-    c = -np.log(_uniform(hashes, 2) * _uniform(hashes, 3))
-    beta = _uniform(hashes, 4)
-    t = np.floor(w / r + beta)
-    a = np.log(c) - r * (t - beta) - r
-    # Hash order is bin order, as the bin is the hash's highest bits.
-    bins = (hashes >> _U(64 - DOC_BITS - 7)).astype(np.int64)
-    slot = doc * BINS + bins
-    edges = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
-    lowest = np.minimum.reduceat(a, edges)
-    is_lowest = np.flatnonzero(a == np.repeat(lowest, np.diff(np.r_[edges, len(a)])))
-    at, first = np.unique(slot[is_lowest], return_index=True)
-    best = is_lowest[first]
+    # Part p of a shingle of weight w is there if w > p + u(shingle, p): all of
+    # the whole parts, and the last one as often as what is left of w.
+    w = weights.of(hashes, counts)
+    whole = np.floor(w).astype(np.int64)
+    parts = whole + (w - whole > _uniform(hashes, whole))
+    first = np.cumsum(parts) - parts
+    of = np.repeat(np.arange(len(parts)), parts)
+    drawn = _part_hashes(hashes[of], np.arange(len(of)) - first[of])
     have, row = np.unique(doc, return_inverse=True)
-    sig, full = np.zeros((len(have), BINS), dtype=np.uint64), np.zeros((len(have), BINS), dtype=bool)
-    rows = row[best]
-    sig[rows, at % BINS] = mix64(hashes[best] + t[best].astype(np.int64).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
-    full[rows, at % BINS] = True
+    none = _U((1 << 64) - 1)
+    sig = np.full(len(have) * BINS, none)
+    np.minimum.at(sig, row[of] * BINS + (drawn >> _U(64 - 7)).astype(np.int64), drawn)
+    sig = sig.reshape(len(have), BINS)
+    full = sig != none
+    sig = mix64(sig)
     given, there = sig.copy(), full.copy()
     for donors in _DONORS:
         if there.all():

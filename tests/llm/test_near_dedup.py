@@ -117,6 +117,36 @@ def test_buckets_over_the_bound_split(spark, monkeypatch):
     assert run(docs_frame(spark, rows).repartition(4)) == brute(rows)
 
 
+def repeated_lines(seed, n=12):
+    """Pairs that share a line many times and differ in all other text, some
+    of them enough for a link and some not."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        line, times = prose(rng, rng.choice([8, 50]), 10**6), 100
+        own = len(line.split()) * times // (9 if i % 3 else 3)
+        rows += [(10000 + 2 * i + k, "\n".join([line] * times + [prose(rng, own, 10**6)]), "en", "a", 1) for k in range(2)]
+    return rows
+
+
+def test_repeated_lines(spark):
+    rows = repeated_lines(4)
+    want = brute(rows)
+    assert sum(a != b for a, b in want) == 8
+    assert run(docs_frame(spark, rows).repartition(3)) == want
+
+
+def test_samples_follow_uneven_weights():
+    rng = random.Random(11)
+    weights = N.Weights(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), 2)
+    for _ in range(5):
+        line = prose(rng, 50, 10**6)
+        texts = [" ".join([line] * 100 + [prose(rng, 400, 10**6)]) for _ in range(2)]
+        (block,) = blocks(pa.array(texts))
+        _, sig = N.samples(block, weights)
+        assert abs((sig[0] == sig[1]).mean() - similarity(*map(shingles, texts))) < 0.13
+
+
 def test_samples_estimate_similarity():
     rng = random.Random(3)
     text = prose(rng, 2000, 10**6)
