@@ -27,10 +27,13 @@ member, the hub, by exact weighted Jaccard similarity; those of ``SIMILARITY``
 or more are linked. That joins a large group in a number of comparisons that
 follows its size. Then buckets whose members
 are in more than one connected component are looked at again: pairs of
-different components whose samples agree in at least ``LIKELY`` of the bins
-are compared exactly, the likeliest of each member first and, when those link
-nothing more, all that are left; a pair counts in the first band that it
-shares. There the members outside a bucket's largest
+different components are compared exactly, the likeliest of each member first
+and, when those link nothing more, all that are left; a pair counts in the
+first band that it shares. Only pairs that cannot be similar are left out, by
+a bound and not by an estimate: a document's outline is the weight that it has
+in each of ``OUTLINE`` ranges of shingle hashes, rounded up, and two documents
+share at most the sum of the lower ones of their outlines. There the members
+outside a bucket's largest
 component are the queries, held against all members in blocks of about
 ``MAX_BUCKET``; no pairs of one component are listed. Classes are the
 connected components.
@@ -60,11 +63,12 @@ SHINGLE = 5
 SIMILARITY = 0.8
 FLOOR = 64
 BINS, BANDS, ROWS = 128, 25, 5
-# 0.06 under the similarity: 1.7 standard deviations of the estimate.
-LIKELY = 0.74
+# Outlines: ranges of shingle hashes, and their steps to a unit of weight.
+OUTLINE, STEPS = 256, 64
 FIRST_PARTNERS = 1
 MAX_BUCKET = 4096
 GROUP_ROWS = 64
+PAIRS_AT_ONCE = 1 << 15
 BITMAP_BITS = 23
 # Documents of one block share a 64-bit key: 10 bits of document, 54 of hash.
 DOC_BITS = 10
@@ -258,20 +262,40 @@ def _representatives(keyed: DataFrame) -> DataFrame:
 
 
 def _sketches(keyed: DataFrame, weights: Weights) -> DataFrame:
-    """(node, bands, sig): one row per different text that has words; sig has
-    the lowest byte of each sample."""
+    """(node, bands): one row per different text that has words."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in _shingle_blocks(batch.column(1)):
                 have, sig = samples(block, weights)
-                low = (sig & _U(255)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(have + block.first)),
-                     pa.ListArray.from_arrays(np.arange(len(have) + 1, dtype=np.int32) * BANDS, _signed(bands(sig).ravel())),
-                     pa.array([row.tobytes() for row in low], type=pa.binary())], names=["node", "bands", "sig"])
-    found = keyed.select("node", "text").mapInArrow(read, "node bigint, bands array<bigint>, sig binary")
+                     pa.ListArray.from_arrays(np.arange(len(have) + 1, dtype=np.int32) * BANDS, _signed(bands(sig).ravel()))],
+                    names=["node", "bands"])
+    found = keyed.select("node", "text").mapInArrow(read, "node bigint, bands array<bigint>")
     # Equal texts have equal sketches; partial aggregation keeps one per task.
-    return found.groupBy("node").agg(F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
+    return found.groupBy("node").agg(F.any_value("bands").alias("bands"))
+
+
+def outlines(block: Block, weights: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(documents with shingles, their weight, their outlines)."""
+    doc, hashes, counts = _shingles(block)
+    w = weights.of(hashes, counts)
+    have, row = np.unique(doc, return_inverse=True)
+    at = row * OUTLINE + (hashes >> _U(64 - DOC_BITS - 8)).astype(np.int64)
+    steps = np.ceil(np.bincount(at, weights=w, minlength=len(have) * OUTLINE) * STEPS)
+    return have, np.bincount(row, weights=w, minlength=len(have)), np.minimum(steps, 65535).astype("<u2").reshape(-1, OUTLINE)
+
+
+def _outlines(texts: DataFrame, weights: Weights) -> DataFrame:
+    """(node, weight, outline) of ``texts`` (node, text)."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in _shingle_blocks(batch.column(1)):
+                have, weight, steps = outlines(block, weights)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(have + block.first)), pa.array(weight),
+                     pa.array([row.tobytes() for row in steps], type=pa.binary())], names=["node", "weight", "outline"])
+    return texts.select("node", "text").mapInArrow(read, "node bigint, weight double, outline binary")
 
 
 # ------------------------------------------------------------------- links
@@ -366,9 +390,9 @@ def _texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     return once.unionByName(rows.where("n > 1").select("node", "text").dropDuplicates(["node"]))
 
 
-def _blocks_of_buckets(members: DataFrame, comps: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Rows (block, node, comp, sig, asks, bands, band) of buckets whose members (bucket,
-    node) are in more than one component. Members outside the bucket's largest
+def _blocks_of_buckets(members: DataFrame, comps: DataFrame, outlined: DataFrame) -> DataFrame:
+    """Rows (block, node, comp, asks, weight, outline, bands, band) of buckets whose
+    members (bucket, node) are in more than one component. Members outside the bucket's largest
     component ask, all members are asked; a bucket of more than MAX_BUCKET is
     dealt into blocks so that each asking member meets each other member in
     one of them."""
@@ -376,62 +400,82 @@ def _blocks_of_buckets(members: DataFrame, comps: DataFrame, sketches: DataFrame
         "bucket", "node", F.coalesce("comp", "node").alias("comp"))
     sizes = of.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
         F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    rows = of.join(sizes, "bucket").join(sketches, "node").select(
-        "bucket", "node", "comp", "sig", "bands", F.array_position("bands", F.col("bucket")).alias("band"), (F.col("comp") != F.col("main.comp")).alias("asks"),
+    rows = of.join(sizes, "bucket").join(outlined, "node").select(
+        "bucket", "node", "comp", "weight", "outline", "bands", F.array_position("bands", F.col("bucket")).alias("band"), (F.col("comp") != F.col("main.comp")).alias("asks"),
         F.ceil(F.col("n") / MAX_BUCKET).alias("k"), F.ceil((F.col("n") - F.col("main.n")) / MAX_BUCKET).alias("kq"))
     own, zero = F.xxhash64("node"), F.lit(0).cast("bigint")
     asked = rows.withColumn("asks", F.lit(False)).withColumn("i", F.pmod(own, F.col("k"))).withColumn(
         "q", F.explode(F.sequence(zero, F.col("kq") - 1)))
     asking = rows.where("asks").withColumn("i", F.explode(F.sequence(zero, F.col("k") - 1))).withColumn("q", F.pmod(own, F.col("kq")))
-    return asked.unionByName(asking).select(F.xxhash64("bucket", "i", "q").alias("block"), "node", "comp", "sig", "asks", "bands",
+    return asked.unionByName(asking).select(F.xxhash64("bucket", "i", "q").alias("block"), "node", "comp", "asks", "weight", "outline", "bands",
                                             (F.col("band") - 1).cast("int").alias("band"))
 
 
-def _likely(rows: DataFrame, partners: int | None) -> DataFrame:
+def most_shared(weight: np.ndarray, outline: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The highest similarity that the outlines of x and y leave possible."""
+    lower = np.minimum(outline[x], outline[y])
+    either = np.minimum(weight[x], weight[y])
+    # A number at its limit may stand for any weight.
+    shared = np.where((lower == 65535).any(axis=1), either, np.minimum(lower.sum(axis=1, dtype=np.int64) / STEPS, either))
+    return shared / (weight[x] + weight[y] - shared)
+
+
+def _possible(rows: DataFrame, partners: int | None, similarity: float) -> DataFrame:
     """(node, hub): pairs of members of one block and different components
-    whose samples agree; the likeliest ``partners`` of each asking member, or
+    that may be similar; the likeliest ``partners`` of each asking member, or
     all."""
-    def pairs_of(block, out):
-        nodes, comps, sigs, asks, keys, band = block
+    def pairs_of(block):
+        nodes, comps, asks, weight, outline, keys, band = block
         asking = np.flatnonzero(asks)
         asked = np.flatnonzero(~asks)
-        for i in range(0, len(asking), 32):
-            part = asking[i:i + 32]
-            agree = (sigs[part, None, :] == sigs[None, asked, :]).mean(axis=2)
-            agree[comps[part, None] == comps[None, asked]] = 0
-            if partners is not None and len(asked) > partners:
-                kth = np.partition(agree, -partners, axis=1)[:, -partners]
-                agree[agree < kth[:, None]] = 0
-            x, y = np.nonzero(agree >= LIKELY)
+        step = max(PAIRS_AT_ONCE // max(len(asked), 1), 1)
+        for i in range(0, len(asking), step):
+            part = asking[i:i + step]
+            x, y = np.nonzero(comps[part, None] != comps[None, asked])
             x, y = part[x], asked[y]
+            lower, upper = np.minimum(weight[x], weight[y]), np.maximum(weight[x], weight[y])
+            keep = np.flatnonzero(lower >= (similarity - 1e-6) * upper)
+            x, y = x[keep], y[keep]
             new = ~(keys[x, :band[0]] == keys[y, :band[0]]).any(axis=1)
-            a, b = nodes[x[new]], nodes[y[new]]
-            out.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+            x, y = x[new], y[new]
+            most = most_shared(weight, outline, x, y)
+            keep = np.flatnonzero(most >= similarity - 1e-6)
+            if partners is not None:
+                keep = keep[np.lexsort((-most[keep], x[keep]))]
+                first = np.searchsorted(x[keep], x[keep])
+                keep = keep[np.arange(len(keep)) - first < partners]
+            a, b = nodes[x[keep]], nodes[y[keep]]
+            yield np.stack([np.minimum(a, b), np.maximum(a, b)])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        out: list[np.ndarray] = []
 
-        def result(out):
+        def result():
             found = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), dtype=np.int64)
+            out.clear()
             return pa.RecordBatch.from_arrays([pa.array(found[1]), pa.array(found[0])], names=["node", "hub"])
+
+        def results(block):
+            for pairs in pairs_of(block):
+                out.append(pairs)
+                if sum(p.shape[1] for p in out) > 8 * PAIRS_AT_ONCE or len(out) > 256:
+                    yield result()
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sigs = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, BINS)
-            more = [np.asarray(batch.column(k)) for k in range(3)] + [
-                sigs, np.asarray(batch.column(4)), np.asarray(batch.column(5).flatten()).reshape(-1, BANDS), np.asarray(batch.column(6))]
+            steps = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype="<u2").reshape(-1, OUTLINE)
+            more = [np.asarray(batch.column(k)) for k in range(5)] + [
+                steps, np.asarray(batch.column(6).flatten()).reshape(-1, BANDS), np.asarray(batch.column(7))]
             held = [np.concatenate([h, m]) for h, m in zip(held, more)] if held else more
             edges = np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])
-            out: list[np.ndarray] = []
             # The last block may go on in the next batch.
             for a, b in zip(edges[:-1], edges[1:]):
-                pairs_of([h[a:b] for h in held[1:]], out)
+                yield from results([h[a:b] for h in held[1:]])
             held = [h[edges[-1]:] for h in held]
-            yield result(out)
         if held:
-            out = []
-            pairs_of(held[1:], out)
-            yield result(out)
+            yield from results(held[1:])
+        yield result()
     return rows.repartition("block").sortWithinPartitions("block").mapInArrow(read, "node bigint, hub bigint").distinct()
 
 
@@ -445,16 +489,17 @@ def _linked(keyed: DataFrame, reps: DataFrame, weights: Weights, similarity: flo
         F.greatest("node", "hub").alias("node"), F.least("node", "hub").alias("hub")).distinct(), "near-pairs")
     links = written(_verified(tested, texts, weights, similarity), "near-links")
     comps = components(links)
+    outlined = written(_outlines(texts, weights).join(sketches, "node"), "near-outlines")
     partners: int | None = FIRST_PARTNERS
     while True:
-        found = _likely(_blocks_of_buckets(members, comps, sketches), partners)
+        found = _possible(_blocks_of_buckets(members, comps, outlined), partners, similarity)
         found = written(found.join(tested, ["node", "hub"], "left_anti"), "near-pairs")
         new = written(_verified(found, texts, weights, similarity), "near-links")
         linked = not new.isEmpty()
         if linked:
             comps = _joined(comps, new)
         if partners is None:
-            # All likely pairs across components were compared; joining
+            # All possible pairs across components were compared; joining
             # components makes no new ones.
             return comps
         tested = tested.unionByName(found)

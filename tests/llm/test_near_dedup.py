@@ -108,6 +108,70 @@ def test_large_group_and_chain(spark):
     assert {got[str(1000 + k)] for k in range(40)} == {"1000"}
 
 
+def test_many_edited_copies_near_the_threshold(spark):
+    """All share buckets, few are similar, each mostly to one other only."""
+    rng = random.Random(12)
+    text, rows = prose(rng, 200, 10**6), []
+    for i in range(600):
+        one = edited(rng, text, 0.06)
+        rows += [(2 * i, one, "en", "a", 1), (2 * i + 1, edited(rng, one, rng.choice([0.01, 0.012, 0.015])), "en", "a", 1)]
+    want = brute(rows)
+    assert 200 < sum(a != b for a, b in want) < 1000
+    assert run(docs_frame(spark, rows).repartition(6)) == want
+
+
+def test_link_with_few_equal_samples_behind_other_hubs(spark):
+    """A pair at 0.8 whose samples agree in less than 0.74 and that is, in
+    each bucket it shares, behind a hub that is like neither of the two."""
+    rng = random.Random(14)
+    weights = N.Weights(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), 2000)
+
+    def sketched(texts):
+        sigs = np.concatenate([N.samples(b, weights)[1] for b in blocks(pa.array(texts), max_docs=1000)])
+        nodes = [r["h"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").selectExpr("i", "xxhash64(t) h").orderBy("i").collect()]
+        return sigs, N.bands(sigs), nodes
+    text = prose(rng, 200, 10**6)
+    near = [t for t in (edited(rng, text, 0.02) for _ in range(3000)) if 0.8 <= similarity(shingles(text), shingles(t)) < 0.83]
+    far = [edited(rng, text, 0.06) for _ in range(3000)]
+    far = [t for t in far if similarity(shingles(text), shingles(t)) < 0.72]
+    sigs, keys, nodes = sketched([text] + near)
+    far_sigs, far_keys, far_nodes = sketched(far)
+    found = None
+    for k in np.argsort((sigs[1:] == sigs[0]).mean(axis=1)) + 1:
+        shared = np.flatnonzero(keys[k] == keys[0])
+        hubs = [next((j for j in np.flatnonzero(far_keys[:, b] == keys[0, b]) if far_nodes[j] < min(nodes[0], nodes[k])
+                      and similarity(shingles(far[j]), shingles(near[k - 1])) < 0.72), None) for b in shared]
+        if len(shared) and None not in hubs:
+            found = k, sorted(set(hubs))
+            break
+    k, hubs = found
+    assert (sigs[k] == sigs[0]).mean() < 0.74
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate([text, near[k - 1]] + [far[j] for j in hubs])]
+    rows += [(100 + i, prose(rng, 6, 10**6), "en", "a", 1) for i in range(64 * len(rows) + 64)]
+    got = dict(run(docs_frame(spark, rows)))
+    assert got["0"] == got["1"] == "0" and got == dict(brute(rows))
+
+
+def test_outlines_never_hide_a_pair():
+    rng = random.Random(13)
+    line = prose(rng, 6, 10**6)
+    texts = [t for n in (3, 6, 40, 300, 4000) for t in [prose(rng, n, 10**6)]
+             for t in (t, edited(rng, t, 0.02), edited(rng, t, 0.1), t + " " + t, " ".join([line] * n + [t]))]
+    w = [shingles(t) for t in texts]
+    df = collections.Counter(s for c in w for s in c)
+    (block,) = blocks(pa.array(texts))
+    doc, hashes, _ = N._shingles(block)
+    weights = N.Weights(*np.unique(hashes, return_counts=True), len(texts))
+    idf = {s: 1 - math.log(max(n / len(texts), 1 / N.FLOOR)) / math.log(N.FLOOR) for s, n in df.items()}
+    w = [{s: n * idf[s] for s, n in c.items()} for c in w]
+    _, weight, outline = N.outlines(block, weights)
+    assert (outline == 65535).any()
+    x, y = np.triu_indices(len(texts), 1)
+    most = N.most_shared(weight, outline, x, y)
+    true = np.array([similarity(w[a], w[b]) for a, b in zip(x, y)])
+    assert (most >= true - 1e-9).all() and (most < true + 0.2).mean() > 0.5
+
+
 def test_buckets_over_the_bound_split(spark, monkeypatch):
     monkeypatch.setattr(N, "MAX_BUCKET", 20)
     rows = families(5, 15)
