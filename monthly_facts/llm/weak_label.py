@@ -4,8 +4,8 @@ Heuristic labellers vote good, bad or nothing on every document. Expectation
 maximisation over the counts of vote patterns (all documents; at most 3^m
 patterns for m labellers) estimates how each labeller votes on good and on bad
 documents, and gives each pattern the posterior that its documents are good.
-The posteriors of a bounded sample, the ``TRAIN_DOCS`` or so documents with
-the lowest hash, are the soft targets of a logistic model over ``DIMS`` hashed
+The posteriors of a bounded sample, the ``TRAIN_DOCS`` or so different
+documents with the lowest hash, are the soft targets of a logistic model over ``DIMS`` hashed
 features (of each word: itself, the shapes of its head and tail, whether it
 repeats the word before); at most TRAIN_DOCS * DIMS
 numbers come to the driver. The model then scores every whole document.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthly_facts.llm.fertility import SYMBOLS
-from monthly_facts.llm.tables import HASH_BITS, row_hash, written
+from monthly_facts.llm.tables import HASH_BITS, written
 from monthly_facts.llm.words import Block, blocks, duplicate_lines, hash_spans, mix64, per_doc, repeat_words
 
 TRAIN_DOCS = 4096
@@ -205,6 +205,17 @@ def _scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(read, schema)
 
 
+def training_sample(docs: DataFrame, total: int, train_docs: int = TRAIN_DOCS) -> DataFrame:
+    """The different (doc_id, text) of ``docs`` (``total`` rows) with the
+    lowest hashes, in their order: about ``train_docs``, at most twice that."""
+    # Hashed with the text, as many rows may have one id.
+    key = F.concat_ws(" ", F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")))
+    part = docs.select("doc_id", "text", F.conv(F.substring(F.md5(key), 1, HASH_BITS // 4), 16, 10).cast("bigint").alias("h"))
+    if total > train_docs:
+        part = part.where(F.col("h") < int(train_docs / total * (1 << HASH_BITS)))
+    return part.dropDuplicates(["doc_id", "text"]).orderBy("h", "doc_id", "text").limit(2 * train_docs).select("doc_id", "text")
+
+
 def scored(docs: DataFrame, train_docs: int = TRAIN_DOCS, threshold: float = 0.5) -> DataFrame:
     """doc_id, votes (base 3 digits), posterior (of the vote pattern), score,
     kept."""
@@ -213,11 +224,7 @@ def scored(docs: DataFrame, train_docs: int = TRAIN_DOCS, threshold: float = 0.5
     total = int(counts["n"].sum())
     pattern = counts["pattern"].to_numpy(dtype=np.int64)
     posterior, _, _ = estimate(pattern, counts["n"].to_numpy(dtype=float)) if total else (np.zeros(0), None, 0)
-    part = docs.select("doc_id", "text")
-    if total > train_docs:
-        part = part.where(row_hash() < int(train_docs / total * (1 << HASH_BITS)))
-    # Rows with one id share a hash, so the sample is also bounded by count.
-    sample = _training_rows(part.limit(2 * train_docs)).toPandas()
+    sample = _training_rows(training_sample(docs, total, train_docs)).toPandas()
     known = dict(zip(pattern.tolist(), posterior.tolist()))
     soft = np.array([known.get(p, 0.5) for p in sample["pattern"].tolist()])
     weights = train([np.asarray(x) for x in sample["col"]], [np.asarray(x) for x in sample["val"]], soft)

@@ -47,5 +47,18 @@ def test_sample_bound(spark):
     assert W.scored(docs, train_docs=50).count() == 500
 
 
+def test_sample_is_not_filled_with_copies(spark):
+    """A third of all rows are one row, a third have one id; any such id."""
+    for taken in range(0, 40, 8):
+        rows = [(taken, "the same row", "en", "a", 1)] * 1000 + [(taken + 1, f"text {i}", "en", "a", 1) for i in range(1000)]
+        rows += [(10000 + i, f"other {i}", "en", "a", 1) for i in range(1000)]
+        docs = docs_frame(spark, rows)
+        sample = [(r["doc_id"], r["text"]) for r in W.training_sample(docs, len(rows), 300).collect()]
+        assert len(set(sample)) == len(sample) and 120 < len(sample) < 280
+        assert 60 < sum(d == taken + 1 for d, _ in sample) < 140 and 60 < sum(d >= 10000 for d, _ in sample) < 140
+        again = W.training_sample(docs.repartition(7), len(rows), 300).collect()
+        assert [(r["doc_id"], r["text"]) for r in again] == sample
+
+
 def test_empty(spark):
     assert W.scored(docs_frame(spark, [])).collect() == []
