@@ -1,8 +1,8 @@
 """Benchmark decontamination: short test items inside long documents.
 
 Text is compared as words (runs of letters and digits, in lower case) in
-shingles of five; a text of one to four words is one shingle by itself. An
-item is found in a document if at least ``THRESHOLD`` of its shingles are.
+shingles of five; a text of one to four words is one shingle by itself, so an
+item that short is found only in a text of the same words. An item is found in a document if at least ``THRESHOLD`` of its shingles are.
 
 Search is by MinHash sketches whose size follows the item's size. A document
 that holds ceil(0.8 q) of an item's q shingles holds at least one of any
