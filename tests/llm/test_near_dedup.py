@@ -80,7 +80,7 @@ def run(docs):
     return sorted((str(r["doc_id"]), str(r["class_id"])) for r in collected(N.near_duplicates(docs)))
 
 
-@pytest.mark.parametrize("seed,clash", [(1, True)])
+@pytest.mark.parametrize("seed,clash", [(1, True), (1, False), (2, True)])
 def test_against_brute_force(spark, seed, clash):
     rows = awkward_rows(seed) + families(seed)
     want = brute(rows)
@@ -97,7 +97,7 @@ def test_against_brute_force(spark, seed, clash):
 def test_large_group_and_chain(spark):
     rng = random.Random(7)
     text = prose(rng, 200, 10**6)
-    rows = [(i, edited(rng, text, 0.004), "en", "a", 1) for i in range(200)]
+    rows = [(i, edited(rng, text, 0.004), "en", "a", 1) for i in range(300)]
     chain, words_ = [], prose(rng, 150, 10**6).split()
     for k in range(40):  # each is near the next, the ends are not alike
         words_ = list(words_)
