@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from monthly_facts.llm import (
     decontam,
     fertility,
+    hard_negatives,
+    merkle,
     mixing,
     near_dedup,
+    packing,
     preference,
     sharding,
     substring_dedup,
@@ -66,6 +69,28 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digested(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    columns = {c: F.col(c) for c in merkle.COLUMNS}
+    tampered = merkle.leaf_hash(columns | {"n_chars": F.col("n_chars") + 1})
+    picked = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 0
+    rows = merkle.proved(docs, carry={"tampered": F.when(picked, tampered)})
+    root = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+                       root.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
+
+
 # The targets in closed form: sources by words for a weight of one, capped
 # ones first; the share is the first at which the rest stays under its cap.
 OP1_SQL = f"""
@@ -99,6 +124,9 @@ QUERIES = {
     "op8_unigram_count": op8_unigram_count,
     "op9_url_vocabulary": op9_url_vocabulary,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_packing": op11_packing,
+    "op12_merkle": op12_merkle,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
@@ -107,4 +135,6 @@ ORACLES = {
     "op6_sharding": sharding.sharding_sql(),
     "op7_preference": preference.PREFERENCE_SQL,
     "op9_url_vocabulary": url_vocab.judged_sql(),
+    "op12_merkle": merkle.MANIFEST_SQL,
+    "op13_hard_negatives": hard_negatives.MINED_SQL,
 }
