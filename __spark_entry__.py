@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,19 +76,16 @@ def _positioned(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1] + 1)), schema)
 
 
-def _file_positions(spark: SparkSession, files: list[str], *columns) -> DataFrame:
-    """Rows of ordered data files with their position: rows of the files
-    before plus the row's place in its own file."""
-    rows = spark.read.schema(S.GOLD_SCHEMA).parquet(*files).select(
-        *columns, F.substring_index("_metadata.file_path", "/data/", -1).alias("f"), F.col("_metadata.row_index").alias("i"))
-    sizes = {r["f"]: r["count"] for r in rows.groupBy("f").count().collect()}
-    at, starts = 0, []
-    for f in files:
-        name = f.rsplit("/data/", 1)[1]
-        starts.append((name, at))
-        at += sizes.get(name, 0)
-    return rows.join(spark.createDataFrame(starts, "f string, s bigint"), "f").withColumn(
-        "ord", F.col("s") + F.col("i") + 1).drop("f", "s", "i")
+def _file_positions(spark: SparkSession, path: str, *columns) -> DataFrame:
+    """Rows of the consolidated table with their position: rows of the months
+    and files before plus the row's place in its own file."""
+    rows = spark.read.parquet(path).select(
+        *columns, S.PART_YEAR, S.PART_MONTH, F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
+    files = [S.PART_YEAR, S.PART_MONTH, "f"]
+    # One row per file: few, so one task may order them.
+    before = F.coalesce(F.sum("n").over(Window.orderBy(*files).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = rows.groupBy(*files).agg(F.count(F.lit(1)).alias("n")).withColumn("s", before)
+    return rows.join(starts, files).withColumn("ord", F.col("s") + F.col("i") + 1).select(*columns, "ord")
 
 
 def _tree(spark: SparkSession, parts: dict[str, DataFrame], name: str) -> str:
@@ -383,14 +380,37 @@ def q_start_months(spark, d):
 
 
 def q_consolidated_order(spark, d):
-    files = mf.consolidated_files(spark, _ingested(spark, d)["layout"].consolidated)
-    return _file_positions(spark, files, S.DATE_COL, S.MUNICIPALITY, S.FACILITY, S.PROCEDURE)
+    return _file_positions(spark, _ingested(spark, d)["layout"].consolidated, S.DATE_COL, S.MUNICIPALITY, S.FACILITY, S.PROCEDURE)
 
 
 def q_consolidated_by_keys(spark, d):
     out = fresh_dir(spark, "by-keys")
-    mf.consolidate(spark, _ingested(spark, d)["layout"].gold, out, by="keys", compression="zstd")
-    return _file_positions(spark, mf.consolidated_files(spark, out), S.DATE_COL, S.MUNICIPALITY, S.FACILITY, S.PROCEDURE)
+    mf.consolidate(spark, _ingested(spark, d)["layout"].gold, out, compression="zstd")
+    return _file_positions(spark, out, S.DATE_COL, S.MUNICIPALITY, S.FACILITY, S.PROCEDURE)
+
+
+def q_consolidated_plain(spark, d):
+    """Any Parquet reader finds each month once, also after a forced rebuild."""
+    layout = mf.Layout(fresh_dir(spark, "plain"))
+    mf.write_month_partitions(_gold(spark, d), layout.gold)
+    mf.consolidate(spark, layout.gold, layout.consolidated)
+    mf.consolidate(spark, layout.gold, layout.consolidated, force=True)
+    return _r2(spark.read.parquet(layout.consolidated))
+
+
+def q_run_rules(spark, d):
+    """Consolidation and dimension refresh of runs in a row over landed gold:
+    without a consolidated table, with nothing new, forced, dimensions skipped."""
+    first = _ingested(spark, d)["layout"]
+    layout = mf.Layout(fresh_dir(spark, "rules"))
+    mf.write_month_partitions(mf.read_gold(spark, first.gold).select(*S.GOLD_COLUMNS), layout.gold)
+    rows, run = [], lambda **kw: mf.run_monthly(spark, mf.read_bronze(spark, first.bronze), layout, TODAY, start=START,
+                                                facility_labels=TD.facility_labels(spark, d), **kw)
+    for caso, kw in (("sem consolidado", {}), ("nada novo", {}), ("forcado", {"force_consolidate": True}), ("sem dimensoes", {"skip_dims": True})):
+        had = mf.consolidated_exists(spark, layout)
+        report = run(**kw)
+        rows.append((caso, had, report.succeeded, report.consolidated, report.dims_refreshed))
+    return spark.createDataFrame(rows, "caso string, existia boolean, ok int, consolidou boolean, dimensoes boolean")
 
 
 def q_bronze_tree_gold(spark, d):
@@ -433,6 +453,52 @@ def q_ingest_with_unreadable(spark, d):
     return _r2(log.join(sums, S.DATE_COL, "left").select(S.DATE_COL, "status", "PA_VALPRO"))
 
 
+def _csv_tree(spark: SparkSession, d: str) -> str:
+    """Extracts as CSV, each quarter's under a header of its own: in another
+    order; without a column that is not required, with a foreign one between;
+    with a column twice; May ones lack a measure, and June ones have a second
+    file with a short and a long row."""
+    bronze = _bronze(spark, d).select(S.SOURCE_COL, S.FACILITY, S.PROCEDURE, S.MUNICIPALITY, *S.MEASURES, "PA_CMP")
+    month, root = F.month(source_month_date(S.SOURCE_COL)), fresh_dir(spark, "csv")
+    back = [S.SOURCE_COL, *reversed(bronze.columns[1:])]
+    parts = {
+        "a": bronze.where(month.isin(1, 2, 3)),
+        "b": bronze.where(month.isin(4, 6)).select(*back),
+        "c": bronze.where(month.isin(7, 8, 9)).drop("PA_CMP").select(S.SOURCE_COL, "PA_QTDAPR", F.lit("7,5").alias("OUTRA"), S.FACILITY,
+                                                                     S.PROCEDURE, S.MUNICIPALITY, "PA_VALAPR", "PA_VALPRO", "PA_QTDPRO"),
+        "d": bronze.where(month.isin(10, 11, 12)),
+        "e": bronze.where(month == 5).drop("PA_VALAPR"),
+    }
+    for part, df in parts.items():
+        # Written without their header, which is put before each file's rows.
+        names = ["PA_QTDPRO" if part == "d" and c == "PA_CMP" else c for c in df.columns if c != S.SOURCE_COL]
+        lines = df.select(S.SOURCE_COL, F.to_csv(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(c for c in df.columns if c != S.SOURCE_COL)])).alias("value"))
+        head = lines.select(S.SOURCE_COL).distinct().select(S.SOURCE_COL, F.lit(",".join(names)).alias("value"))
+        both = head.withColumn("o", F.lit(0)).unionByName(lines.withColumn("o", F.lit(1)))
+        both.repartition(4, S.SOURCE_COL).sortWithinPartitions(S.SOURCE_COL, "o").drop("o").write.partitionBy(S.SOURCE_COL).text(f"{root}-parts/{part}")
+        for (source,) in partition_values(spark, f"{root}-parts/{part}", S.SOURCE_COL):
+            rename_folder(spark, f"{root}-parts/{part}/{S.SOURCE_COL}={source}", f"{root}/{part}/{source}")
+    for r in bronze.where(month == 6).select(S.SOURCE_COL).distinct().collect():
+        write_new(spark, f"{root}/b/{r[0]}/more.csv", ",".join(back[1:]) + "\nx,1\n" + "1," * len(back) + "1\n")
+    return root
+
+
+def q_csv_tree_gold(spark, d):
+    """Landed from CSV files under five different headers; the sources that
+    cannot be read fail their months."""
+    root = _csv_tree(spark, d)
+    problems = mf.tree_problems(spark, root, "csv")
+    layout = mf.Layout(fresh_dir(spark, "from-csv"))
+    mf.land_bronze(mf.read_bronze_tree(spark, root, "csv", exclude=problems), layout.bronze, rebalance=False)
+    mf.ingest(spark, mf.read_bronze(spark, layout.bronze), layout, TODAY, start=START, unreadable=problems)
+    return _r2(mf.read_gold(spark, layout.gold).select(*S.GOLD_COLUMNS))
+
+
+def q_csv_problems(spark, d):
+    problems = mf.tree_problems(spark, _csv_tree(spark, d), "csv")
+    return problems.select(S.SOURCE_COL, F.regexp_replace("erro", ", e.g. .*", "").alias("problema"))
+
+
 def q_ingest_with_bad_month(spark, d):
     """April extracts of facility 1 hold a quantity that is not a number."""
     april = F.month(source_month_date(S.SOURCE_COL)) == 4
@@ -542,7 +608,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "start_months": q_start_months,
     "consolidated_order": q_consolidated_order,
     "consolidated_by_keys": q_consolidated_by_keys,
+    "consolidated_plain": q_consolidated_plain,
+    "run_rules": q_run_rules,
     "bronze_tree_gold": q_bronze_tree_gold,
+    "csv_tree_gold": q_csv_tree_gold,
+    "csv_problems": q_csv_problems,
     "unreadable_sources": q_unreadable_sources,
     "ingest_with_unreadable": q_ingest_with_unreadable,
     "ingest_with_bad_month": q_ingest_with_bad_month,
@@ -644,6 +714,12 @@ _FINAL = {
     "consolidated_by_keys": "SELECT data_ref, PA_MUNPCN, PA_CODUNI, PA_PROC_ID, row_number() OVER "
                             "(ORDER BY Ano, month(data_ref), PA_MUNPCN, PA_CODUNI, PA_PROC_ID) ord FROM gold",
     "bronze_tree_gold": "SELECT * FROM gold",
+    "consolidated_plain": "SELECT *, CAST(year(data_ref) AS INTEGER) ref_ano, CAST(month(data_ref) AS INTEGER) ref_mes FROM gold",
+    "run_rules": "SELECT * FROM (VALUES ('sem consolidado', false, 0, true, true), ('nada novo', true, 0, false, false), "
+                 "('forcado', true, 0, true, false), ('sem dimensoes', true, 0, false, false)) t(caso, existia, ok, consolidou, dimensoes)",
+    "csv_tree_gold": "SELECT * FROM gold WHERE month(data_ref) NOT IN (5, 6)",
+    "csv_problems": "SELECT DISTINCT arquivo_origem, CASE month(data_ref) WHEN 5 THEN 'lacks PA_VALAPR' "
+                    "ELSE '2 rows do not fit the header' END problema FROM silver WHERE month(data_ref) IN (5, 6)",
     "unreadable_sources": "SELECT DISTINCT arquivo_origem, CASE month(data_ref) WHEN 3 THEN 'lacks PA_VALPRO' "
                           "WHEN 5 THEN 'not text: PA_QTDPRO (INT64)' ELSE 'unreadable' END problema "
                           "FROM silver WHERE month(data_ref) IN (3, 5, 6)",

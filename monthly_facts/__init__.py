@@ -57,13 +57,12 @@ from monthly_facts.operators.serve import (
 from monthly_facts.operators.silver import derive_silver, silver_for_months
 from monthly_facts.plans.dashboard import dashboard_tables
 from monthly_facts.plans.consolidate import consolidate
-from monthly_facts.plans.ingest import bad_measures, existing_months, ingest, refresh_dimensions, run_monthly
+from monthly_facts.plans.ingest import bad_measures, consolidated_exists, existing_months, ingest, refresh_dimensions, run_monthly
 from monthly_facts.sources.bronze import land_bronze, landed_sources, read_bronze, read_bronze_tree, tree_problems
 from monthly_facts.sources.files import path_exists
 from monthly_facts.sources.tables import (
     Layout,
     configure_object_store,
-    consolidated_files,
     migrate_gold_tree,
     month_folders,
     read_consolidated,

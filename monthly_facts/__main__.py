@@ -4,12 +4,13 @@
         [--start 2018-01] [--end 2024-12] [--today 2025-03-10] \\
         [--after-latest] [--facility-labels PATH] [--procedure-labels PATH] \\
         [--labels-format csv|parquet] [--force-consolidate] [--skip-dims] [--keep-silver]
-        [--extracts PATH [--extracts-format parquet|csv]] [--endpoint URL] [--path-style]
+        [--extracts PATH [--extracts-format parquet|csv] [--extracts-sep ,] [--extracts-encoding UTF-8]]
+        [--endpoint URL] [--path-style]
 
 Uses the session the cluster provides (``getOrCreate``); the bronze table is
 ``<root>/bronze``. With ``--extracts``, a tree of one directory per source
-file, the sources in it are landed there first; files that cannot be read are
-reported, their months fail and stay pending. ``--endpoint`` points ``s3a://``
+file, the sources in it are landed there first; files that cannot be read (CSV
+files also for rows that do not fit their header) are reported, their months fail and stay pending. ``--endpoint`` points ``s3a://``
 at another object store; credentials come from the session's own
 configuration. Prints the run summary and exits non-zero if a month failed.
 """
@@ -47,6 +48,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--keep-silver", action="store_true")
     p.add_argument("--extracts", default=None, help="tree of decoded extracts to land first")
     p.add_argument("--extracts-format", default="parquet", choices=["parquet", "csv"])
+    p.add_argument("--extracts-sep", default=",", help="field separator of CSV extracts")
+    p.add_argument("--extracts-encoding", default="UTF-8", help="encoding of CSV extracts")
     p.add_argument("--endpoint", default=None, help="object-store endpoint for s3a:// paths")
     p.add_argument("--path-style", action="store_true", help="path-style object-store access")
     a = p.parse_args(argv)
@@ -57,10 +60,9 @@ def main(argv: list[str] | None = None) -> int:
     layout = Layout(a.root)
     unreadable = None
     if a.extracts:
-        options = {"header": "true"} if a.extracts_format == "csv" else {}
-        if a.extracts_format == "parquet":
-            unreadable = tree_problems(spark, a.extracts)
-        tree = read_bronze_tree(spark, a.extracts, a.extracts_format, exclude=unreadable if unreadable is not None else (), **options)
+        options = {"sep": a.extracts_sep, "encoding": a.extracts_encoding} if a.extracts_format == "csv" else {}
+        unreadable = tree_problems(spark, a.extracts, a.extracts_format, **options)
+        tree = read_bronze_tree(spark, a.extracts, a.extracts_format, exclude=unreadable, **options)
         land_bronze(tree, layout.bronze, rebalance=False)
     fac = read_label_table(spark, a.facility_labels, a.labels_format) if a.facility_labels else None
     proc = read_label_table(spark, a.procedure_labels, a.labels_format) if a.procedure_labels else None

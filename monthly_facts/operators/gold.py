@@ -27,11 +27,30 @@ def unparsed(measure: str, round_fractions: bool = False) -> Column:
     return F.col(measure).isNotNull() & parsed(measure, round_fractions).isNull()
 
 
-def strict(measure: str, round_fractions: bool = False) -> Column:
-    """``parsed``, but a text that does not parse fails the job, whatever the
-    session's ANSI setting."""
-    message = F.concat(F.lit(f"{measure} is not a number: "), F.col(measure))
-    return F.when(unparsed(measure, round_fractions), F.raise_error(message)).otherwise(parsed(measure, round_fractions))
+BAD_ROWS = "bad_rows"
+_KEYS = [S.FACILITY, S.DATE_COL, S.MUNICIPALITY, S.PROCEDURE]
+
+
+def _text(measure: str) -> str:
+    return measure + "_text"
+
+
+def _measures(silver: DataFrame, round_quantities: bool) -> DataFrame:
+    """Keys, parsed measures and their texts: each text is parsed once."""
+    return silver.select(*_KEYS, *[parsed(m, round_quantities).alias(m) for m in S.MEASURES],
+                         *[F.col(m).alias(_text(m)) for m in S.MEASURES])
+
+
+def _bad(measure: str) -> Column:
+    return F.col(_text(measure)).isNotNull() & F.col(measure).isNull()
+
+
+def _with_month_names(sums: DataFrame, *more: str) -> DataFrame:
+    return (
+        sums.withColumn(S.YEAR_COL, year_of(S.DATE_COL))
+        .withColumn(S.MONTH_NAME_COL, month_name(S.DATE_COL))
+        .select(*S.GOLD_COLUMNS, *more)
+    )
 
 
 def rollup(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
@@ -39,7 +58,7 @@ def rollup(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
     procedure).
 
     Values are read as double and quantities as bigint: a non-numeric measure
-    fails the job, it is not silently nulled. SQL
+    fails the job, whatever the session's ANSI setting. SQL
     sum semantics: NULLs are ignored, an all-NULL group sums to NULL, and a
     NULL key forms its own group.
 
@@ -52,14 +71,23 @@ def rollup(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
     row: same groups, a narrower shuffle and no month-name formatting per
     input row.
     """
-    aggs = [F.sum(strict(m, round_quantities)).alias(m) for m in S.MEASURES]
-    keys = [S.FACILITY, S.DATE_COL, S.MUNICIPALITY, S.PROCEDURE]
-    return (
-        silver.groupBy(*keys).agg(*aggs)
-        .withColumn(S.YEAR_COL, year_of(S.DATE_COL))
-        .withColumn(S.MONTH_NAME_COL, month_name(S.DATE_COL))
-        .select(*S.GOLD_COLUMNS)
-    )
+    def strict(m: str) -> Column:
+        message = F.concat(F.lit(f"{m} is not a number: "), F.col(_text(m)))
+        return F.when(_bad(m), F.raise_error(message)).otherwise(F.col(m))
+
+    sums = _measures(silver, round_quantities).groupBy(*_KEYS).agg(*[F.sum(strict(m)).alias(m) for m in S.MEASURES])
+    return _with_month_names(sums)
+
+
+def counted_rollup(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
+    """``rollup`` that does not fail: texts that are no numbers are left out of
+    the sums, and ``bad_rows`` counts the rows of a group that have any."""
+    bad = _bad(S.MEASURES[0])
+    for m in S.MEASURES[1:]:
+        bad = bad | _bad(m)
+    sums = _measures(silver, round_quantities).groupBy(*_KEYS).agg(
+        *[F.sum(m).alias(m) for m in S.MEASURES], F.count_if(bad).alias(BAD_ROWS))
+    return _with_month_names(sums, BAD_ROWS)
 
 
 def with_month_partition(gold: DataFrame) -> DataFrame:

@@ -67,5 +67,7 @@ def silver_for_months(silver: DataFrame, months: list[tuple[int, int]]) -> DataF
     On a bronze landed by source name the predicate only references the
     partition column, so Spark prunes whole source directories.
     """
-    dates = [_dt.date(a, m, 1) for a, m in months]
-    return silver.where(F.col(S.DATE_COL).isin(dates))
+    if not months:
+        return silver.where("false")
+    dates = ", ".join(f"DATE'{_dt.date(a, m, 1).isoformat()}'" for a, m in months)
+    return silver.where(F.expr(f"{S.DATE_COL} IN ({dates})"))

@@ -1,96 +1,51 @@
 """The consolidated table: all gold months as one ordered table.
 
-It is kept as data folders that are never overwritten and a small manifest
-that names the folders that count, in the table's order::
-
-    consolidated/data/<run>/...          what one run wrote
-    consolidated/manifests/000007.json   {"by": ..., "parts": [...]}
-
-A run writes new data files aside, then a manifest of the next number under a
-temporary name, and renames it: readers take the newest manifest, so they see
-the old table or the new one, and a run that fails leaves the old one.
-
-Ordered by date, a part is one month, sorted inside, and carries a stamp of
-the gold files it came from: only months whose gold changed are written again.
-Ordered by keys, the table is one globally sorted part.
+It is a plain Parquet table, partitioned by month and sorted inside a month by
+municipality, facility and procedure: in the order of its month folders, then of
+the file names, its rows are ordered by date and by year, month and those keys
+alike, and ``spark.read.parquet`` reads it whole. Dynamic partition overwrite
+replaces the months that are written when the job commits, so a run that fails
+leaves the old table.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
-import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from monthly_facts import schema as S
-from monthly_facts.operators.gold import with_month_partition
-from monthly_facts.sources.files import list_files, write_new
-from monthly_facts.sources.tables import month_folders, newest_manifest, read_gold
-
-DATE_ORDER = [S.MUNICIPALITY, S.FACILITY, S.PROCEDURE]
-
-
-def _stamps(spark: SparkSession, gold_path: str) -> dict[tuple[int, int], str]:
-    """A stamp per gold month: its files' names, lengths and times."""
-    out = {}
-    for a, m in month_folders(spark, gold_path):
-        files = list_files(spark, f"{gold_path.rstrip('/')}/{S.PART_YEAR}={a}/{S.PART_MONTH}={m}")
-        if files:
-            seen = json.dumps([[f.rsplit("/", 1)[1], n, t] for f, n, t in files])
-            out[a, m] = hashlib.sha1(seen.encode()).hexdigest()
-    return out
+from monthly_facts.sources.tables import in_months, month_folders, read_gold
 
+MONTH_ORDER = [S.MUNICIPALITY, S.FACILITY, S.PROCEDURE]
 
-def _publish(spark: SparkSession, root: str, by: str, parts: list[dict]) -> None:
-    newest = newest_manifest(spark, root)
-    number = newest[0] + 1 if newest else 1
-    write_new(spark, f"{root}/manifests/{number:06d}.json", json.dumps({"by": by, "parts": parts}))
 
-
-def _write_months(gold: DataFrame, path: str, compression: str) -> None:
-    """Month folders; a task writes part of one month, sorted, and the range
-    of keys it holds follows the file order."""
-    out = with_month_partition(gold).repartitionByRange(S.PART_YEAR, S.PART_MONTH, *DATE_ORDER).sortWithinPartitions(
-        S.PART_YEAR, S.PART_MONTH, *DATE_ORDER)
-    out.write.option("compression", compression).partitionBy(S.PART_YEAR, S.PART_MONTH).parquet(path)
-
-
-def consolidate(spark: SparkSession, gold_path: str, out_path: str, by: str = "date",
+def consolidate(spark: SparkSession, gold_path: str, out_path: str, months: Iterable[tuple[int, int]] = (),
                 compression: str = "snappy", force: bool = False) -> list[tuple[int, int]]:
-    """Bring the consolidated table up to gold; returns the months written.
-
-    ``by="date"`` orders by data_ref (then municipality, facility, procedure)
-    and rewrites only months whose gold changed, all with ``force``;
-    ``by="keys"`` orders by year, calendar month, municipality, facility and
-    procedure and always sorts the whole table. The sorts are range shuffles
-    with sampled bounds; the secondary keys let a month that holds a third of
-    all rows spread over many ranges. Output is many ordered files.
+    """Bring the consolidated table up to gold; returns the months written:
+    those that it lacks and those named in ``months`` (which gold has written
+    again). With ``force`` the whole table is written anew, and months that
+    gold has no longer are gone.
+
+    The sort is a range shuffle with sampled bounds; the secondary keys let a
+    month that holds a third of all rows spread over many tasks, whose files
+    follow one another in the month's order.
     """
-    if by not in ("date", "keys"):
-        raise ValueError("by must be 'date' or 'keys'")
-    root = out_path.rstrip("/")
-    run = f"data/{uuid.uuid4().hex[:12]}"
-    stamps = _stamps(spark, gold_path)
-    gold = read_gold(spark, gold_path)
-    if by == "keys":
-        order = [S.YEAR_COL, F.month(S.DATE_COL), S.MUNICIPALITY, S.FACILITY, S.PROCEDURE]
-        gold.select(*S.GOLD_COLUMNS).orderBy(*order).write.option("compression", compression).parquet(f"{root}/{run}")
-        _publish(spark, root, by, [{"folder": run}])
-        return sorted(stamps)
-    newest = newest_manifest(spark, root)
-    old = {} if force or newest is None or newest[1]["by"] != "date" else {
-        (p["ano"], p["mes"]): p for p in newest[1]["parts"]}
-    changed = sorted(m for m, stamp in stamps.items() if m not in old or old[m]["stamp"] != stamp)
-    if not changed and newest is not None and set(old) == set(stamps):
+    landed = month_folders(spark, gold_path)
+    present = set() if force else set(month_folders(spark, out_path))
+    wanted = [m for m in landed if m not in present or m in set(months)]
+    if not wanted:
         return []
-    if changed:
-        months = gold.where(F.struct(S.PART_YEAR, S.PART_MONTH).isin([F.struct(F.lit(a), F.lit(m)) for a, m in changed]))
-        _write_months(months.select(*S.GOLD_COLUMNS), f"{root}/{run}", compression)
-    parts = []
-    for a, m in sorted(stamps):
-        folder = f"{run}/{S.PART_YEAR}={a}/{S.PART_MONTH}={m}" if (a, m) in changed else old[a, m]["folder"]
-        parts.append({"ano": a, "mes": m, "stamp": stamps[a, m], "folder": folder})
-    _publish(spark, root, by, parts)
-    return changed
+    keys = [S.PART_YEAR, S.PART_MONTH]
+    gold = read_gold(spark, gold_path)
+    if len(wanted) < len(landed):
+        gold = gold.where(in_months(wanted))
+    ordered = gold.repartitionByRange(*keys, *MONTH_ORDER).sortWithinPartitions(*keys, *MONTH_ORDER)
+    (
+        ordered.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if force else "dynamic")
+        .option("compression", compression)
+        .partitionBy(*keys)
+        .parquet(out_path)
+    )
+    return wanted

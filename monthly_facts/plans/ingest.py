@@ -2,18 +2,21 @@
 
 1. Months that should exist (calendar from a start month to today minus the
    publication lag) less the months already landed -> pending. Landed months
-   are the gold table's partition folders and available sources the bronze
-   table's: listings, not scans, so a run with nothing to do reads no table.
-2. One aggregation over the pending months' measures counts, per month, texts
-   that are not numbers. Months that have any are reported ``failed`` with
-   column, count and an example, and stay pending; so do months of sources
-   that were reported unreadable.
-3. Bronze rows of all other pending months -> silver -> gold rollup, written
-   as month partitions with dynamic overwrite, in **one** Spark job. The
-   bronze filter is on the month parsed from the source name, i.e. on the
-   bronze partition column, so only pending sources are read. A month is
-   ``ok`` if its partition is there afterwards. Any other error (a lost
-   cluster, a full disk) rises to the caller; months are then still pending.
+   are the gold table's partition folders: a listing, not a scan. Pending
+   months that no source names prune to no files, so a run with nothing to do
+   reads no table.
+2. Bronze rows of the pending months -> silver -> rollup in **one** scan of the
+   facts. The bronze filter is on the month parsed from the source name, i.e.
+   on the bronze partition column, so only pending sources are read. The rollup
+   carries, beside its sums, the number of rows whose measures are not numbers;
+   it is persisted (memory, then executor disk; a lost part is worked out
+   again), its bad months are looked up in it, and all others are written as
+   month partitions with dynamic overwrite, in one job.
+3. Bad months are reported ``failed`` with column, count and an example (their
+   sources alone are looked at again for that) and stay pending; so do months
+   of sources that were reported unreadable. A month is ``ok`` if its partition
+   is there afterwards. Any other error (a lost cluster, a full disk) rises to
+   the caller; months are then still pending.
 4. Consolidation and dimension refresh follow the rules of the run: rebuild
    when absent, when any month landed, or when forced. They are independent
    writes and are submitted concurrently.
@@ -29,31 +32,29 @@ from __future__ import annotations
 import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from urllib.parse import unquote
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthly_facts import schema as S
 from monthly_facts.functions.months import source_month_date
 from monthly_facts.operators import dims as D
-from monthly_facts.operators.gold import rollup, unparsed
+from monthly_facts.operators.gold import BAD_ROWS, counted_rollup, rollup, unparsed
 from monthly_facts.operators.incremental import (
     PUBLICATION_LAG_MONTHS,
     available_months,
     months_frame,
-    months_of_sources,
     pending_months,
-    source_months,
     start_month,
 )
 from monthly_facts.operators.silver import derive_silver, silver_for_months
 from monthly_facts.plans.consolidate import consolidate
-from monthly_facts.sources.files import list_files, path_exists
+from monthly_facts.sources.files import any_match, path_exists
 from monthly_facts.sources.tables import (
     Layout,
+    in_months,
     month_folders,
-    newest_manifest,
     read_silver,
     write_month_partitions,
     write_silver,
@@ -88,9 +89,8 @@ def existing_months(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def consolidated_exists(spark: SparkSession, layout: Layout) -> bool:
-    """A published manifest, or data files that another tool wrote there."""
-    return newest_manifest(spark, layout.consolidated) is not None or any(
-        "/consolidated/data/" not in f for f, _, _ in list_files(spark, layout.consolidated, ".parquet"))
+    """Month folders, or data files that another tool wrote there."""
+    return bool(month_folders(spark, layout.consolidated)) or any_match(spark, layout.consolidated + "/*.parquet")
 
 
 def plan_months(spark: SparkSession, layout: Layout, today: _dt.date,
@@ -102,19 +102,6 @@ def plan_months(spark: SparkSession, layout: Layout, today: _dt.date,
     return pending_months(available_months(spark, first, today, lag), landed, end)
 
 
-def _months_with_sources(spark: SparkSession, bronze: DataFrame, pending: DataFrame) -> set[tuple[int, int]]:
-    """Months that some source names. Of a landed bronze the names are the
-    partition folders of its files; other rows are looked through, of the
-    pending months only."""
-    folders = {f.rsplit("/", 2)[-2] for f in bronze.inputFiles()}
-    if folders and all(f.startswith(f"{S.SOURCE_COL}=") for f in folders):
-        months = months_of_sources(spark, {unquote(f.split("=", 1)[1]) for f in folders})
-    else:
-        dates = [_dt.date(r["ano"], r["mes"], 1) for r in pending.collect()]
-        months = source_months(bronze.where(source_month_date(S.SOURCE_COL).isin(dates)))
-    return {(r["ano"], r["mes"]) for r in months.collect()}
-
-
 def bad_measures(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
     """(ano, mes, coluna, n, exemplo): texts in measures that are not numbers,
     counted per month and measure in one aggregation."""
@@ -130,9 +117,7 @@ def bad_measures(silver: DataFrame, round_quantities: bool = False) -> DataFrame
 
 
 def _stored_silver(spark: SparkSession, layout: Layout, months: list[tuple[int, int]]) -> DataFrame:
-    silver = read_silver(spark, layout.silver)
-    silver = silver.where(F.struct(S.PART_YEAR, S.PART_MONTH).isin(
-        [F.struct(F.lit(a), F.lit(m)) for a, m in months]))
+    silver = read_silver(spark, layout.silver).where(in_months(months))
     return silver.select([f.name for f in S.SILVER_SCHEMA.fields])
 
 
@@ -149,6 +134,44 @@ def _unreadable_months(spark: SparkSession, unreadable: DataFrame | None) -> dic
     return {m: "; ".join(sorted(said)) for m, said in out.items()}
 
 
+def _say_bad(silver: DataFrame, round_quantities: bool, errors: dict[tuple[int, int], str]) -> None:
+    for r in bad_measures(silver, round_quantities).orderBy("ano", "mes", "coluna").collect():
+        said = f"{r['coluna']}: {r['n']} values are not numbers, e.g. {r['exemplo']!r}"
+        m = (r["ano"], r["mes"])
+        errors[m] = f"{errors[m]}; {said}" if m in errors else said
+
+
+def _land(silver: DataFrame, layout: Layout, round_quantities: bool, errors: dict[tuple[int, int], str]) -> None:
+    """Roll up and write every month without bad texts, from one scan."""
+    counted = counted_rollup(silver, round_quantities).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = counted.groupBy(S.DATE_COL).agg(F.sum(BAD_ROWS).alias("n")).collect()
+        bad = [r[S.DATE_COL] for r in found if r["n"]]
+        if bad:
+            _say_bad(silver.where(F.col(S.DATE_COL).isin(bad)), round_quantities, errors)
+        good = counted.where(~F.col(S.DATE_COL).isin(bad)) if bad else counted
+        if len(found) > len(bad):
+            write_month_partitions(good.select(*S.GOLD_COLUMNS), layout.gold)
+    finally:
+        counted.unpersist()
+
+
+def _land_through_silver(spark: SparkSession, bronze: DataFrame, layout: Layout, months: list[tuple[int, int]],
+                         round_quantities: bool, errors: dict[tuple[int, int], str]) -> None:
+    """Months whose silver is stored need no bronze: it was found clean when it
+    was written (resume after a failure between silver and gold). Silver of the
+    other months is looked through before it is stored."""
+    stored = set(month_folders(spark, layout.silver))
+    fresh = [m for m in months if m not in stored]
+    silver = silver_for_months(derive_silver(bronze), fresh)
+    if fresh:
+        _say_bad(silver, round_quantities, errors)
+        write_silver(silver_for_months(silver, [m for m in fresh if m not in errors]), layout.silver)
+    months = [m for m in month_folders(spark, layout.silver) if m in set(months)]
+    if months:
+        write_month_partitions(rollup(_stored_silver(spark, layout, months), round_quantities), layout.gold)
+
+
 def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.date,
            start: tuple[int, int] | None = None, end: tuple[int, int] | None = None,
            after_latest: bool = False, lag: int = PUBLICATION_LAG_MONTHS,
@@ -161,30 +184,11 @@ def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.da
     pending = plan_months(spark, layout, today, start, end, after_latest, lag)
     plan = [(r["ano"], r["mes"]) for r in pending.orderBy("ano", "mes").collect()]
     errors = {m: said for m, said in _unreadable_months(spark, unreadable).items() if m in set(plan)}
-    known = _months_with_sources(spark, bronze, pending) if plan else set()
-    if keep_silver:
-        # Months whose silver survived an earlier failure can land without bronze.
-        known |= set(month_folders(spark, layout.silver))
-    months = [m for m in plan if m in known and m not in errors]
-    # Stored silver was found clean when it was written (resume after a failure
-    # between silver and gold); the other months are derived.
-    stored = set(month_folders(spark, layout.silver)) if keep_silver else set()
-    fresh = [m for m in months if m not in stored]
-    if fresh:
-        silver = silver_for_months(derive_silver(bronze), fresh)
-        for r in bad_measures(silver, round_quantities).orderBy("ano", "mes", "coluna").collect():
-            said = f"{r['coluna']}: {r['n']} values are not numbers, e.g. {r['exemplo']!r}"
-            m = (r["ano"], r["mes"])
-            errors[m] = f"{errors[m]}; {said}" if m in errors else said
-        fresh, months = ([m for m in x if m not in errors] for x in (fresh, months))
-    if months:
-        if not keep_silver:
-            silver = silver_for_months(derive_silver(bronze), months)
-        else:
-            if fresh:
-                write_silver(silver_for_months(derive_silver(bronze), fresh), layout.silver)
-            silver = _stored_silver(spark, layout, months)
-        write_month_partitions(rollup(silver, round_quantities), layout.gold)
+    months = [m for m in plan if m not in errors]
+    if months and keep_silver:
+        _land_through_silver(spark, bronze, layout, months, round_quantities, errors)
+    elif months:
+        _land(silver_for_months(derive_silver(bronze), months), layout, round_quantities, errors)
     landed = set(month_folders(spark, layout.gold))
     rows: list[tuple] = []
     for a, m in plan:
@@ -251,8 +255,9 @@ def run_monthly(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _
     do_dims = not skip_dims and (report.succeeded > 0 or not had_consolidated)
     jobs = _dimension_jobs(layout, facility_labels, procedure_labels) if do_dims else []
     if do_consolidate:
+        landed = [(r["ano"], r["mes"]) for r in report.log.where(F.col("status") == OK).select("ano", "mes").collect()]
         jobs.append((layout.consolidated, lambda: consolidate(
-            spark, layout.gold, layout.consolidated, force=force_consolidate)))
+            spark, layout.gold, layout.consolidated, landed, force=force_consolidate)))
     errors = _run_concurrently(jobs)
     cons_errors = [e for e in errors if e.startswith(layout.consolidated + ":")]
     if cons_errors:

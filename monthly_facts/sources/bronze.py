@@ -12,9 +12,11 @@ Two shapes are read:
 
 Bronze is text in both: an explicit schema is read, never one that is inferred
 from whichever file comes first. Nothing is left out silently: a file that
-cannot be read, that lacks a key or measure column or stores one as anything
-but text is an error, unless its source is named in ``exclude``, which
-``tree_problems`` can supply and the ingest run reports as failed.
+cannot be read, that lacks a key or measure column, stores one as anything
+but text or (CSV) has rows that do not fit its header is an error, unless its
+source is named in ``exclude``, which ``tree_problems`` can supply and the
+ingest run reports as failed. Footers and headers are looked up in tasks
+(``sources/survey.py``).
 
 Decoding the original compressed extract format is not done here: extracts
 arrive as Parquet or CSV.
@@ -29,11 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthly_facts import schema as S
-from monthly_facts.sources.files import each_file, list_files, parquet_columns, partition_values
+from monthly_facts.sources.files import partition_values
+from monthly_facts.sources.survey import REQUIRED, survey
 
-# Columns without which a source cannot be rolled up.
-REQUIRED = [S.FACILITY, S.MUNICIPALITY, S.PROCEDURE, *S.MEASURES]
 PROBLEMS_SCHEMA = "arquivo string, arquivo_origem string, erro string"
+# Files named in an error message.
+TOLD = 20
+_BAD = "__bad_row"
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -55,35 +59,46 @@ def landed_sources(spark: SparkSession, path: str) -> list[str]:
     return [v for (v,) in partition_values(spark, path, S.SOURCE_COL)]
 
 
-def _source_of(path: str) -> str:
-    return path.rsplit("/", 2)[-2]
-
+def tree_problems(spark: SparkSession, path: str, fmt: str = "parquet", columns: list[str] | None = None, **options) -> DataFrame:
+    """(arquivo, arquivo_origem, erro) of the files of a tree that cannot be
+    read as bronze: found in the Parquet footers or CSV headers, and for CSV in
+    one scan that counts the rows with more or fewer fields than the header."""
+    found = survey(spark, path, fmt, columns, **options)
+    rows = found.where("erro IS NOT NULL").select("arquivo", "arquivo_origem", "erro").collect()
+    if fmt == "csv":
+        each = [_csv_rows(spark, files, names, "PERMISSIVE", options).where(f"{_BAD} IS NOT NULL")
+                for names, files in _layouts(found.where("erro IS NULL"))]
+        for bad in each:
+            # Spark refuses queries that look at nothing but the bad rows' column.
+            counted = bad.groupBy("arquivo").agg(F.count(F.lit(1)).alias("n"), F.min(_BAD).alias("x"), F.count("c0")).collect()
+            rows += [(r["arquivo"], _source_of(r["arquivo"]), f"{r['n']} rows do not fit the header, e.g. {r['x'][:200]!r}") for r in counted]
+    return spark.createDataFrame(sorted(map(tuple, rows)), PROBLEMS_SCHEMA)
 
-def _problem(columns: dict[str, str], wanted: list[str]) -> str | None:
-    missing = [c for c in REQUIRED if c in wanted and c not in columns]
-    typed = [f"{c} ({columns[c]})" for c in wanted if c in columns and columns[c] != "BINARY"]
-    parts = (["lacks " + ", ".join(missing)] if missing else []) + (["not text: " + ", ".join(typed)] if typed else [])
-    return "; ".join(parts) or None
 
-
-def _file_problems(spark: SparkSession, path: str, columns: list[str]) -> list[tuple[str, str, str]]:
-    files = [f for f, _, _ in list_files(spark, path)]
-    found = each_file(files, lambda f: _problem(parquet_columns(spark, f), columns))
-    return [(f, _source_of(f), _said(x) if isinstance(x, Exception) else x)
-            for f, x in zip(files, found) if x is not None]
+def _source_of(path: str) -> str:
+    return path.rsplit("/", 2)[-2]
 
 
-def _said(error: Exception) -> str:
-    """What a reader said, without the calls that led there."""
-    cause = getattr(error, "java_exception", None)
-    return cause.toString() if cause is not None else str(error)
+def _layouts(found: DataFrame) -> list[tuple[list[str], list[str]]]:
+    """(columns in order, files) per different header: as many rows as there
+    are headers. The files' names go back into Spark's reader."""
+    rows = found.where("colunas IS NOT NULL").groupBy("colunas").agg(F.collect_list("arquivo").alias("files")).collect()
+    return sorted((r["colunas"], sorted(r["files"])) for r in rows)
 
 
-def tree_problems(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """(arquivo, arquivo_origem, erro) of the files of a Parquet tree that
-    cannot be read as bronze, found in the files' footers."""
-    rows = _file_problems(spark, path, columns or S.COLUMNS_OF_INTEREST)
-    return spark.createDataFrame(rows, PROBLEMS_SCHEMA)
+def _csv_rows(spark: SparkSession, files: list[str], names: list[str], mode: str, options: dict) -> DataFrame:
+    """Rows of CSV files that share a header, their fields by place, as text:
+    of columns that share a name the first stays. All fields of a row are
+    counted, whatever columns are asked for."""
+    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]
+    reader = spark.read.options(**options).option("header", "true").option("enforceSchema", "true").option("mode", mode).option(
+        "columnPruning", "false").option("ignoreCorruptFiles", "false")
+    if mode == "PERMISSIVE":
+        fields.append(T.StructField(_BAD, T.StringType()))
+        reader = reader.option("columnNameOfCorruptRecord", _BAD)
+    df = reader.schema(T.StructType(fields)).csv(files)
+    kept = [F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n not in names[:i] and n in S.COLUMNS_OF_INTEREST]
+    return df.select(*(["c0", _BAD] if mode == "PERMISSIVE" else kept), F.col("_metadata.file_path").alias("arquivo"))
 
 
 def read_bronze_tree(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -92,36 +107,40 @@ def read_bronze_tree(spark: SparkSession, path: str, fmt: str = "parquet",
     """Read a tree of one directory per source file, any nesting, as text.
 
     Partition inference is off (``recursiveFileLookup``), the source name is
-    the file's parent directory. A problem in any file (see ``tree_problems``;
-    for other formats than Parquet a missing required column) raises; the
+    the file's parent directory. CSV files are read under their own headers:
+    one scan per different header, fields by their place in it. A problem in
+    any file's footer or header (see ``tree_problems``) raises, a CSV row with
+    more or fewer fields than its header fails the job that reads it; the
     sources in ``exclude`` (names, or the rows of ``tree_problems``) are not
-    looked at and not read. A column of interest that is not required reads as
-    NULL where a file lacks it.
+    read. A column of interest that is not required reads as NULL where a file
+    lacks it.
     """
     cols = columns if columns is not None else S.COLUMNS_OF_INTEREST
     if isinstance(exclude, DataFrame):
         exclude = [r[0] for r in exclude.select(S.SOURCE_COL).distinct().collect()]
-    exclude = set(exclude)
-    reader = spark.read.format(fmt).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "false")
-    for k, v in options.items():
-        reader = reader.option(k, v)
+    exclude = sorted(set(exclude))
+    found = survey(spark, path, fmt, cols, **options)
+    if exclude:
+        found = found.where(~F.col("arquivo_origem").isin(exclude))
+    bad = found.where("erro IS NOT NULL").orderBy("arquivo").limit(TOLD + 1).collect()
+    if bad:
+        raise ValueError("cannot read as bronze: " + "; ".join(f"{r['arquivo']}: {r['erro']}" for r in bad[:TOLD])
+                         + ("; and more" if len(bad) > TOLD else ""))
+    source = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     if fmt == "parquet":
-        bad = [p for p in _file_problems(spark, path, cols) if p[1] not in exclude]
-        if bad:
-            raise ValueError("cannot read as bronze: " + "; ".join(f"{f}: {e}" for f, _, e in bad))
-        # Excluded sources are not opened at all: only the other files are read.
-        paths = [f for f, _, _ in list_files(spark, path) if _source_of(f) not in exclude] if exclude else [path]
         schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-        df = reader.schema(schema).load(paths) if paths else spark.createDataFrame([], schema).withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
-        source = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        reader = spark.read.options(**options).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "false")
+        df = reader.schema(schema).parquet(path)
+        # The planner drops the files of excluded sources before any is opened.
+        df = df.where(~source.isin(exclude)) if exclude else df
         return df.select(*cols, source.alias(S.SOURCE_COL))
-    df = reader.load(path)
-    missing = [c for c in REQUIRED if c in cols and c not in df.columns]
-    if missing:
-        raise ValueError(f"bronze lacks columns {missing}")
-    source = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    text = [(F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c) for c in cols]
-    return df.select(*text, source.alias(S.SOURCE_COL)).where(~F.col(S.SOURCE_COL).isin(list(exclude)) if exclude else F.lit(True))
+    out = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in [*cols, S.SOURCE_COL]]))
+    for names, files in _layouts(found):
+        df = _csv_rows(spark, files, names, "FAILFAST", options)
+        source = F.element_at(F.split("arquivo", "/"), -2)
+        out = out.unionByName(df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in cols],
+                                        source.alias(S.SOURCE_COL)))
+    return out
 
 
 def land_bronze(extracts: DataFrame, path: str, mode: str = "overwrite",

@@ -1,13 +1,12 @@
 """Folder listings through the session's Hadoop filesystem.
 
-What is listed here is bounded by sources and calendar (partition folders) or
-by the number of source files; no table is scanned for it.
+What is listed here is bounded by sources and calendar (partition folders); no
+table is scanned for it.
 """
 
 from __future__ import annotations
 
 import re
-from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -51,56 +50,10 @@ def partition_values(spark: SparkSession, root: str, *keys: str) -> list[tuple[s
     return sorted(out)
 
 
-def list_files(spark: SparkSession, root: str, suffix: str = "") -> list[tuple[str, int, int]]:
-    """(path, length, modification time) of every data file under ``root``:
-    names that start with ``_`` or ``.`` are not data."""
-    p, fs = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out, files = [], fs.listFiles(p, True)
-    while files.hasNext():
-        f = files.next()
-        path = f.getPath()
-        if not path.getName().startswith(("_", ".")) and path.getName().endswith(suffix):
-            out.append((path.toString(), f.getLen(), f.getModificationTime()))
-    return sorted(out)
-
-
-def parquet_columns(spark: SparkSession, path: str) -> dict[str, str]:
-    """Top-level columns of one Parquet file, from its footer: name -> physical
-    type (a text column is ``BINARY``). An unreadable file raises."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(p, spark.sparkContext._jsc.hadoopConfiguration())
-    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
-    try:
-        schema = reader.getFooter().getFileMetaData().getSchema()
-        out = {}
-        for field in schema.getFields():
-            out[field.getName()] = field.asPrimitiveType().getPrimitiveTypeName().toString() if field.isPrimitive() else "GROUP"
-        return out
-    finally:
-        reader.close()
-
-
-def each_file(files: list, look, threads: int = 16) -> list:
-    """``look(file)`` of every file, or the exception it raised, from threads."""
-    def one(f):
-        try:
-            return look(f)
-        except Exception as e:  # noqa: BLE001 - handed to the caller per file
-            return e
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
-        return list(pool.map(one, files))
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    p, fs = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether some path matches a glob pattern."""
+    p, fs = _fs(spark, pattern)
+    return bool(fs.globStatus(p))
 
 
 def write_new(spark: SparkSession, path: str, text: str) -> None:

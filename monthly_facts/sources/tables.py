@@ -4,7 +4,7 @@ Layout under one root (any Hadoop path, e.g. ``s3a://bucket/prefix``)::
 
     silver/ref_ano=YYYY/ref_mes=M/      silver, partitioned by month
     gold/ref_ano=YYYY/ref_mes=M/        monthly rollup, partitioned by month
-    consolidated/                       all months, in order (plans/consolidate.py)
+    consolidated/ref_ano=YYYY/ref_mes=M/  all months, in order (plans/consolidate.py)
     dims/facility/  dims/procedure/     labelled dimensions
 
 Month partitions are written with dynamic overwrite, so a run replaces exactly
@@ -14,17 +14,16 @@ discovery of gold never sees it.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthly_facts import schema as S
 from monthly_facts.functions.months import partition_value
 from monthly_facts.operators.gold import with_month_partition
-from monthly_facts.sources.files import list_files, partition_values, path_exists, read_text
+from monthly_facts.sources.files import partition_values, path_exists
 
 
 @dataclass(frozen=True)
@@ -90,6 +89,12 @@ def month_folders(spark: SparkSession, path: str) -> list[tuple[int, int]]:
                   if a.isdigit() and m.isdigit())
 
 
+def in_months(months: list[tuple[int, int]]) -> Column:
+    """Whether a row's month partition is one of ``months``: prunes folders."""
+    listed = ", ".join(str(a * 100 + m) for a, m in months) or "NULL"
+    return F.expr(f"{S.PART_YEAR} * 100 + {S.PART_MONTH} IN ({listed})")
+
+
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """Silver written by ``write_silver``: the 31 silver columns plus the
     partition columns ``ref_ano`` / ``ref_mes`` (used for pruning)."""
@@ -120,34 +125,11 @@ def read_gold_tree(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_consolidated(spark: SparkSession, path: str) -> DataFrame:
-    """The consolidated table: the folders of its newest manifest or, where
-    another tool wrote it, a plain directory or single file cast to the gold
-    schema."""
-    newest = newest_manifest(spark, path)
-    if newest is None:
-        return S.align(spark.read.parquet(path), S.GOLD_SCHEMA)
-    folders = [f"{path.rstrip('/')}/{p['folder']}" for p in newest[1]["parts"]]
-    if not folders:
-        return spark.createDataFrame([], S.GOLD_SCHEMA)
-    return spark.read.schema(S.GOLD_SCHEMA).parquet(*folders)
-
-
-def newest_manifest(spark: SparkSession, path: str) -> tuple[int, dict] | None:
-    """(number, content) of the consolidated table's newest manifest."""
-    names = [f for f, _, _ in list_files(spark, path.rstrip("/") + "/manifests", ".json")]
-    if not names:
-        return None
-    last = max(names)
-    return int(last.rsplit("/", 1)[1].split(".")[0]), json.loads(read_text(spark, last))
-
-
-def consolidated_files(spark: SparkSession, path: str) -> list[str] | None:
-    """Data files of the consolidated table in the table's order; None if it
-    has no manifest."""
-    newest = newest_manifest(spark, path)
-    if newest is None:
-        return None
-    return [f for part in newest[1]["parts"] for f, _, _ in list_files(spark, f"{path.rstrip('/')}/{part['folder']}")]
+    """The ten gold columns of the consolidated table; where another tool wrote
+    it, of a plain directory or single file cast to the gold schema."""
+    if month_folders(spark, path):
+        return spark.read.schema(_partitioned(S.GOLD_SCHEMA)).parquet(path).select(*S.GOLD_COLUMNS)
+    return S.align(spark.read.parquet(path), S.GOLD_SCHEMA)
 
 
 def migrate_gold_tree(spark: SparkSession, tree_path: str, gold_path: str) -> None:

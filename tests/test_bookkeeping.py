@@ -8,9 +8,8 @@ import pytest
 import monthly_facts as mf
 from monthly_facts import schema as S
 from monthly_facts import session
-from monthly_facts.sources.tables import newest_manifest
 from tests.conftest import bronze_rows
-from tests.test_no_silent_loss import ROW, count_reads
+from tests.test_no_silent_loss import ROW
 
 TODAY = dt.date(2024, 6, 10)
 
@@ -24,8 +23,11 @@ def landed(spark, root, names):
 def test_a_run_with_nothing_to_do_reads_no_table(spark, workdir):
     lay, bronze = landed(spark, workdir, ["PACE2401", "PACE2402", "PACE2403", "PACE2404"])
     mf.run_monthly(spark, bronze, lay, TODAY, start=(2024, 1))
-    run = lambda: mf.run_monthly(spark, bronze, lay, TODAY, start=(2024, 1))
-    assert count_reads(spark, run, lay.root) == 0
+    for f in glob.glob(os.path.join(workdir, "**", "*.parquet"), recursive=True):
+        os.truncate(f, 5)                                          # to open any of them is an error
+    bronze = mf.read_bronze(spark, lay.bronze)
+    report = mf.run_monthly(spark, bronze, lay, TODAY, start=(2024, 1), lag=1)   # one month is pending, no source names it
+    assert [(r.mes, r.status) for r in report.log.collect()] == [(5, "no_data")]
 
 
 def test_empty_gold_folder_is_no_gold(spark, workdir):
@@ -36,45 +38,54 @@ def test_empty_gold_folder_is_no_gold(spark, workdir):
     assert report.succeeded == 1
 
 
-def manifest(spark, lay):
-    return {(p["ano"], p["mes"]): p["folder"] for p in newest_manifest(spark, lay.consolidated)[1]["parts"]}
+def files(path):
+    """Data files by month folder."""
+    found = {}
+    for f in glob.glob(os.path.join(path, "*", "*", "*.parquet")):
+        found.setdefault(os.path.dirname(f)[len(path):], set()).add(f)
+    return found
 
 
 def test_landing_one_month_rewrites_one_month(spark, workdir):
     lay, bronze = landed(spark, workdir, ["PACE2401", "PACE2403"])
     mf.run_monthly(spark, bronze, lay, TODAY, start=(2024, 1))
-    before = manifest(spark, lay)
+    before = files(lay.consolidated)
     lay, bronze = landed(spark, workdir, ["PACE2402"])
     mf.run_monthly(spark, bronze, lay, TODAY, start=(2024, 1))
-    after = manifest(spark, lay)
-    assert set(after) == {(2024, 1), (2024, 2), (2024, 3)}
-    assert after[2024, 1] == before[2024, 1] and after[2024, 3] == before[2024, 3]
-    assert mf.read_consolidated(spark, lay.consolidated).count() == 3
+    after = files(lay.consolidated)
+    assert len(after) == 3 and all(after[m] == before[m] for m in before)
+    assert mf.read_consolidated(spark, lay.consolidated).count() == spark.read.parquet(lay.consolidated).count() == 3
     assert mf.consolidate(spark, lay.gold, lay.consolidated) == []
+    assert mf.consolidate(spark, lay.gold, lay.consolidated, [(2024, 2)]) == [(2024, 2)]
     assert mf.consolidate(spark, lay.gold, lay.consolidated, force=True) == [(2024, 1), (2024, 2), (2024, 3)]
+    assert spark.read.parquet(lay.consolidated).count() == 3
 
 
-def test_a_failed_consolidation_leaves_the_old_table(spark, workdir, monkeypatch):
-    from monthly_facts.plans import consolidate as module
-
+def test_a_failed_consolidation_leaves_the_old_table(spark, workdir):
     lay, bronze = landed(spark, workdir, ["PACE2401"])
     mf.run_monthly(spark, bronze, lay, TODAY, start=(2024, 1))
     lay, bronze = landed(spark, workdir, ["PACE2402"])
     mf.ingest(spark, bronze, lay, TODAY, start=(2024, 1))
-    real = module._write_months
-
-    def cut(gold, path, compression):
-        real(gold, path, compression)
-        raise OSError("lost in the last stage")
-    with monkeypatch.context() as m:
-        m.setattr(module, "_write_months", cut)
-        with pytest.raises(OSError):
-            mf.consolidate(spark, lay.gold, lay.consolidated)
+    (cut,) = files(lay.gold)[f"/{S.PART_YEAR}=2024/{S.PART_MONTH}=2"]
+    whole = open(cut, "rb").read()
+    os.truncate(cut, 5)
+    with pytest.raises(Exception):
+        mf.consolidate(spark, lay.gold, lay.consolidated)
     assert [r.Mes for r in mf.read_consolidated(spark, lay.consolidated).collect()] == ["January"]
+    with open(cut, "wb") as f:
+        f.write(whole)
     assert mf.consolidate(spark, lay.gold, lay.consolidated) == [(2024, 2)]
     assert sorted(r.Mes for r in mf.read_consolidated(spark, lay.consolidated).collect()) == ["February", "January"]
 
 
+def test_force_drops_months_that_gold_has_no_longer(spark, workdir):
+    lay, bronze = landed(spark, workdir, ["PACE2401", "PACE2402"])
+    mf.run_monthly(spark, bronze, lay, TODAY, start=(2024, 1))
+    os.rename(os.path.join(lay.gold, f"{S.PART_YEAR}=2024", f"{S.PART_MONTH}=1"), os.path.join(workdir, "away"))
+    assert mf.consolidate(spark, lay.gold, lay.consolidated, force=True) == [(2024, 2)]
+    assert [r.Mes for r in spark.read.parquet(lay.consolidated).collect()] == ["February"]
+
+
 def test_consolidated_of_another_tool_counts(spark, workdir):
     from monthly_facts.plans.ingest import consolidated_exists
 

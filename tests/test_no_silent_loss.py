@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 import monthly_facts as mf
 from monthly_facts import schema as S
 from monthly_facts.operators.filters import keep_members
+from monthly_facts.plans import ingest as ingest_module
 from monthly_facts.sources import testdata as TD
-from monthly_facts.sources.bronze import REQUIRED
+from monthly_facts.sources.survey import REQUIRED, survey
 from tests.conftest import SF_SMALL, bronze_rows
 
 TODAY = dt.date(2024, 6, 10)
@@ -39,7 +40,7 @@ def tree(workdir):
 
 
 def test_tree_is_strict(spark, tree):
-    with pytest.raises(ValueError, match="PACE2401b.*is not a Parquet file.*PACE2402.*not text: PA_QTDPRO.*PACE2403.*lacks PA_VALPRO"):
+    with pytest.raises(ValueError, match="PACE2401b.*unreadable.*PACE2402.*not text: PA_QTDPRO.*PACE2403.*lacks PA_VALPRO"):
         mf.read_bronze_tree(spark, tree)
     with pytest.raises(ValueError, match="PACE2403"):
         mf.read_bronze_tree(spark, tree, exclude=["PACE2401b", "PACE2402"])
@@ -67,6 +68,63 @@ def test_months_of_unreadable_sources_fail_and_stay_pending(spark, tree, workdir
     assert mf.read_gold(spark, lay.gold).agg(F.sum("PA_VALPRO")).first()[0] == 2.0 * (100 + 3 + 4 + 5)
 
 
+def put_csv(root, source, text, name="a.csv"):
+    os.makedirs(os.path.join(root, source), exist_ok=True)
+    with open(os.path.join(root, source, name), "w", encoding="latin-1") as f:
+        f.write(text)
+
+
+HEAD = "PA_CODUNI,PA_MUNPCN,PA_PROC_ID,PA_VALPRO,PA_VALAPR,PA_QTDPRO,PA_QTDAPR"
+
+
+@pytest.fixture
+def csv_tree(workdir):
+    root = os.path.join(workdir, "csv")
+    put_csv(root, "PACE2401", HEAD + "\n001,7,p,200.00,100.00,2,1\n")
+    put_csv(root, "PACE2401b", "PA_QTDAPR,PA_VALAPR,PA_VALPRO,PA_QTDPRO,PA_PROC_ID,PA_MUNPCN,PA_CODUNI\r\n1,100.00,200.00,2,p,7,001\r\n")
+    put_csv(root, "PACE2402", HEAD.replace(",PA_VALAPR", "") + "\n001,7,p,200.00,2,1\n")                # lacks a measure
+    put_csv(root, "PACE2403", HEAD + "\n001,7,p,200.00,100.00,2,1\n001,7,p,200.00\n1,2,3,4,5,6,7,8\n")   # a short and a long row
+    put_csv(root, "PACE2404", 'OUTRA,"PA_CMP",' + HEAD + ',PA_VALPRO\n"a, b",São,001,7,p,200.00,100.00,2,1,9.99\n')
+    put_csv(root, "PACE2404", "", "empty.csv")
+    return root
+
+
+def test_csv_files_are_read_under_their_own_headers(spark, csv_tree):
+    with pytest.raises(ValueError, match="PACE2402.*lacks PA_VALAPR"):
+        mf.read_bronze_tree(spark, csv_tree, "csv")
+    with pytest.raises(Exception, match="PACE2403"):
+        mf.read_bronze_tree(spark, csv_tree, "csv", exclude=["PACE2402"]).collect()
+    with pytest.raises(Exception, match="PACE2403"):   # whatever columns are asked for
+        mf.read_bronze_tree(spark, csv_tree, "csv", exclude=["PACE2402"]).select("PA_CODUNI").collect()
+    problems = mf.tree_problems(spark, csv_tree, "csv", encoding="ISO-8859-1")
+    told = {r.arquivo_origem: r.erro for r in problems.collect()}
+    assert told == {"PACE2402": "lacks PA_VALAPR", "PACE2403": "2 rows do not fit the header, e.g. '001,7,p,200.00'"}
+    good = mf.read_bronze_tree(spark, csv_tree, "csv", exclude=problems, encoding="ISO-8859-1")
+    rows = {r.arquivo_origem: r.asDict() for r in good.collect()}
+    assert set(rows) == {"PACE2401", "PACE2401b", "PACE2404"}
+    for r in rows.values():
+        assert (r["PA_CODUNI"], r["PA_VALPRO"], r["PA_VALAPR"], r["PA_QTDPRO"], r["PA_QTDAPR"]) == ("001", "200.00", "100.00", "2", "1")
+    assert rows["PACE2404"]["PA_CMP"] == "São" and rows["PACE2401"]["PA_CMP"] is None
+    assert good.columns == [*S.COLUMNS_OF_INTEREST, S.SOURCE_COL]
+
+
+def test_csv_command_line_reports_bad_sources(spark, csv_tree, workdir):
+    from monthly_facts.__main__ import main
+
+    root = os.path.join(workdir, "out")
+    assert main(["--root", root, "--start", "2024-01", "--today", "2024-06-10", "--extracts", csv_tree, "--extracts-format", "csv",
+                 "--extracts-encoding", "ISO-8859-1"]) == 1
+    assert mf.month_folders(spark, mf.Layout(root).gold) == [(2024, 1), (2024, 4)]
+    assert mf.read_gold(spark, mf.Layout(root).gold).where("Mes = 'January'").agg(F.sum("PA_VALPRO"), F.sum("PA_VALAPR")).first()[:] == (400.0, 200.0)
+
+
+def test_footers_are_looked_up_in_tasks(spark, tree):
+    found = survey(spark, tree)
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.arquivo_origem: (r.colunas is None, r.erro and r.erro.split(" ")[0]) for r in found.collect()} == {
+        "PACE2401": (False, None), "PACE2401b": (True, "unreadable:"), "PACE2402": (False, "not"), "PACE2403": (False, "lacks"), "PACE2404": (False, None)}
+
+
 def test_command_line_lands_a_tree(spark, tree, workdir):
     from monthly_facts.__main__ import main
 
@@ -96,32 +154,42 @@ def test_bad_measure_fails_whatever_the_ansi_setting(spark, workdir, ansi):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
-def test_one_bad_month_costs_two_jobs_over_the_rows(spark, workdir):
-    """Counted as stages that read the facts: one to look, one to land."""
+def counting(spark, df):
+    """``df`` and an accumulator of the rows that were read of it."""
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+    return df.mapInArrow(count, df.schema), rows
+
+
+def test_a_run_reads_the_facts_once(spark, workdir):
+    rows = [dict(ROW, arquivo_origem=f"PACE23{m:02d}") for m in range(1, 13) for _ in range(5)]
+    facts, read = counting(spark, bronze_rows(spark, rows))
+    report = mf.run_monthly(spark, facts, mf.Layout(workdir), TODAY, start=(2023, 1))
+    assert report.succeeded == 12 and read.value == 60
+
+
+def test_only_bad_months_are_read_again(spark, workdir):
     rows = [dict(ROW, arquivo_origem=f"PACE23{m:02d}") for m in range(1, 13)] + [dict(ROW, PA_QTDAPR="?", arquivo_origem="PACE2307")]
     lay = mf.Layout(workdir)
     mf.land_bronze(bronze_rows(spark, rows), lay.bronze)
-    reads = count_reads(spark, lambda: mf.ingest(spark, mf.read_bronze(spark, lay.bronze), lay, TODAY, start=(2023, 1)), lay.bronze)
-    assert reads == 2
+    seen = []
+    real = ingest_module.bad_measures
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ingest_module, "bad_measures", lambda silver, r: seen.append(silver.select("data_ref").distinct().collect()) or real(silver, r))
+        report = mf.ingest(spark, mf.read_bronze(spark, lay.bronze), lay, TODAY, start=(2023, 1))
+    assert [[r[0].month for r in x] for x in seen] == [[7]]
+    assert [r.detalhe for r in report.log.where("status = 'failed'").collect()] == ["PA_QTDAPR: 1 values are not numbers, e.g. '?'"]
     assert (2023, 7) not in mf.month_folders(spark, lay.gold) and len(mf.month_folders(spark, lay.gold)) == 11
 
 
-def count_reads(spark, run, path):
-    """SQL executions of ``run`` whose plan reads files below ``path``."""
-    store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
-    run()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    found = store.executionsList(int(before), 10_000)
-    return sum(path in found.apply(i).physicalPlanDescription() for i in range(found.size()))
-
-
 def test_an_unrelated_failure_is_not_swallowed(spark, workdir, monkeypatch):
-    from monthly_facts.plans import ingest as module
-
     lay = mf.Layout(workdir)
     calls = []
-    monkeypatch.setattr(module, "write_month_partitions", lambda *a, **k: calls.append(1) or (_ for _ in ()).throw(OSError("disk full")))
+    monkeypatch.setattr(ingest_module, "write_month_partitions", lambda *a, **k: calls.append(1) or (_ for _ in ()).throw(OSError("disk full")))
     rows = [dict(ROW, arquivo_origem=f"PACE23{m:02d}") for m in range(1, 13)]
     with pytest.raises(OSError, match="disk full"):
         mf.ingest(spark, bronze_rows(spark, rows), lay, TODAY, start=(2023, 1))

@@ -1,4 +1,5 @@
-"""Every registered query against its DuckDB oracle on sf0.001."""
+"""Every query of the reference's operators against its DuckDB oracle on
+sf0.001 (the corpus queries have a test of their own)."""
 import hashlib
 
 import duckdb
@@ -26,7 +27,7 @@ def digest(rows, cols):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.QUERIES) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -34,9 +35,9 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and "data_ref" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = E.QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
