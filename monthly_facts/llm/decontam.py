@@ -6,16 +6,21 @@ item that short is found only in a text of the same words. An item is found in a
 
 Search is by MinHash sketches whose size follows the item's size. A document
 that holds ceil(0.8 q) of an item's q shingles holds at least one of any
-q - ceil(0.8 q) + 1 of them, so the item is entered under that many of its
-lowest shingle hashes: no item is missed. Items are partitioned by size
-(powers of two); each partition knows the highest hash entered, and a document
-is probed only with its shingles up to the highest of the partitions whose
-items it is long enough to hold. What meets an entry is a candidate and is
-verified on the shingles themselves, as text.
-
-Only DataFrame functions are used. The entries are as many as a fifth of the
-items' shingles; they are joined by equality, broadcast only if the planner
-finds their files small.
+q - ceil(0.8 q) + 1 of them, so the item is entered under that many, the lowest
+in an order by corpus frequency (in powers of two) and then by hash: no item is
+missed, and passages that many documents share name no candidates unless an
+item is made of them. Items are partitioned by size (powers of two), and a
+document is probed only for the partitions whose smallest item it is long
+enough to hold. For a candidate pair the shared shingle hashes are counted, and
+only pairs with ceil(0.8 q) of them are verified on the shingles themselves, as
+text.
+
+Only DataFrame functions are used. The corpus is read once for its shingles: a
+bit table of the items' shingles, of at most 2^``BIT_WORDS`` rows and therefore
+broadcast, drops almost all others where they are made; what is left meets the
+items' shingles by equality (broadcast only if the planner finds their files
+small) and is written, with frequencies, candidates and counts worked out from
+that.
 
 Defined results: null or wordless texts and items match nothing; items with
 the same text are all reported; documents with equal texts are all reported;
@@ -25,13 +30,14 @@ read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthly_facts.llm.tables import OWN, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
+BIT_WORDS = 18
 
 
 def with_words(df: DataFrame, text: str = "text", name: str = "words") -> DataFrame:
@@ -55,13 +61,45 @@ def shingles(words: str = "words") -> Column:
         F.array().cast("array<string>"))
 
 
-def _entries(items: DataFrame, threshold: float) -> DataFrame:
-    """(item, n_item, part, h): each item under its lowest shingle hashes."""
-    hashed = items.withColumn("hs", F.array_sort(F.array_distinct(shingle_hashes()))).withColumn("n", F.size("hs"))
-    needed = F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9))
+def _held(items: DataFrame, threshold: float) -> DataFrame:
+    """(item, n, needed, part, h): every different shingle of each item."""
+    hashed = items.withColumn("hs", F.array_distinct(shingle_hashes())).withColumn("n", F.size("hs"))
+    needed = F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)).cast("int")
     return hashed.where("n > 0").select(
-        "item", "n", F.floor(F.log2("n")).cast("int").alias("part"),
-        F.explode(F.slice("hs", F.lit(1), (F.col("n") - needed + 1).cast("int"))).alias("h"))
+        "item", "n", needed.alias("needed"), F.floor(F.log2("n")).cast("int").alias("part"), F.explode("hs").alias("h"))
+
+
+def _word(h: str) -> Column:
+    return F.shiftright(h, 6).bitwiseAND(F.lit((1 << BIT_WORDS) - 1))
+
+
+def _met(docs: DataFrame, held: DataFrame) -> DataFrame:
+    """(text_key, n_held, h): shingles of items in each different text, which
+    has ``n_held`` shingles."""
+    words = held.select(_word("h").alias("word"), F.expr("shiftleft(1L, CAST(h & 63 AS INT))").alias("bit")).groupBy("word").agg(
+        F.bit_or("bit").alias("bits"))
+    words = written(words, "decontam-bits")   # at most 2^BIT_WORDS rows
+    probes = with_words(docs.select("text", F.xxhash64("text").alias("text_key"))).select("text_key", shingle_hashes().alias("hs"))
+    # The size is worked out first, as an exploded row shall not carry the
+    # array; the outer form keeps the planner from testing the array's size by
+    # working out its words again for each of its elements. A null meets nothing.
+    probes = probes.select("text_key", "hs", F.size("hs").alias("n_held")).select("text_key", "n_held", F.explode_outer("hs").alias("h"))
+    likely = probes.join(F.broadcast(words), _word("h") == F.col("word")).where("getbit(bits, CAST(h & 63 AS INT)) = 1")
+    return likely.select("text_key", "n_held", "h").join(held.select("h").distinct(), "h", "left_semi").distinct()
+
+
+def _candidates(met: DataFrame, held: DataFrame) -> DataFrame:
+    """(text_key, item): pairs that share as many shingle hashes as needed."""
+    found = met.groupBy("h").agg(F.count(F.lit(1)).alias("n_texts"))
+    # An item's own shingles: as many rows as a short text has words.
+    order = Window.partitionBy("item").orderBy(F.floor(F.log2(F.coalesce("n_texts", F.lit(0)) + 1)), "h")
+    entries = held.join(found, "h", "left").withColumn("place", F.row_number().over(order)).where("place <= n - needed + 1")
+    # At most 32 partitions: what their smallest items need.
+    least = held.groupBy("part").agg(F.min("needed").alias("least"))
+    entries = entries.join(least, "part").select("h", "item", "least")
+    pairs = met.join(entries, "h").where("n_held >= least").select("text_key", "item").distinct()
+    shared = written(pairs, "decontam-pairs").join(held, "item").join(met.select("text_key", "h"), ["text_key", "h"])
+    return shared.groupBy("text_key", "item", "needed").agg(F.count(F.lit(1)).alias("n")).where("n >= needed").select("text_key", "item")
 
 
 def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -71,20 +109,9 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -
     tests = with_words(items.select(F.col("item_id").alias("item_id"), "text")).select(
         "item_id", "words", F.xxhash64("words").alias("item"))
     tests = written(tests, "decontam-items")
-    entries = written(_entries(tests.dropDuplicates(["item"]), threshold), "decontam-entries")
-    # At most 32 partitions: the shortest item's size and the highest hash.
-    parts = entries.groupBy("part").agg(F.min("n").alias("n"), F.max("h").alias("top")).collect()
-    highest = F.lit(None).cast("bigint")
-    for p in sorted(parts, key=lambda p: p["n"]):
-        top = max(q["top"] for q in parts if q["n"] <= p["n"])
-        highest = F.when(F.size("hs") >= p["n"] * threshold - 1e-9, F.lit(top)).otherwise(highest)
-    probes = (
-        with_words(docs.select("text", F.xxhash64("text").alias("text_key")))
-        .select("text_key", shingle_hashes().alias("hs")).select("text_key", "hs", highest.alias("highest"))
-        .select("text_key", F.explode(F.filter("hs", lambda h: h <= F.col("highest"))).alias("h"))
-    )
-    pairs = probes.join(entries.select("h", "item"), "h").select("text_key", "item").distinct()
-    pairs = written(pairs, "decontam-candidates")
+    held = written(_held(tests.dropDuplicates(["item"]), threshold), "decontam-shingles")
+    met = written(_met(docs, held), "decontam-met")
+    pairs = written(_candidates(met, held), "decontam-candidates")
     # The candidates' texts; equal texts meet once per task before the shuffle.
     wanted = pairs.select("text_key").distinct()
     texts = docs.select("text", F.xxhash64("text").alias("text_key")).join(wanted, "text_key", "left_semi").dropDuplicates(["text_key"])

@@ -1,4 +1,4 @@
-"""Near-duplicate classes: consistent samples of the unit parts of TF-IDF
+"""Near-duplicate classes: improved consistent weighted sampling of TF-IDF
 shingles, banded, verified by weighted Jaccard similarity.
 
 A document is its 5-word shingles (a text of one to four words is one
@@ -7,19 +7,23 @@ a ``FLOOR``-th of all documents down to 1 for one in all, logarithmically:
 boilerplate weighs less, and a large group of copies cannot make its own
 shingles weightless. Exact document counts are needed for frequent shingles
 only. A shingle in more than 1/FLOOR of all documents is in more than 1/FLOOR
-of some block of documents, so each task names what is frequent in one of its
-blocks; a bitmap of fixed size of those names lets a second pass count them
-over all documents. What is left is at most FLOOR times the mean number of
-shingles per document, which is what goes to the tasks.
-
-Samples: a shingle of weight w is cut into unit parts, numbered from 0: the
-whole ones, and what is left of w as one more part that is there with that
-probability, by a number fixed for the shingle and part. So the plain Jaccard
-similarity of two documents' parts follows the weighted one of their shingles,
-however uneven the weights are. Every part falls by its hash into one of
-``BINS`` bins, and each bin keeps its lowest part. A bin left empty (short
-texts) takes the sample of another by a fixed order of donors. So a document
-costs one draw per part, at most two per word, not one per shingle and sample.
+of the documents of some task, so each task counts its documents' shingles in
+an array of fixed size (a slot per low bits of the hash) and names the slots
+that are as frequent there; a second pass counts the shingles of the named
+slots over all documents. Where texts are so long that a task would hold less
+than ``GROUP_DOCS`` documents, tasks read several partitions, so that chance
+does not make their slots frequent. What is left is at most FLOOR times the
+mean number of shingles per document; it goes to the executors as a broadcast
+variable, once each.
+
+Samples: each of ``BANDS * ROWS`` samples is drawn over all of a document's
+weighted shingles. For sample k a shingle of weight w has fixed random r and c
+(Gamma(2, 1)) and b (uniform), t = floor(ln w / r + b), y = exp(r (t - b)) and
+a = c / (y exp(r)); the shingle of the lowest a, with its t, is the sample. Two
+documents agree in a sample with the probability of their weighted Jaccard
+similarity. r and b come from a table of 2^16 points and c from one of 2^16
+quantiles, addressed by bits of a hash of shingle and k, so that the common
+weight (a shingle once in a text, idf 2) costs table look-ups only.
 ``BANDS`` bands of ``ROWS`` samples each name a bucket.
 
 Links, in two steps. First all members of a bucket are held against one
@@ -53,6 +57,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +67,7 @@ from monthly_facts.llm.words import Block, blocks, gram_hashes, gram_starts, has
 SHINGLE = 5
 SIMILARITY = 0.8
 FLOOR = 64
-BINS, BANDS, ROWS = 128, 25, 5
+BANDS, ROWS = 25, 5
 # Outlines: ranges of shingle hashes, and their steps to a unit of weight.
 OUTLINE, STEPS = 256, 64
 FIRST_PARTNERS = 1
@@ -70,11 +75,14 @@ MAX_BUCKET = 4096
 GROUP_ROWS = 64
 PAIRS_AT_ONCE = 1 << 15
 BITMAP_BITS = 23
+# Documents of a task that names frequent slots, at least.
+GROUP_DOCS = 1024
 # Documents of one block share a 64-bit key: 10 bits of document, 54 of hash.
 DOC_BITS = 10
 HASH_MASK = np.uint64((1 << (64 - DOC_BITS)) - 1)
 
 _U = np.uint64
+_SLOT = _U((1 << BITMAP_BITS) - 1)
 
 
 def _shingles(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,55 +130,92 @@ class Weights:
         return counts * idf
 
 
-def _part_hashes(hashes: np.ndarray, part: np.ndarray) -> np.ndarray:
-    """A hash of each shingle's numbered part."""
-    return mix64(hashes + (part + 1).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
-
-
-def _uniform(hashes: np.ndarray, part: np.ndarray) -> np.ndarray:
-    """A number of each shingle's numbered part, between 0 and 1 (neither)."""
-    x = mix64(_part_hashes(hashes, part) + _U(0xD6E8FEB86659FD93))
-    return ((x >> _U(12)).astype(np.float64) + 0.5) / (1 << 52)
-
-
-# For each round of filling, the bin that gives its sample to an empty bin.
-_DONORS = np.random.default_rng(20).permuted(np.tile(np.arange(BINS), (64, 1)), axis=1)
+def _gamma_quantiles(n: int) -> np.ndarray:
+    """Quantiles of Gamma(2, 1) at the middles of n equal parts, by bisection
+    of 1 - (1 + x) exp(-x)."""
+    p = (np.arange(n) + 0.5) / n
+    low, high = np.zeros(n), np.full(n, 64.0)
+    for _ in range(80):
+        x = (low + high) / 2
+        below = 1 - (1 + x) * np.exp(-x) < p
+        low, high = np.where(below, x, low), np.where(below, high, x)
+    return low
+
+
+# By 16 bits of a hash: a pair of r and b (256 x 256), and a value of c.
+_R = np.repeat(_gamma_quantiles(256), 256).astype(np.float32)
+_B = np.tile((np.arange(256) + 0.5) / 256, 256).astype(np.float32)
+_C = _gamma_quantiles(1 << 16).astype(np.float32)
+COMMON = 2.0
+
+
+def _step(ln_w: np.ndarray | float, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(t, 1 / (y exp(r))) at points of the table."""
+    r, b = _R[at], _B[at]
+    t = np.floor(ln_w / r + b)
+    return t.astype(np.int64), np.exp(-r * (t - b + 1)).astype(np.float32)
+
+
+_COMMON_T, _COMMON_SHARE = _step(np.float32(np.log(COMMON)), np.arange(1 << 16))
+_SEEDS = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(32)).astype(np.uint32) | np.uint32(1)
+# Shingles that are sampled at once, so that they stay in the cache (a longer
+# document alone is more).
+SAMPLED_AT_ONCE = 1 << 14
+
+
+def _sample(hashes: np.ndarray, weights: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The samples of documents, whose shingles start at ``edges``."""
+    n = len(hashes)
+    other = np.flatnonzero(weights != COMMON)
+    ln_w = np.log(weights[other]).astype(np.float32)
+    low, high = hashes.astype(np.uint32), (hashes >> _U(32)).astype(np.uint32)
+    x, y, at, share, c = np.empty(n, np.uint32), np.empty(n, np.uint32), np.empty(n, np.intp), np.empty(n, np.float32), np.empty(n, np.float32)
+    # Little-endian pairs of name and a, compared as one number: positive
+    # floats are in the order of their bits.
+    pairs = np.empty((n, 2), dtype="<u4")
+    out = np.empty((len(edges), len(_SEEDS)), dtype=np.uint64)
+    for k, seed in enumerate(_SEEDS):
+        np.multiply(low, seed, out=x)
+        np.right_shift(x, 15, out=y)
+        x ^= y
+        x += high
+        x *= np.uint32(0x2C1B3C6D)
+        np.right_shift(x, 13, out=y)
+        x ^= y
+        np.right_shift(x, 16, out=y)
+        at[:] = y
+        np.take(_COMMON_SHARE, at, out=share, mode="clip")
+        pairs[:, 0] = x
+        if len(other):
+            # The sample's name is its shingle's hash and what its t has over
+            # that of the common weight.
+            t, share[other] = _step(ln_w, at[other])
+            pairs[other, 0] += ((t - _COMMON_T[at[other]]) * 0x9E3779B1).astype(np.uint32)
+        np.bitwise_and(x, 0xFFFF, out=y)
+        at[:] = y
+        np.take(_C, at, out=c, mode="clip")
+        np.multiply(c, share, out=c)
+        pairs[:, 1] = c.view(np.uint32)
+        out[:, k] = np.minimum.reduceat(pairs.view("<u8")[:, 0], edges) & _U(0xFFFFFFFF)
+    return out
 
 
 def samples(block: Block, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
-    """(documents with shingles, their BINS samples)."""
+    """(documents with shingles, their samples)."""
     doc, hashes, counts = _shingles(block)
     if not len(doc):
-        return np.zeros(0, dtype=np.int64), np.zeros((0, BINS), dtype=np.uint64)
-    # Part p of a shingle of weight w is there if w > p + u(shingle, p): all of
-    # the whole parts, and the last one as often as what is left of w.
-    w = weights.of(hashes, counts)
-    whole = np.floor(w).astype(np.int64)
-    parts = whole + (w - whole > _uniform(hashes, whole))
-    first = np.cumsum(parts) - parts
-    of = np.repeat(np.arange(len(parts)), parts)
-    drawn = _part_hashes(hashes[of], np.arange(len(of)) - first[of])
-    have, row = np.unique(doc, return_inverse=True)
-    none = _U((1 << 64) - 1)
-    sig = np.full(len(have) * BINS, none)
-    np.minimum.at(sig, row[of] * BINS + (drawn >> _U(64 - 7)).astype(np.int64), drawn)
-    sig = sig.reshape(len(have), BINS)
-    full = sig != none
-    sig = mix64(sig)
-    given, there = sig.copy(), full.copy()
-    for donors in _DONORS:
-        if there.all():
-            break
-        fill = ~there & full[:, donors]
-        given = np.where(fill, sig[:, donors], given)
-        there |= fill
-    for step in range(1, BINS):  # whatever is left takes the next full bin
-        if there.all():
-            break
-        fill = ~there & np.roll(full, -step, axis=1)
-        given = np.where(fill, np.roll(sig, -step, axis=1), given)
-        there |= fill
-    return have, given
+        return np.zeros(0, dtype=np.int64), np.zeros((0, BANDS * ROWS), dtype=np.uint64)
+    # Hashes of 54 bits are spread over 64 first.
+    w, hashes = weights.of(hashes, counts), mix64(hashes)
+    edges = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    ends = np.append(edges[1:], len(doc))
+    parts, first = [], 0
+    while first < len(edges):
+        last = max(first + 1, int(np.searchsorted(ends, edges[first] + SAMPLED_AT_ONCE, side="right")))
+        at = slice(edges[first], ends[last - 1])
+        parts.append(_sample(hashes[at], w[at], edges[first:last] - edges[first]))
+        first = last
+    return doc[edges], np.concatenate(parts)
 
 
 def bands(sig: np.ndarray) -> np.ndarray:
@@ -190,24 +235,22 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 # ------------------------------------------------------- frequent shingles
 
-def _locally_frequent(texts: DataFrame) -> DataFrame:
-    """Shingles in at least 1/FLOOR of the documents of some group of blocks."""
+def _frequent_slots(texts: DataFrame, total: int) -> DataFrame:
+    """(slot): low bits of shingles in more than 1/FLOOR of the documents of
+    some task; every shingle in more than 1/FLOOR of all has its slot here."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, docs = [], 0, 0
-
-        def frequent():
-            found, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([_signed(found[n * FLOOR >= docs])], names=["shingle"])
+        counts, docs = np.zeros(1 << BITMAP_BITS, dtype=np.uint32), 0
         for batch in batches:
             for block in _shingle_blocks(batch.column(0)):
-                held.append(_shingles(block)[1])
-                size, docs = size + len(held[-1]), docs + len(block)
-                if size >= 2_000_000:
-                    yield frequent()
-                    held, size, docs = [], 0, 0
-        if held:
-            yield frequent()
-    return texts.mapInArrow(read, "shingle bigint").distinct()
+                slots, n = np.unique((_shingles(block)[1] & _SLOT).astype(np.int32), return_counts=True)
+                counts[slots] += n.astype(np.uint32)
+                docs += len(block)
+        if docs:
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(counts * np.uint64(FLOOR) > docs))], names=["slot"])
+
+    tasks = max(1, total // GROUP_DOCS)
+    texts = texts.coalesce(tasks) if texts.rdd.getNumPartitions() > tasks else texts
+    return texts.mapInArrow(read, "slot bigint").distinct()
 
 
 def _bitmap(values: DataFrame) -> np.ndarray:
@@ -230,7 +273,8 @@ def _in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def frequent_shingles(texts: DataFrame) -> Weights:
     """Exact document counts of the shingles in more than 1/FLOOR of all
     documents (``texts``: one column, one row per document)."""
-    bitmap = _bitmap(_locally_frequent(texts))
+    total = texts.count()
+    bitmap = _bitmap(_frequent_slots(texts, total))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,7 +283,6 @@ def frequent_shingles(texts: DataFrame) -> Weights:
                 found = found[_in_bitmap(bitmap, found)]
                 found, n = np.unique(found, return_counts=True)
                 yield pa.RecordBatch.from_arrays([_signed(found), pa.array(n)], names=["shingle", "n"])
-    total = texts.count()
     counts = texts.mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(
         F.sum("n").alias("n")).where(F.col("n") * FLOOR > total)
     found = counts.toPandas()  # at most FLOOR times the mean shingles of a document
@@ -261,9 +304,10 @@ def _representatives(keyed: DataFrame) -> DataFrame:
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "node", "n")).alias("rep"))
 
 
-def _sketches(keyed: DataFrame, weights: Weights) -> DataFrame:
+def _sketches(keyed: DataFrame, shared: Broadcast[Weights]) -> DataFrame:
     """(node, bands): one row per different text that has words."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = shared.value
         for batch in batches:
             for block in _shingle_blocks(batch.column(1)):
                 have, sig = samples(block, weights)
@@ -286,9 +330,10 @@ def outlines(block: Block, weights: Weights) -> tuple[np.ndarray, np.ndarray, np
     return have, np.bincount(row, weights=w, minlength=len(have)), np.minimum(steps, 65535).astype("<u2").reshape(-1, OUTLINE)
 
 
-def _outlines(texts: DataFrame, weights: Weights) -> DataFrame:
+def _outlines(texts: DataFrame, shared: Broadcast[Weights]) -> DataFrame:
     """(node, weight, outline) of ``texts`` (node, text)."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = shared.value
         for batch in batches:
             for block in _shingle_blocks(batch.column(1)):
                 have, weight, steps = outlines(block, weights)
@@ -307,7 +352,7 @@ def _with_hub(entries: DataFrame) -> DataFrame:
     return entries.join(hubs.where("n > 1").select("bucket", "hub"), "bucket")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, known: Broadcast[Weights], similarity: float) -> DataFrame:
     """Of ``pairs`` (node, hub) those at least ``similarity`` alike. A hub's
     members come in groups of about GROUP_ROWS, each sorted behind a copy of
     the hub's text and read as a stream."""
@@ -319,7 +364,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights, similarity:
     rows = salted.unionByName(heads).join(texts, "node").repartition("hub", "salt").sortWithinPartitions("hub", "salt", "member")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = None
+        head, weights = None, known.value
         for batch in batches:
             hubs, nodes, members = (batch.column(k).to_pylist() for k in range(3))
             out = []
@@ -479,7 +524,7 @@ def _possible(rows: DataFrame, partners: int | None, similarity: float) -> DataF
     return rows.repartition("block").sortWithinPartitions("block").mapInArrow(read, "node bigint, hub bigint").distinct()
 
 
-def _linked(keyed: DataFrame, reps: DataFrame, weights: Weights, similarity: float) -> DataFrame:
+def _linked(keyed: DataFrame, reps: DataFrame, weights: Broadcast[Weights], similarity: float) -> DataFrame:
     """(node, comp) of all nodes that have a link."""
     sketches = written(_sketches(keyed, weights), "near-sketches")
     members = written(_with_hub(sketches.select(F.explode("bands").alias("bucket"), "node")), "near-members")
@@ -510,7 +555,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
     """(keyed documents, (node, rep) where rep is the lowest document of the
     node's class)."""
     keyed = _keyed(docs)
-    weights = frequent_shingles(keyed.select("text"))
+    weights = docs.sparkSession.sparkContext.broadcast(frequent_shingles(keyed.select("text")))
     reps = written(_representatives(keyed), "near-reps")
     comps = _linked(keyed, reps, weights, similarity)
     labelled = reps.join(comps, "node", "left").select("node", "rep", F.coalesce("comp", "node").alias("comp"))

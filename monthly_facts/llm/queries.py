@@ -20,7 +20,9 @@ from monthly_facts.llm import (
     url_vocab,
     weak_label,
 )
-from monthly_facts.llm.tables import OWN, ROW_HASH_SQL, table
+from monthly_facts.llm.tables import OWN, ROW_HASH_SQL, content_hash_sql, table
+
+DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,8 +96,8 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The targets in closed form: sources by words for a weight of one, capped
 # ones first; the share is the first at which the rest stays under its cap.
 OP1_SQL = f"""
-WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) size, {ROW_HASH_SQL} h
-           FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) size, {ROW_HASH_SQL} h,
+                  {content_hash_sql(DOCUMENTS)} h2 FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 w FROM d GROUP BY source),
 o AS (SELECT *, CAST(coalesce(sum(3 * source_size) OVER before, 0) AS BIGINT) capped,
              CAST(sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS BIGINT) open_w, CAST(sum(source_size) OVER () AS BIGINT) total
@@ -104,14 +106,15 @@ share AS (SELECT arg_min((total - capped) / open_w, k) l FROM (SELECT *, row_num
           WHERE w * ((total - capped) / open_w) <= 3 * source_size),
 t AS (SELECT source, source_size, least(w * coalesce(l, 1e300), 3 * source_size)::DOUBLE target FROM s, share),
 c AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END copies FROM t),
-g AS (SELECT source, h, sum(size) words FROM d GROUP BY ALL),
-r AS (SELECT g.source, h, words, target - copies * source_size rest,
-             sum(words) OVER (PARTITION BY g.source ORDER BY h) upto FROM g JOIN c ON g.source IS NOT DISTINCT FROM c.source),
-top AS (SELECT source, max(CASE WHEN rest - (upto - words) >= words / 2 THEN h ELSE h - 1 END) top FROM r
-        WHERE rest > 0 AND upto - words < rest AND rest <= upto GROUP BY source)
+g AS (SELECT source, h, h2, sum(size) words, count(*) n FROM d GROUP BY ALL),
+r AS (SELECT g.source, h, h2, words, n, target - copies * source_size rest,
+             sum(words) OVER (PARTITION BY g.source ORDER BY h, h2) upto FROM g JOIN c ON g.source IS NOT DISTINCT FROM c.source),
+top AS (SELECT source, h top, h2 top2, least(n, floor((rest - (upto - words)) / (words / n) + 0.5)) more FROM r
+        WHERE rest > 0 AND upto - words < rest AND rest <= upto),
+i AS (SELECT *, row_number() OVER (PARTITION BY source, h, h2) i FROM d)
 SELECT doc_id, size, source_size, target,
-       CAST(size * (copies + CASE WHEN h <= coalesce(top, -1) THEN 1 ELSE 0 END) AS BIGINT) taken
-FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source LEFT JOIN top ON d.source IS NOT DISTINCT FROM top.source"""
+       CAST(size * (copies + CASE WHEN h < top OR h = top AND (h2 < top2 OR h2 = top2 AND i <= more) THEN 1 ELSE 0 END) AS BIGINT) taken
+FROM i JOIN c ON i.source IS NOT DISTINCT FROM c.source LEFT JOIN top ON i.source IS NOT DISTINCT FROM top.source"""
 
 QUERIES = {
     "op1_mixing": op1_mixing,

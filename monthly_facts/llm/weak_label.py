@@ -7,8 +7,10 @@ documents, and gives each pattern the posterior that its documents are good.
 The posteriors of a bounded sample, the ``TRAIN_DOCS`` or so different
 documents with the lowest hash, are the soft targets of a logistic model over ``DIMS`` hashed
 features (of each word: itself, the shapes of its head and tail, whether it
-repeats the word before); at most TRAIN_DOCS * DIMS
-numbers come to the driver. The model then scores every whole document.
+repeats the word before). The sample is chosen by hashes alone; its texts are
+turned into features in many tasks, a block at a time, and at most
+2 * TRAIN_DOCS * DIMS numbers come to the driver. The model then scores every
+whole document.
 
 Gold labels are not used; tests hold the scores against them.
 
@@ -175,19 +177,20 @@ def _patterns(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(read, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n"))
 
 
-def _training_rows(docs: DataFrame) -> DataFrame:
+def _training_rows(sample: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(0)):
+            for block in blocks(batch.column(1)):
                 pattern, doc = votes(block), np.tile(block.doc_of_word(), FEATURES)
                 keys, counts = np.unique(doc * DIMS + features(block).ravel(), return_counts=True)
                 edges = np.searchsorted(keys, np.arange(len(block) + 1) * DIMS)
                 col, val = keys % DIMS, counts / np.maximum(block.n_words, 1)[keys // DIMS]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(pattern), pa.LargeListArray.from_arrays(edges, pa.array(col.astype(np.int32))).cast(pa.list_(pa.int32())),
+                    [batch.column(0).slice(block.first, len(block)), pa.array(pattern),
+                     pa.LargeListArray.from_arrays(edges, pa.array(col.astype(np.int32))).cast(pa.list_(pa.int32())),
                      pa.LargeListArray.from_arrays(edges, pa.array(val.astype(np.float32))).cast(pa.list_(pa.float32()))],
-                    names=["pattern", "col", "val"])
-    return docs.select("text").mapInArrow(read, "pattern bigint, col array<int>, val array<float>")
+                    names=["h", "pattern", "col", "val"])
+    return sample.select("h", "text").mapInArrow(read, "h bigint, pattern bigint, col array<int>, val array<float>")
 
 
 def _scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
@@ -206,14 +209,16 @@ def _scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
 
 def training_sample(docs: DataFrame, total: int, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """The different (doc_id, text) of ``docs`` (``total`` rows) with the
-    lowest hashes, in their order: about ``train_docs``, at most twice that."""
+    """(h, doc_id, text) of the different (doc_id, text) of ``docs`` (``total``
+    rows) with the lowest hashes: about ``train_docs``, at most twice that."""
     # Hashed with the text, as many rows may have one id.
     key = F.concat_ws(" ", F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")))
-    part = docs.select("doc_id", "text", F.conv(F.substring(F.md5(key), 1, HASH_BITS // 4), 16, 10).cast("bigint").alias("h"))
+    hashed = docs.select("doc_id", "text", F.conv(F.substring(F.md5(key), 1, HASH_BITS // 4), 16, 10).cast("bigint").alias("h"))
     if total > train_docs:
-        part = part.where(F.col("h") < int(train_docs / total * (1 << HASH_BITS)))
-    return part.dropDuplicates(["doc_id", "text"]).orderBy("h", "doc_id", "text").limit(2 * train_docs).select("doc_id", "text")
+        hashed = hashed.where(F.col("h") < int(train_docs / total * (1 << HASH_BITS)))
+    # One task sees hashes only, no texts.
+    chosen = written(hashed.select("h").distinct().orderBy("h").limit(2 * train_docs), "label-sample")
+    return hashed.join(chosen, "h", "left_semi").dropDuplicates(["h"]).select("h", "doc_id", "text")
 
 
 def scored(docs: DataFrame, train_docs: int = TRAIN_DOCS, threshold: float = 0.5) -> DataFrame:
@@ -224,7 +229,7 @@ def scored(docs: DataFrame, train_docs: int = TRAIN_DOCS, threshold: float = 0.5
     total = int(counts["n"].sum())
     pattern = counts["pattern"].to_numpy(dtype=np.int64)
     posterior, _, _ = estimate(pattern, counts["n"].to_numpy(dtype=float)) if total else (np.zeros(0), None, 0)
-    sample = _training_rows(training_sample(docs, total, train_docs)).toPandas()
+    sample = _training_rows(training_sample(docs, total, train_docs)).toPandas().sort_values("h")
     known = dict(zip(pattern.tolist(), posterior.tolist()))
     soft = np.array([known.get(p, 0.5) for p in sample["pattern"].tolist()])
     weights = train([np.asarray(x) for x in sample["col"]], [np.asarray(x) for x in sample["val"]], soft)

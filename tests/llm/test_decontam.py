@@ -69,3 +69,26 @@ def test_empty(spark):
     assert decontam.contaminated(none, bench).collect() == []
     assert decontam.contaminated(docs, bench.limit(0)).collect() == []
     assert decontam.clean(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_shared_boilerplate_makes_few_pairs(spark, monkeypatch):
+    """300 items and 300 documents that share one sentence are not 90,000 pairs."""
+    rng = random.Random(8)
+    sentence = prose(rng, 15, 10**6)
+    items = [(i, sentence + " " + prose(rng, 20, 10**6)) for i in range(300)]
+    rows = [(i, prose(rng, 60, 10**6) + " " + sentence + " " + prose(rng, 60, 10**6), "en", "a", 1) for i in range(300)]
+    rows += [(1000 + i, prose(rng, 30, 10**6) + " " + items[i][1], "en", "a", 1) for i in range(5)]
+    seen, real = {}, decontam.written
+    monkeypatch.setattr(decontam, "written", lambda df, name: seen.setdefault(name, real(df, name)))
+    out = decontam.contaminated(docs_frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in out) == [(1000 + i, i) for i in range(5)]
+    assert seen["decontam-pairs"].count() < 100 and seen["decontam-candidates"].count() == 5
+
+
+def test_items_made_of_boilerplate_are_found(spark):
+    rng = random.Random(9)
+    sentence = prose(rng, 15, 10**6)
+    rows = [(i, prose(rng, 40, 10**6) + " " + (sentence if i % 2 else "") + " " + prose(rng, 40, 10**6), "en", "a", 1) for i in range(200)]
+    items = [(1, sentence), (2, sentence + " but more"), (3, prose(rng, 30, 10**6))]
+    out = decontam.contaminated(docs_frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted(((r.doc_id, r.item_id, r.n_shared, r.n_item) for r in out), key=str) == brute(rows, items) and len(out) == 200

@@ -242,6 +242,18 @@ def test_frequent_shingles_are_exact(spark):
     assert np.allclose(weights.idf[:8], 1 - math.log(1 / 3) / math.log(N.FLOOR))
 
 
+def test_long_texts_make_few_frequent_slots(spark, monkeypatch):
+    """Tasks with a few long texts each: chance makes no shingle frequent."""
+    rng = random.Random(4)
+    line = prose(rng, 12, 10**6)
+    texts = [(line + " " if i % 2 else "") + prose(rng, 40_000, 10**8) for i in range(40)]
+    docs = docs_frame(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)]).select("text").repartition(20)
+    monkeypatch.setattr(N, "FLOOR", 4)
+    assert 8 <= N._frequent_slots(docs, 40).count() < 100
+    assert N._frequent_slots(docs, 10**9).count() > 10**6   # as it would be if each partition were judged alone
+    assert len(N.frequent_shingles(docs).hashes) == 8
+
+
 def test_components(spark):
     rng = random.Random(6)
     links = [(i + 1, i) for i in range(200)] + [(rng.randrange(300, 600), rng.randrange(300, 600)) for _ in range(150)] + [(-5, -9)]

@@ -37,6 +37,16 @@ def test_repeated_rows_are_paged(spark):
     check(collected(sharding.sharded(docs_frame(spark, rows), 1000)), rows, 1000)
 
 
+def test_one_id_with_many_texts(spark):
+    rows = [(1, f"{i:060d}", "en", "a", 1) for i in range(200)] + [(2, "s" * 60, "en", c, 1) for c in "abcde"]
+    rows += [(3, "t" * 250, "en", "a", i) for i in range(3)] + [(4, "u" * 30, "en", "a", 1)] * 9
+    out = collected(sharding.sharded(docs_frame(spark, rows), 100))
+    check(out, rows, 100)
+    # Several rows of one id share a shard where they fit.
+    assert max(sum(r["shard"] == s for r in out) for s in {r["shard"] for r in out}) == 3
+    check(collected(sharding.sharded(docs_frame(spark, rows), 1000)), rows, 1000)
+
+
 def test_only_large_buckets_split(spark):
     rows = [(i, "z" * 100, "en", "a", 1) for i in range(400)]
     out = collected(sharding.sharded(docs_frame(spark, rows), 2000))
@@ -60,7 +70,8 @@ def test_empty(spark):
 
 @pytest.mark.parametrize("limit", [700, 5000])
 def test_sql_agrees(spark, limit):
-    docs = docs_frame(spark, awkward_rows() + [(1000, "same " * 50, "en", "a", 1)] * 7)
+    rows = [(1001, f"{i:0{50 + i % 3}d}", "en", "a", 1) for i in range(150)] + [(1002, "x" * 90, "en", c, 1) for c in "abcdefghij"]
+    docs = docs_frame(spark, awkward_rows() + [(1000, "same " * 50, "en", "a", 1)] * 7 + rows)
     documents = docs.toPandas()  # noqa: F841
     sql = sharding.sharding_sql(limit, "(SELECT * REPLACE (CAST(doc_id AS BIGINT) AS doc_id) FROM documents)")
     want = duckdb.connect().execute(sql).fetchall()

@@ -1,7 +1,87 @@
+import collections
+import math
+import re
+
 import numpy as np
 
 from monthly_facts.llm import weak_label as W
-from tests.llm.helpers import awkward_rows, collected, docs_frame
+from monthly_facts.llm.fertility import SYMBOLS
+from monthly_facts.llm.words import hash_spans, mix64
+from tests.llm.helpers import awkward_rows, collected, docs_frame, words
+
+
+def plain_votes(text):
+    """The votes of one text, word by word."""
+    found, text = words(text), text or ""
+    n = max(len(found), 1)
+    raw = [w.encode() for w in found]
+    windows = collections.Counter(zip(found, found[1:], found[2:]))
+    covered = {k + d for k in range(len(found) - 2) if windows[tuple(found[k:k + 3])] > 1 for d in range(3)}
+    lines = [x for x in text.split("\n") if words(x)]
+    seen = {
+        "not_plain": sum(not re.fullmatch(rb"[A-Za-z\x80-\xff]+[.,]?", w) for w in raw) / n,
+        "echo": sum(a == b for a, b in zip(found, found[1:])) / n,
+        "repeats": len(covered) / n,
+        "symbols": sum(text.count(chr(c)) for c in SYMBOLS) / n,
+        "bars": text.count("|") / n,
+        "shouting": sum(len(re.findall(rb"[A-Z]", w)) > 1 and not re.search(rb"[a-z]", w) for w in raw) / n,
+        "marks": (text.count("!") + text.count("?")) / n,
+        "dup_lines": (len(lines) - len(set(lines))) / n,
+    }
+    return tuple(W.ABSTAIN if len(found) < W.MIN_VOTE_WORDS else W.GOOD if seen[name] <= low else W.BAD if seen[name] >= high else W.ABSTAIN
+                 for name, low, high in W.LABELLERS)
+
+
+def plain_posteriors(patterns):
+    """Expectation maximisation over a Counter of votes, number by number."""
+    prior, m = 0.8, len(W.LABELLERS)
+    table = [[[0.4, 0.35, 0.25], [0.4, 0.58, 0.02]] for _ in range(m)]
+    for _ in range(W.ROUNDS):
+        post = {}
+        for v in patterns:
+            bad, good = (math.log(p) + sum(math.log(table[k][c][v[k]]) for k in range(m)) for c, p in ((0, 1 - prior), (1, prior)))
+            post[v] = 1 / (1 + math.exp(min(700.0, bad - good)))
+        table = [[[1.0 + sum(n * (post[v] if c else 1 - post[v]) for v, n in patterns.items() if v[k] == x) for x in range(3)] for c in range(2)]
+                 for k in range(m)]
+        table = [[[x / sum(row) for x in row] for row in both] for both in table]
+        prior = (sum(n * post[v] for v, n in patterns.items()) + 1) / (sum(patterns.values()) + 2)
+    return post
+
+
+def plain_hash(raw):
+    data = np.frombuffer(raw + bytes(8), dtype=np.uint8)
+    return int(hash_spans(data, np.array([0]), np.array([len(raw)]))[0])
+
+
+def plain_score(text, weights):
+    found, total = words(text), 0.0
+    shape = lambda raw: bytes(W._CLASS[b] for b in raw)
+    for k, w in enumerate(found):
+        raw = w.encode()
+        hashes = [plain_hash(shape(raw)[:2]), plain_hash(shape(raw)[-4:]), int(k > 0 and found[k - 1] == w)]
+        at = [plain_hash(raw) % W.DIMS] + [int(mix64(np.array([(h + i) % 2**64], dtype=np.uint64))[0]) % W.DIMS for i, h in enumerate(hashes, start=1)]
+        total += sum(weights[a] for a in at)
+    return 1 / (1 + math.exp(-(total / max(len(found), 1) + weights[-1])))
+
+
+def test_against_plain_python(spark, monkeypatch):
+    """Votes, posterior, score and verdict of every awkward row."""
+    rows = awkward_rows() + [
+        (200, "LOUD WORDS ARE LOUD HERE AND THERE", "en", "a", 1), (201, "what?! no!! why??? yes! ok?", "en", "a", 1),
+        (202, "a | b | c | d | e | f", "en", "a", 1), (203, "one line of words\none line of words\n\nother line", "en", "a", 1),
+        (204, "# $ % & * < > | # $", "en", "a", 1), (205, "the the the cat cat sat sat on", "en", "a", 1), (206, "x, y. z été, où? 1 2 3", "fr", "a", 1)]
+    kept, real = [], W.train
+    monkeypatch.setattr(W, "train", lambda *a: kept.append(real(*a)) or kept[-1])
+    out = collected(W.scored(docs_frame(spark, rows)))
+    (weights,) = kept
+    voted = [plain_votes(r[1]) for r in rows]
+    post = plain_posteriors(collections.Counter(voted))
+    key = lambda x: (x[0] is None, x[0] or 0, x[1], round(x[3], 6))
+    want = sorted(((r[0], "".join(map(str, v)), post[v], plain_score(r[1], weights), len(words(r[1])) > 0) for r, v in zip(rows, voted)), key=key)
+    got = sorted(((r["doc_id"], r["votes"], r["posterior"], r["score"], r["kept"]) for r in out), key=key)
+    for g, w in zip(got, want, strict=True):
+        assert g[:2] == w[:2] and abs(g[2] - w[2]) < 1e-9 and abs(g[3] - w[3]) < 1e-9
+        assert g[4] == (w[3] >= 0.5 and w[4])
 
 
 def test_estimate_finds_accuracies():
@@ -53,10 +133,10 @@ def test_sample_is_not_filled_with_copies(spark):
         rows = [(taken, "the same row", "en", "a", 1)] * 1000 + [(taken + 1, f"text {i}", "en", "a", 1) for i in range(1000)]
         rows += [(10000 + i, f"other {i}", "en", "a", 1) for i in range(1000)]
         docs = docs_frame(spark, rows)
-        sample = [(r["doc_id"], r["text"]) for r in W.training_sample(docs, len(rows), 300).collect()]
+        sample = [(r["doc_id"], r["text"]) for r in W.training_sample(docs, len(rows), 300).orderBy("h").collect()]
         assert len(set(sample)) == len(sample) and 120 < len(sample) < 280
         assert 60 < sum(d == taken + 1 for d, _ in sample) < 140 and 60 < sum(d >= 10000 for d, _ in sample) < 140
-        again = W.training_sample(docs.repartition(7), len(rows), 300).collect()
+        again = W.training_sample(docs.repartition(7), len(rows), 300).orderBy("h").collect()
         assert [(r["doc_id"], r["text"]) for r in again] == sample
 
 
