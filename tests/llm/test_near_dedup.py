@@ -250,7 +250,7 @@ def test_long_texts_make_few_frequent_slots(spark, monkeypatch):
     docs = docs_frame(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)]).select("text").repartition(20)
     monkeypatch.setattr(N, "FLOOR", 4)
     assert 8 <= N._frequent_slots(docs, 40).count() < 100
-    assert N._frequent_slots(docs, 10**9).count() > 10**6   # as it would be if each partition were judged alone
+    assert N._frequent_slots(docs, 10**9).count() > 10**5   # as it would be if each partition were judged alone
     assert len(N.frequent_shingles(docs).hashes) == 8
 
 
