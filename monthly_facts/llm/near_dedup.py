@@ -246,7 +246,7 @@ def _frequent_slots(texts: DataFrame, total: int) -> DataFrame:
                 counts[slots] += n.astype(np.uint32)
                 docs += len(block)
         if docs:
-            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(counts * np.uint64(FLOOR) > docs))], names=["slot"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(counts > docs // FLOOR))], names=["slot"])
 
     tasks = max(1, total // GROUP_DOCS)
     texts = texts.coalesce(tasks) if texts.rdd.getNumPartitions() > tasks else texts
