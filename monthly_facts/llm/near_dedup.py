@@ -73,7 +73,7 @@ OUTLINE, STEPS = 256, 64
 FIRST_PARTNERS = 1
 MAX_BUCKET = 4096
 GROUP_ROWS = 64
-PAIRS_AT_ONCE = 1 << 15
+PAIRS_AT_ONCE = 1 << 14
 BITMAP_BITS = 23
 # Documents of a task that names frequent slots, at least.
 GROUP_DOCS = 1024
@@ -83,6 +83,7 @@ HASH_MASK = np.uint64((1 << (64 - DOC_BITS)) - 1)
 
 _U = np.uint64
 _SLOT = _U((1 << BITMAP_BITS) - 1)
+_MOST = 65535
 
 
 def _shingles(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,14 +240,14 @@ def _frequent_slots(texts: DataFrame, total: int) -> DataFrame:
     """(slot): low bits of shingles in more than 1/FLOOR of the documents of
     some task; every shingle in more than 1/FLOOR of all has its slot here."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, docs = np.zeros(1 << BITMAP_BITS, dtype=np.uint32), 0
+        counts, docs = np.zeros(1 << BITMAP_BITS, dtype=np.uint16), 0   # up to _MOST, which then stands for more
         for batch in batches:
             for block in _shingle_blocks(batch.column(0)):
                 slots, n = np.unique((_shingles(block)[1] & _SLOT).astype(np.int32), return_counts=True)
-                counts[slots] += n.astype(np.uint32)
+                counts[slots] = np.minimum(counts[slots] + n, _MOST)
                 docs += len(block)
         if docs:
-            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(counts > docs // FLOOR))], names=["slot"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(counts > min(docs // FLOOR, _MOST - 1)))], names=["slot"])
 
     tasks = max(1, total // GROUP_DOCS)
     texts = texts.coalesce(tasks) if texts.rdd.getNumPartitions() > tasks else texts
