@@ -85,7 +85,8 @@ def _file_positions(spark: SparkSession, path: str, *columns) -> DataFrame:
     # One row per file: few, so one task may order them.
     before = F.coalesce(F.sum("n").over(Window.orderBy(*files).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = rows.groupBy(*files).agg(F.count(F.lit(1)).alias("n")).withColumn("s", before)
-    return rows.join(starts, files).withColumn("ord", F.col("s") + F.col("i") + 1).select(*columns, "ord")
+    # Broadcast, as the rows would else be shuffled with the names of their files.
+    return rows.join(F.broadcast(starts), files).withColumn("ord", F.col("s") + F.col("i") + 1).select(*columns, "ord")
 
 
 def _tree(spark: SparkSession, parts: dict[str, DataFrame], name: str) -> str:
