@@ -52,6 +52,14 @@ def _bronze(spark: SparkSession, d: str) -> DataFrame:
     return TD.bronze_from_tables(spark, d)
 
 
+def _landed_bronze(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows landed by source first, for queries that read them more
+    than once: the join is done once, and filters on the source prune folders."""
+    out = fresh_dir(spark, "extracts")
+    mf.land_bronze(TD.extracts_from_tables(spark, d), out)
+    return TD.as_bronze(mf.read_bronze(spark, out).select(*TD.EXTRACT_COLUMNS))
+
+
 def _silver(spark: SparkSession, d: str) -> DataFrame:
     return mf.derive_silver(_bronze(spark, d))
 
@@ -327,7 +335,7 @@ def q_resume_from_silver(spark, d):
     root = fresh_dir(spark, "resume")
     broken = _NoGold(root)
     write_new(spark, broken.gold, "x")
-    bronze = _bronze(spark, d)
+    bronze = _landed_bronze(spark, d)
     try:
         mf.ingest(spark, bronze, broken, TODAY, start=START, keep_silver=True)
     except Exception:  # noqa: BLE001 - the failure this query is about
@@ -416,7 +424,7 @@ def q_run_rules(spark, d):
 
 def q_bronze_tree_gold(spark, d):
     """Landed from a foreign tree, then ingested."""
-    tree = mf.read_bronze_tree(spark, _tree(spark, {"all": _bronze(spark, d)}, "tree"))
+    tree = mf.read_bronze_tree(spark, _tree(spark, {"all": _landed_bronze(spark, d)}, "tree"))
     layout = mf.Layout(fresh_dir(spark, "from-tree"))
     mf.land_bronze(tree, layout.bronze, rebalance=False)
     mf.ingest(spark, mf.read_bronze(spark, layout.bronze), layout, TODAY, start=START)
@@ -426,7 +434,7 @@ def q_bronze_tree_gold(spark, d):
 def _broken_tree(spark: SparkSession, d: str) -> str:
     """March sources lack a measure, May ones store a number, and June ones
     have a second file that is no Parquet file."""
-    bronze = _bronze(spark, d)
+    bronze = _landed_bronze(spark, d)
     month = F.month(source_month_date(S.SOURCE_COL))
     root = _tree(spark, {"good": bronze.where(~month.isin(3, 5)),
                          "lacking": bronze.where(month == 3).drop("PA_VALPRO"),
@@ -459,7 +467,7 @@ def _csv_tree(spark: SparkSession, d: str) -> str:
     order; without a column that is not required, with a foreign one between;
     with a column twice; May ones lack a measure, and June ones have a second
     file with a short and a long row."""
-    bronze = _bronze(spark, d).select(S.SOURCE_COL, S.FACILITY, S.PROCEDURE, S.MUNICIPALITY, *S.MEASURES, "PA_CMP")
+    bronze = _landed_bronze(spark, d).select(S.SOURCE_COL, S.FACILITY, S.PROCEDURE, S.MUNICIPALITY, *S.MEASURES, "PA_CMP")
     month, root = F.month(source_month_date(S.SOURCE_COL)), fresh_dir(spark, "csv")
     back = [S.SOURCE_COL, *reversed(bronze.columns[1:])]
     parts = {
@@ -476,7 +484,7 @@ def _csv_tree(spark: SparkSession, d: str) -> str:
         lines = df.select(S.SOURCE_COL, F.to_csv(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(c for c in df.columns if c != S.SOURCE_COL)])).alias("value"))
         head = lines.select(S.SOURCE_COL).distinct().select(S.SOURCE_COL, F.lit(",".join(names)).alias("value"))
         both = head.withColumn("o", F.lit(0)).unionByName(lines.withColumn("o", F.lit(1)))
-        both.repartition(4, S.SOURCE_COL).sortWithinPartitions(S.SOURCE_COL, "o").drop("o").write.partitionBy(S.SOURCE_COL).text(f"{root}-parts/{part}")
+        both.repartition(S.SOURCE_COL).sortWithinPartitions(S.SOURCE_COL, "o").drop("o").write.partitionBy(S.SOURCE_COL).text(f"{root}-parts/{part}")
         for (source,) in partition_values(spark, f"{root}-parts/{part}", S.SOURCE_COL):
             rename_folder(spark, f"{root}-parts/{part}/{S.SOURCE_COL}={source}", f"{root}/{part}/{source}")
     for r in bronze.where(month == 6).select(S.SOURCE_COL).distinct().collect():

@@ -17,6 +17,7 @@ from monthly_facts import schema as S
 # The group and state used for the test source names.
 TEST_GROUP = "PA"
 TEST_STATE = "CE"
+EXTRACT_COLUMNS = [S.FACILITY, S.PROCEDURE, S.MUNICIPALITY, *S.MEASURES, S.SOURCE_COL]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_bronze(extracts_from_tables(spark, sf_dir))
+
+
+def as_bronze(extracts: DataFrame) -> DataFrame:
+    """All columns of bronze: those that the extracts lack are NULL."""
+    return extracts.select(*[F.col(c) if c in extracts.columns else F.lit(None).cast("string").alias(c) for c in S.COLUMNS_OF_INTEREST],
+                           S.SOURCE_COL)
+
+
+def extracts_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of bronze that the tables have."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_partkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_shipdate"
     )
@@ -42,7 +54,7 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "PA_QTDAPR": F.when(returned, F.lit(0).cast("bigint")).otherwise(qty),
     }
     # Bronze is text: codes keep their digits, measures are read by the rollup.
-    cols = [mapped.get(c, F.lit(None)).cast("string").alias(c) for c in S.COLUMNS_OF_INTEREST]
+    cols = [c.cast("string").alias(name) for name, c in mapped.items()]
     source = F.concat(F.lit(TEST_GROUP + TEST_STATE), F.date_format("l_shipdate", "yyMM"))
     return j.select(*cols, source.alias(S.SOURCE_COL))
 
