@@ -45,7 +45,8 @@ def _bad(measure: str) -> Column:
     return F.col(_text(measure)).isNotNull() & F.col(measure).isNull()
 
 
-def _with_month_names(sums: DataFrame, *more: str) -> DataFrame:
+def with_month_names(sums: DataFrame, *more: str) -> DataFrame:
+    """The gold columns of sums by the four keys."""
     return (
         sums.withColumn(S.YEAR_COL, year_of(S.DATE_COL))
         .withColumn(S.MONTH_NAME_COL, month_name(S.DATE_COL))
@@ -53,7 +54,7 @@ def _with_month_names(sums: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def rollup(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
+def sums(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
     """Sum the four measures per (facility, Ano, Mes, data_ref, municipality,
     procedure).
 
@@ -68,26 +69,29 @@ def rollup(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
 
     ``Ano`` and ``Mes`` are functions of ``data_ref`` in silver, so the hash
     key is the four independent keys and the two are derived once per output
-    row: same groups, a narrower shuffle and no month-name formatting per
-    input row.
+    row (``rollup``, or behind the shuffle of a write): same groups, a narrower
+    shuffle and no month-name formatting per input row.
     """
     def strict(m: str) -> Column:
         message = F.concat(F.lit(f"{m} is not a number: "), F.col(_text(m)))
         return F.when(_bad(m), F.raise_error(message)).otherwise(F.col(m))
 
-    sums = _measures(silver, round_quantities).groupBy(*_KEYS).agg(*[F.sum(strict(m)).alias(m) for m in S.MEASURES])
-    return _with_month_names(sums)
+    return _measures(silver, round_quantities).groupBy(*_KEYS).agg(*[F.sum(strict(m)).alias(m) for m in S.MEASURES])
+
+
+def rollup(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
+    """``sums`` with the year and the month's name: the gold columns."""
+    return with_month_names(sums(silver, round_quantities))
 
 
-def counted_rollup(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
-    """``rollup`` that does not fail: texts that are no numbers are left out of
+def counted_sums(silver: DataFrame, round_quantities: bool = False) -> DataFrame:
+    """``sums`` that does not fail: texts that are no numbers are left out of
     the sums, and ``bad_rows`` counts the rows of a group that have any."""
     bad = _bad(S.MEASURES[0])
     for m in S.MEASURES[1:]:
         bad = bad | _bad(m)
-    sums = _measures(silver, round_quantities).groupBy(*_KEYS).agg(
+    return _measures(silver, round_quantities).groupBy(*_KEYS).agg(
         *[F.sum(m).alias(m) for m in S.MEASURES], F.count_if(bad).alias(BAD_ROWS))
-    return _with_month_names(sums, BAD_ROWS)
 
 
 def with_month_partition(gold: DataFrame) -> DataFrame:

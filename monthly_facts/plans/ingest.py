@@ -9,8 +9,7 @@
    facts. The bronze filter is on the month parsed from the source name, i.e.
    on the bronze partition column, so only pending sources are read. The rollup
    carries, beside its sums, the number of rows whose measures are not numbers;
-   it is persisted (memory, then executor disk; a lost part is worked out
-   again), its bad months are looked up in it, and all others are written as
+   it is persisted (executor disk; a lost part is worked out again), its bad months are looked up in it, and all others are written as
    month partitions with dynamic overwrite, in one job.
 3. Bad months are reported ``failed`` with column, count and an example (their
    sources alone are looked at again for that) and stay pending; so do months
@@ -40,7 +39,7 @@ from pyspark.sql import functions as F
 from monthly_facts import schema as S
 from monthly_facts.functions.months import source_month_date
 from monthly_facts.operators import dims as D
-from monthly_facts.operators.gold import BAD_ROWS, counted_rollup, rollup, unparsed
+from monthly_facts.operators.gold import BAD_ROWS, counted_sums, sums, unparsed
 from monthly_facts.operators.incremental import (
     PUBLICATION_LAG_MONTHS,
     available_months,
@@ -143,7 +142,8 @@ def _say_bad(silver: DataFrame, round_quantities: bool, errors: dict[tuple[int,
 
 def _land(silver: DataFrame, layout: Layout, round_quantities: bool, errors: dict[tuple[int, int], str]) -> None:
     """Roll up and write every month without bad texts, from one scan."""
-    counted = counted_rollup(silver, round_quantities).persist(StorageLevel.MEMORY_AND_DISK)
+    # On disk: in memory it would take the room of the sorts that follow.
+    counted = counted_sums(silver, round_quantities).persist(StorageLevel.DISK_ONLY)
     try:
         found = counted.groupBy(S.DATE_COL).agg(F.sum(BAD_ROWS).alias("n")).collect()
         bad = [r[S.DATE_COL] for r in found if r["n"]]
@@ -151,7 +151,7 @@ def _land(silver: DataFrame, layout: Layout, round_quantities: bool, errors: dic
             _say_bad(silver.where(F.col(S.DATE_COL).isin(bad)), round_quantities, errors)
         good = counted.where(~F.col(S.DATE_COL).isin(bad)) if bad else counted
         if len(found) > len(bad):
-            write_month_partitions(good.select(*S.GOLD_COLUMNS), layout.gold)
+            write_month_partitions(good.drop(BAD_ROWS), layout.gold, names=True)
     finally:
         counted.unpersist()
 
@@ -169,7 +169,7 @@ def _land_through_silver(spark: SparkSession, bronze: DataFrame, layout: Layout,
         write_silver(silver_for_months(silver, [m for m in fresh if m not in errors]), layout.silver)
     months = [m for m in month_folders(spark, layout.silver) if m in set(months)]
     if months:
-        write_month_partitions(rollup(_stored_silver(spark, layout, months), round_quantities), layout.gold)
+        write_month_partitions(sums(_stored_silver(spark, layout, months), round_quantities), layout.gold, names=True)
 
 
 def ingest(spark: SparkSession, bronze: DataFrame, layout: Layout, today: _dt.date,

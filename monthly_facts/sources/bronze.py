@@ -161,11 +161,12 @@ def land_bronze(extracts: DataFrame, path: str, mode: str = "overwrite",
     missing = [c for c in [S.SOURCE_COL, *REQUIRED] if c not in extracts.columns]
     if missing:
         raise ValueError(f"extracts lack columns {missing}")
-    out = extracts.select(
+    out = extracts.hint("rebalance", S.SOURCE_COL) if rebalance else extracts
+    # Columns that are NULL throughout are added behind the shuffle and the
+    # writer's sort: neither carries them.
+    out = out.sortWithinPartitions(S.SOURCE_COL).select(
         *[(F.col(c) if c in extracts.columns else F.lit(None)).cast("string").alias(c) for c in S.COLUMNS_OF_INTEREST],
         S.SOURCE_COL)
-    if rebalance:
-        out = out.hint("rebalance", S.SOURCE_COL)
     (
         out
         .write.mode(mode)

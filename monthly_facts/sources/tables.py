@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 
 from monthly_facts import schema as S
 from monthly_facts.functions.months import partition_value
-from monthly_facts.operators.gold import with_month_partition
-from monthly_facts.sources.files import partition_values, path_exists
+from monthly_facts.operators.gold import with_month_names, with_month_partition
+from monthly_facts.sources.files import make_folder, partition_values, path_exists
 
 
 @dataclass(frozen=True)
@@ -181,7 +181,8 @@ def register_views(spark: SparkSession, layout: Layout) -> list[str]:
 # -------------------------------------------------------------------- writes
 
 def write_month_partitions(df: DataFrame, path: str, sort_keys: list[str] | None = None,
-                           compression: str = "snappy", rebalance: bool = True) -> None:
+                           compression: str = "snappy", rebalance: bool = True,
+                           names: bool = False) -> None:
     """Write rows with ``data_ref`` into ``ref_ano=/ref_mes=`` partitions,
     replacing only the months present in ``df``.
 
@@ -193,6 +194,10 @@ def write_month_partitions(df: DataFrame, path: str, sort_keys: list[str] | None
 
     ``rebalance=False`` skips that shuffle for inputs whose tasks already hold
     one month each (silver read from a bronze landed per source file).
+
+    With ``names`` the rows are sums that lack ``Ano`` and ``Mes``, which are
+    added behind the shuffle and the sort. A path that cannot be a folder fails
+    at once, before anything is computed.
     """
     keys = sort_keys if sort_keys is not None else [S.MUNICIPALITY, S.FACILITY, S.PROCEDURE]
     out = with_month_partition(df)
@@ -200,6 +205,9 @@ def write_month_partitions(df: DataFrame, path: str, sort_keys: list[str] | None
         out = out.hint("rebalance", S.PART_YEAR, S.PART_MONTH)
     if keys:
         out = out.sortWithinPartitions(S.PART_YEAR, S.PART_MONTH, *keys)
+    if names:
+        out = with_month_names(out, S.PART_YEAR, S.PART_MONTH)
+    make_folder(df.sparkSession, path)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from monthly_facts import schema as S
 from monthly_facts.functions.months import source_month_date
-from monthly_facts.operators.gold import rollup
+from monthly_facts.operators.gold import sums
 from monthly_facts.operators.incremental import months_frame
 from monthly_facts.operators.silver import derive_silver, silver_for_months
 from monthly_facts.sources.bronze import landed_schema, read_bronze
@@ -51,7 +51,7 @@ def refresh_months(spark: SparkSession, bronze_path: str, gold_path: str,
     if not months:
         return
     silver = silver_for_months(derive_silver(read_bronze(spark, bronze_path)), months)
-    write_month_partitions(rollup(silver), gold_path)
+    write_month_partitions(sums(silver), gold_path, names=True)
 
 
 def _notes(checkpoint_path: str) -> str:
