@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 # Source file names are <group:2 letters><state:2 letters><yy><mm>,
 # optionally followed by a split-file suffix (e.g. PACE2401, PACE2401a).
 SOURCE_NAME_PATTERN = r"^([A-Za-z]{2})([A-Za-z]{2})(\d{2})(\d{2})"
+# The same with a month that exists.
+SOURCE_MONTH_PATTERN = r"^[A-Za-z]{4}\d{2}(?:0[1-9]|1[0-2])"
 # The century is fixed to 20 for the two-digit year in the name.
 CENTURY_PREFIX = "20"
 # Months are rendered by their English name, e.g. January.
@@ -40,10 +42,9 @@ def source_month_date(name: str | Column) -> Column:
     month outside 01-12, yields NULL instead of failing the job.
     """
     c = _col(name)
-    yy = F.regexp_extract(c, SOURCE_NAME_PATTERN, 3)
-    mm = F.regexp_extract(c, SOURCE_NAME_PATTERN, 4)
-    text = F.concat(F.lit(CENTURY_PREFIX), yy, F.lit("-"), mm)
-    return F.try_to_date(text, "yyyy-MM")
+    # One match per row; behind it the digits are at fixed places.
+    year = F.concat(F.lit(CENTURY_PREFIX), F.substring(c, 5, 2)).try_cast("int")
+    return F.when(c.rlike(SOURCE_MONTH_PATTERN), F.make_date(year, F.substring(c, 7, 2).try_cast("int"), F.lit(1)))
 
 
 def year_of(d: str | Column) -> Column:
@@ -71,9 +72,16 @@ def month_start(year: str | Column, month: str | Column) -> Column:
 
 
 def partition_value(path: str | Column, key: str) -> Column:
-    """Integer value of ``key=<digits>`` inside a path, NULL when absent."""
-    raw = F.regexp_extract(_col(path), rf"(?:^|/){key}=(\d+)(?:/|$)", 1)
-    return F.when(raw == "", F.lit(None).cast("int")).otherwise(raw.cast("int"))
+    """Integer value of ``key=<digits>`` inside a path, NULL when absent.
+
+    The first folder of that name is cut out as text; the whole path is
+    searched only where its value is not all digits."""
+    c = _col(path)
+    name = f"/{key}="
+    first = F.substring_index(F.substring_index(F.substring_index(F.concat(F.lit("/"), c), name, 2), name, -1), "/", 1)
+    digits = (first != "") & (F.translate(first, "0123456789", "") == "")
+    found = F.regexp_extract(c, rf"(?:^|/){key}=(\d+)(?:/|$)", 1)
+    return F.when(digits, first.cast("int")).when(c.contains(f"{key}=") & (found != ""), found.cast("int"))
 
 
 def month_key_leq(year: str | Column, month: str | Column, limit: tuple[int, int]) -> Column:

@@ -54,3 +54,28 @@ def test_partition_value(spark):
     rows = df.select(partition_value("p", "ano").alias("a"), partition_value("p", "mes").alias("m")).collect()
     assert (rows[0].a, rows[0].m) == (2024, 3)
     assert (rows[1].a, rows[1].m) == (None, 1)
+
+
+ODD_PATHS = ["ano=2024/mes=1", "/a/ano=/ano=2020/f", "/a/ano=x/ano=2021/f", "/a/ano=12x/f", "/a/xano=2024/f", "/a/ano=2024",
+             "/a/ano= 7/f", "/a/ano=+7/f", "/a/ano=-7/f", "/ano=1/ano=2/f", "", "/", "ano=", "/a/ano=5\n", "/a/ano=007/f", "/a/ANO=3/f", None]
+ODD_NAMES = ["PACE0000", "PACE9912", "PACE0010x", " PACE2401", "PACÉ2401", "PACE24٠1", "PA\nE2401", "PACE2401\n", "x\nPACE2401", "PACE240", "", None]
+
+
+def test_month_helpers_read_each_path_and_name_cheaply(spark):
+    """The same values as of a search of the whole text and a date parser, which
+    no row of the usual form goes through."""
+    paths = spark.createDataFrame([(i, p) for i, p in enumerate(ODD_PATHS)], "i int, p string")
+    raw = F.regexp_extract("p", r"(?:^|/)ano=(\d+)(?:/|$)", 1)
+    got = paths.select("p", partition_value("p", "ano").alias("a"), F.when(raw != "", raw.cast("int")).alias("b"))
+    assert all(r.a == r.b for r in got.collect()) and got.where("a IS NOT NULL").count() == 7
+    names = spark.createDataFrame([(n,) for n in ODD_NAMES], "p string")
+    part = [F.regexp_extract("p", r"^([A-Za-z]{2})([A-Za-z]{2})(\d{2})(\d{2})", k) for k in (3, 4)]
+    got = names.select("p", source_month_date("p").alias("a"),
+                       F.try_to_date(F.concat(F.lit("20"), part[0], F.lit("-"), part[1]), "yyyy-MM").alias("b"))
+    assert all(r.a == r.b for r in got.collect()) and got.where("a IS NOT NULL").count() == 3
+
+    def plan(c):
+        return paths.select(c.alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "gettimestamp" not in plan(source_month_date("p"))
+    text = plan(partition_value("p", "ano"))
+    assert text.startswith("Project [") and text.index("translate(substring_index(") < text.index("regexp_extract(")
