@@ -2,19 +2,27 @@
 shingles, banded, verified by weighted Jaccard similarity.
 
 A document is its 5-word shingles (a text of one to four words is one
-shingle), each with weight tf * idf. idf runs from 2 for a shingle in at most
-a ``FLOOR``-th of all documents down to 1 for one in all, logarithmically:
-boilerplate weighs less, and a large group of copies cannot make its own
-shingles weightless. Exact document counts are needed for frequent shingles
-only. A shingle in more than 1/FLOOR of all documents is in more than 1/FLOOR
-of the documents of some task, so each task counts its documents' shingles in
-an array of fixed size (a slot per low bits of the hash) and names the slots
-that are as frequent there; a second pass counts the shingles of the named
-slots over all documents. Where texts are so long that a task would hold less
-than ``GROUP_DOCS`` documents, tasks read several partitions, so that chance
-does not make their slots frequent. What is left is at most FLOOR times the
-mean number of shingles per document; it goes to the executors as a broadcast
-variable, once each.
+shingle), each with weight tf * idf, idf = 1 + log(documents / documents with
+the shingle), to the base ``FLOOR``: 1 for a shingle in all documents, 2 for
+one in a FLOOR-th of them, and more for rarer ones.
+
+With ``every_shingle``, as the queries have it, that holds for every shingle.
+Tasks send their documents' shingles to parts of the hashes (more of them for
+more text); a part counts the documents of each of its shingles and sends the
+counts above one back to each text, where they meet the text itself: its sketch
+is made there, and the counts stay with it for the comparisons. No table of
+shingles is held whole anywhere.
+
+Without it idf is capped at 2, the share of a FLOOR-th, so that exact document
+counts are needed for frequent shingles only. A shingle in more than 1/FLOOR of
+all documents is in more than 1/FLOOR of the documents of some task, so each
+task counts its documents' shingles in an array of fixed size (a slot per low
+bits of the hash) and names the slots that are as frequent there; a second pass
+counts the shingles of the named slots over all documents. Where texts are so
+long that a task would hold less than ``GROUP_DOCS`` documents, tasks read
+several partitions, so that chance does not make their slots frequent. What is
+left is at most FLOOR times the mean number of shingles per document; it goes to
+the executors as a broadcast variable, once each.
 
 Samples: each of ``BANDS * ROWS`` samples is drawn over all of a document's
 weighted shingles. For sample k a shingle of weight w has fixed random r and c
@@ -23,7 +31,7 @@ a = c / (y exp(r)); the shingle of the lowest a, with its t, is the sample. Two
 documents agree in a sample with the probability of their weighted Jaccard
 similarity. r and b come from a table of 2^16 points and c from one of 2^16
 quantiles, addressed by bits of a hash of shingle and k, so that the common
-weight (a shingle once in a text, idf 2) costs table look-ups only.
+weight (a shingle once in a text, of the highest idf) costs table look-ups only.
 ``BANDS`` bands of ``ROWS`` samples each name a bucket.
 
 Links, in two steps. First all members of a bucket are held against one
@@ -52,17 +60,20 @@ rows are copies; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthly_facts.llm.tables import OWN, written
-from monthly_facts.llm.words import Block, blocks, gram_hashes, gram_starts, hash_spans, mix64
+from monthly_facts.llm.words import Block, blocks, gram_hashes, gram_starts, hash_spans, mix64, ranges
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -79,8 +90,14 @@ BITMAP_BITS = 23
 GROUP_DOCS = 1024
 # Documents of one block share a 64-bit key: 10 bits of document, 54 of hash.
 DOC_BITS = 10
+HASH_BITS = 64 - DOC_BITS
 HASH_MASK = np.uint64((1 << (64 - DOC_BITS)) - 1)
 
+# Parts of the hashes, as bits: 48 bits are left of a hash at most. Bytes of
+# text to a part, about.
+LEAST_PART_BITS = HASH_BITS - 48
+PART_BYTES = 1 << 24
+
 _U = np.uint64
 _SLOT = _U((1 << BITMAP_BITS) - 1)
 _MOST = 65535
@@ -116,14 +133,16 @@ class Weights:
     """idf of shingles: the frequent ones by their document counts, all
     others the highest."""
 
+    common = 2.0
+
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int):
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         share = np.clip(counts[order] / max(total, 1), 1 / FLOOR, 1)
         self.idf = 1 - np.log(share) / np.log(FLOOR)
 
-    def of(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        idf = np.full(len(hashes), 2.0)
+    def of(self, hashes: np.ndarray, counts: np.ndarray, docs: np.ndarray | None = None) -> np.ndarray:
+        idf = np.full(len(hashes), self.common)
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
             known = self.hashes[at] == hashes
@@ -131,6 +150,20 @@ class Weights:
         return counts * idf
 
 
+class FullWeights:
+    """idf of shingles by the document counts of every one, ``docs``."""
+
+    def __init__(self, total: int):
+        self.total = max(total, 1)
+        self.common = float(self._idf(np.ones(1))[0])
+
+    def _idf(self, docs: np.ndarray) -> np.ndarray:
+        return 1 - np.log(docs / self.total) / np.log(FLOOR)
+
+    def of(self, hashes: np.ndarray, counts: np.ndarray, docs: np.ndarray | None = None) -> np.ndarray:
+        return counts * self._idf(docs)
+
+
 def _gamma_quantiles(n: int) -> np.ndarray:
     """Quantiles of Gamma(2, 1) at the middles of n equal parts, by bisection
     of 1 - (1 + x) exp(-x)."""
@@ -147,7 +180,6 @@ def _gamma_quantiles(n: int) -> np.ndarray:
 _R = np.repeat(_gamma_quantiles(256), 256).astype(np.float32)
 _B = np.tile((np.arange(256) + 0.5) / 256, 256).astype(np.float32)
 _C = _gamma_quantiles(1 << 16).astype(np.float32)
-COMMON = 2.0
 
 
 def _step(ln_w: np.ndarray | float, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,17 +189,23 @@ def _step(ln_w: np.ndarray | float, at: np.ndarray) -> tuple[np.ndarray, np.ndar
     return t.astype(np.int64), np.exp(-r * (t - b + 1)).astype(np.float32)
 
 
-_COMMON_T, _COMMON_SHARE = _step(np.float32(np.log(COMMON)), np.arange(1 << 16))
+@functools.cache
+def _common_step(weight: float) -> tuple[np.ndarray, np.ndarray]:
+    """(t, 1 / (y exp(r))) of the common weight at all points of the table."""
+    return _step(np.float32(np.log(weight)), np.arange(1 << 16))
+
+
 _SEEDS = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(32)).astype(np.uint32) | np.uint32(1)
 # Shingles that are sampled at once, so that they stay in the cache (a longer
 # document alone is more).
 SAMPLED_AT_ONCE = 1 << 14
 
 
-def _sample(hashes: np.ndarray, weights: np.ndarray, edges: np.ndarray) -> np.ndarray:
+def _sample(hashes: np.ndarray, weights: np.ndarray, edges: np.ndarray, common: float) -> np.ndarray:
     """The samples of documents, whose shingles start at ``edges``."""
     n = len(hashes)
-    other = np.flatnonzero(weights != COMMON)
+    common_t, common_share = _common_step(common)
+    other = np.flatnonzero(weights != common)
     ln_w = np.log(weights[other]).astype(np.float32)
     low, high = hashes.astype(np.uint32), (hashes >> _U(32)).astype(np.uint32)
     x, y, at, share, c = np.empty(n, np.uint32), np.empty(n, np.uint32), np.empty(n, np.intp), np.empty(n, np.float32), np.empty(n, np.float32)
@@ -185,13 +223,13 @@ def _sample(hashes: np.ndarray, weights: np.ndarray, edges: np.ndarray) -> np.nd
         x ^= y
         np.right_shift(x, 16, out=y)
         at[:] = y
-        np.take(_COMMON_SHARE, at, out=share, mode="clip")
+        np.take(common_share, at, out=share, mode="clip")
         pairs[:, 0] = x
         if len(other):
             # The sample's name is its shingle's hash and what its t has over
             # that of the common weight.
             t, share[other] = _step(ln_w, at[other])
-            pairs[other, 0] += ((t - _COMMON_T[at[other]]) * 0x9E3779B1).astype(np.uint32)
+            pairs[other, 0] += ((t - common_t[at[other]]) * 0x9E3779B1).astype(np.uint32)
         np.bitwise_and(x, 0xFFFF, out=y)
         at[:] = y
         np.take(_C, at, out=c, mode="clip")
@@ -204,17 +242,21 @@ def _sample(hashes: np.ndarray, weights: np.ndarray, edges: np.ndarray) -> np.nd
 def samples(block: Block, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
     """(documents with shingles, their samples)."""
     doc, hashes, counts = _shingles(block)
+    return _samples(doc, hashes, weights.of(hashes, counts), weights.common)
+
+
+def _samples(doc: np.ndarray, hashes: np.ndarray, w: np.ndarray, common: float) -> tuple[np.ndarray, np.ndarray]:
     if not len(doc):
         return np.zeros(0, dtype=np.int64), np.zeros((0, BANDS * ROWS), dtype=np.uint64)
     # Hashes of 54 bits are spread over 64 first.
-    w, hashes = weights.of(hashes, counts), mix64(hashes)
+    hashes = mix64(hashes)
     edges = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
     ends = np.append(edges[1:], len(doc))
     parts, first = [], 0
     while first < len(edges):
         last = max(first + 1, int(np.searchsorted(ends, edges[first] + SAMPLED_AT_ONCE, side="right")))
         at = slice(edges[first], ends[last - 1])
-        parts.append(_sample(hashes[at], w[at], edges[first:last] - edges[first]))
+        parts.append(_sample(hashes[at], w[at], edges[first:last] - edges[first], common))
         first = last
     return doc[edges], np.concatenate(parts)
 
@@ -290,6 +332,151 @@ def frequent_shingles(texts: DataFrame) -> Weights:
     return Weights(found["shingle"].to_numpy(dtype=np.int64).view(np.uint64), found["n"].to_numpy(dtype=np.int64), total)
 
 
+# ----------------------------------------------------------- every shingle
+
+def _sent(keyed: DataFrame, bits: int) -> DataFrame:
+    """(part, nodes, sizes, low, high): the different shingles of some
+    documents in one part of the hashes, as many of each node as ``sizes``
+    say, by their lowest 32 bits and the next 16."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = np.asarray(batch.column(0))
+            for block in _shingle_blocks(batch.column(1)):
+                doc, hashes, _ = _shingles(block)
+                part = (hashes >> _U(HASH_BITS - bits)).astype(np.uint16 if bits <= 16 else np.int64)
+                order = np.argsort(part, kind="stable")
+                part, doc, hashes = part[order], doc[order], hashes[order] & _U((1 << (HASH_BITS - bits)) - 1)
+                runs = np.flatnonzero((np.diff(part, prepend=part[:1] + 1) != 0) | (np.diff(doc, prepend=-1) != 0))
+                first = np.flatnonzero(np.diff(part[runs], prepend=part[:1] + 1))
+                at = np.append(runs[first], len(part))
+                of = pa.array(np.append(first, len(runs)), type=pa.int32())
+                low, high = hashes.astype("<u4"), (hashes >> _U(32)).astype("<u2")
+                spans = list(zip(at[:-1].tolist(), at[1:].tolist()))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(part[at[:-1]], type=pa.int64()),
+                    pa.ListArray.from_arrays(of, pa.array(nodes[block.first + doc[runs]], type=pa.int64())),
+                    pa.ListArray.from_arrays(of, pa.array(np.diff(np.append(runs, len(part))), type=pa.int64())),
+                    pa.array([low[a:b].tobytes() for a, b in spans], type=pa.binary()),
+                    pa.array([high[a:b].tobytes() for a, b in spans], type=pa.binary())], names=["part", "nodes", "sizes", "low", "high"])
+    return keyed.select("node", "text").mapInArrow(
+        read, "part bigint, nodes array<bigint>, sizes array<bigint>, low binary, high binary")
+
+
+def _document_counts(keyed: DataFrame, bits: int) -> DataFrame:
+    """(node, part, shingles, docs): the shingles of each text that other
+    documents have too, and how many documents have them."""
+    def answers(part: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        nodes, sizes = (np.concatenate([r[k] for r in rows]) for k in range(2))
+        low, high = (np.frombuffer(b"".join(r[k] for r in rows), dtype=t) for k, t in ((2, "<u4"), (3, "<u2")))
+        hashes = (high.astype(np.uint64) << _U(32)) | low
+        order = np.argsort(hashes)
+        sorted_ = hashes[order]
+        edges = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1], True])
+        docs = np.empty(len(hashes), dtype=np.int64)
+        docs[order] = np.repeat(np.diff(edges), np.diff(edges))
+        del order, sorted_, edges
+        # Rows of equal texts have equal answers.
+        _, once = np.unique(nodes, return_index=True)
+        starts = np.cumsum(sizes) - sizes
+        for i in range(0, len(once), 10_000):
+            some = once[i:i + 10_000]
+            at = ranges(starts[some], sizes[some])
+            owner = np.repeat(np.arange(len(some)), sizes[some])
+            keep = docs[at] > 1
+            at, per = at[keep], np.bincount(owner[keep], minlength=len(some))
+            have = per > 0
+            of = pa.array(np.append(0, np.cumsum(per[have])), type=pa.int32())
+            yield pa.RecordBatch.from_arrays([
+                pa.array(nodes[some[have]]), pa.array(np.full(int(have.sum()), part)),
+                pa.ListArray.from_arrays(of, _signed(hashes[at] | (_U(part) << _U(HASH_BITS - bits)))),
+                pa.ListArray.from_arrays(of, pa.array(docs[at]))], names=["node", "part", "shingles", "docs"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for part, nodes, sizes, low, high in zip(*(batch.column(k) for k in range(5))):
+                if held and part.as_py() != now:
+                    yield from answers(now, held)
+                    held = []
+                now = part.as_py()
+                held.append((np.array(nodes.values), np.array(sizes.values), low.as_py(), high.as_py()))
+        if held:
+            yield from answers(now, held)
+    return _sent(keyed, bits).repartition("part").sortWithinPartitions("part").mapInArrow(
+        read, "node bigint, part bigint, shingles array<bigint>, docs array<bigint>")
+
+
+def _once_a_task(keyed: DataFrame) -> DataFrame:
+    """(node, text): each text once of each task, so that many copies are not
+    many rows of one node."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            new = []
+            for i, node in enumerate(batch.column(0).to_pylist()):
+                if node not in seen:
+                    seen.add(node)
+                    new.append(i)
+            yield batch.take(pa.array(new, type=pa.int64()))
+    return keyed.select("node", "text").mapInArrow(read, "node bigint, text string")
+
+
+def _full_sketches(keyed: DataFrame, total: int, text_bytes: int) -> DataFrame:
+    """(node, bands, docs): one row per different text that has words; docs
+    are the document counts of its shingles, in order of their hashes."""
+    bits = max(LEAST_PART_BITS, math.ceil(math.log2(max(text_bytes / PART_BYTES, 1))))
+    counted = _document_counts(keyed, bits)
+    rows = _once_a_task(keyed).select("node", F.lit(-1).cast("bigint").alias("part"), "text",
+                        F.lit(None).cast("array<bigint>").alias("shingles"), F.lit(None).cast("array<bigint>").alias("docs")).unionByName(
+        counted.withColumn("text", F.lit(None).cast("string"))).repartition("node").sortWithinPartitions("node", "part")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = FullWeights(total)
+
+        def sketched(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            node, part = (table.column(k).to_numpy() for k in range(2))
+            # A text's row is its first; the others of the part -1 are copies.
+            first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+            texts = table.column(2).take(pa.array(first)).combine_chunks()
+            told = table.filter(pa.array(part >= 0))
+            shingles, docs = (told.column(k).combine_chunks().flatten().to_numpy() for k in (3, 4))
+            owner = np.repeat(np.searchsorted(node[first], told.column(0).to_numpy()), pc.list_value_length(told.column(3)).to_numpy())
+            for block in _shingle_blocks(texts):
+                doc, hashes, counts = _shingles(block)
+                n = np.ones(len(hashes), dtype=np.int64)
+                a, b = np.searchsorted(owner, [block.first, block.first + len(block)])
+                known = ((owner[a:b] - block.first).astype(np.uint64) << _U(HASH_BITS)) | shingles[a:b].view(np.uint64)
+                n[np.searchsorted((doc.astype(np.uint64) << _U(HASH_BITS)) | hashes, known)] = docs[a:b]
+                have, sig = _samples(doc, hashes, weights.of(hashes, counts, n), weights.common)
+                edges = np.searchsorted(doc, np.append(have, len(block))).tolist()
+                n = n.astype("<i8")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[first][have + block.first]),
+                     pa.ListArray.from_arrays(np.arange(len(have) + 1, dtype=np.int32) * BANDS, _signed(bands(sig).ravel())),
+                     pa.array([n[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], type=pa.binary())], names=["node", "bands", "docs"])
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            node = table.column(0).to_numpy()
+            # The last node may go on in the next batch.
+            cut = int(np.searchsorted(node, node[-1]))
+            if cut:
+                yield from sketched(table.slice(0, cut))
+            held = table.slice(cut)
+        if held is not None:
+            yield from sketched(held)
+    return rows.select("node", "part", "text", "shingles", "docs").mapInArrow(read, "node bigint, bands array<bigint>, docs binary")
+
+
+def _docs_of(docs: pa.Array, block: Block) -> np.ndarray | None:
+    """The document counts of a block's shingles (null: not counted)."""
+    of = docs.slice(block.first, len(block))
+    return None if of.null_count else np.frombuffer(b"".join(of.to_pylist()), dtype="<i8")
+
+
 # ------------------------------------------------------------------- nodes
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -306,7 +493,7 @@ def _representatives(keyed: DataFrame) -> DataFrame:
 
 
 def _sketches(keyed: DataFrame, shared: Broadcast[Weights]) -> DataFrame:
-    """(node, bands): one row per different text that has words."""
+    """(node, bands, docs): one row per different text that has words."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
@@ -318,30 +505,30 @@ def _sketches(keyed: DataFrame, shared: Broadcast[Weights]) -> DataFrame:
                     names=["node", "bands"])
     found = keyed.select("node", "text").mapInArrow(read, "node bigint, bands array<bigint>")
     # Equal texts have equal sketches; partial aggregation keeps one per task.
-    return found.groupBy("node").agg(F.any_value("bands").alias("bands"))
+    return found.groupBy("node").agg(F.any_value("bands").alias("bands")).withColumn("docs", F.lit(None).cast("binary"))
 
 
-def outlines(block: Block, weights: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def outlines(block: Block, weights: Weights | FullWeights, docs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(documents with shingles, their weight, their outlines)."""
     doc, hashes, counts = _shingles(block)
-    w = weights.of(hashes, counts)
+    w = weights.of(hashes, counts, docs)
     have, row = np.unique(doc, return_inverse=True)
     at = row * OUTLINE + (hashes >> _U(64 - DOC_BITS - 8)).astype(np.int64)
     steps = np.ceil(np.bincount(at, weights=w, minlength=len(have) * OUTLINE) * STEPS)
     return have, np.bincount(row, weights=w, minlength=len(have)), np.minimum(steps, 65535).astype("<u2").reshape(-1, OUTLINE)
 
 
-def _outlines(texts: DataFrame, shared: Broadcast[Weights]) -> DataFrame:
-    """(node, weight, outline) of ``texts`` (node, text)."""
+def _outlines(texts: DataFrame, shared: Broadcast[Weights | FullWeights]) -> DataFrame:
+    """(node, weight, outline) of ``texts`` (node, text, docs)."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
             for block in _shingle_blocks(batch.column(1)):
-                have, weight, steps = outlines(block, weights)
+                have, weight, steps = outlines(block, weights, _docs_of(batch.column(2), block))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(have + block.first)), pa.array(weight),
                      pa.array([row.tobytes() for row in steps], type=pa.binary())], names=["node", "weight", "outline"])
-    return texts.select("node", "text").mapInArrow(read, "node bigint, weight double, outline binary")
+    return texts.select("node", "text", "docs").mapInArrow(read, "node bigint, weight double, outline binary")
 
 
 # ------------------------------------------------------------------- links
@@ -353,7 +540,7 @@ def _with_hub(entries: DataFrame) -> DataFrame:
     return entries.join(hubs.where("n > 1").select("bucket", "hub"), "bucket")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, known: Broadcast[Weights], similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, known: Broadcast[Weights | FullWeights], similarity: float) -> DataFrame:
     """Of ``pairs`` (node, hub) those at least ``similarity`` alike. A hub's
     members come in groups of about GROUP_ROWS, each sorted behind a copy of
     the hub's text and read as a stream."""
@@ -371,7 +558,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, known: Broadcast[Weights], sim
             out = []
             for block in _shingle_blocks(batch.column(3)):
                 doc, hashes, counts = _shingles(block)
-                w = weights.of(hashes, counts)
+                w = weights.of(hashes, counts, _docs_of(batch.column(4), block))
                 edges = np.searchsorted(doc, np.arange(len(block) + 1))
                 for d in range(len(block)):
                     own, own_w = hashes[edges[d]:edges[d + 1]], w[edges[d]:edges[d + 1]]
@@ -385,7 +572,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, known: Broadcast[Weights], sim
                     if shared >= (similarity - 1e-9) * (head_sum + own_w.sum() - shared):
                         out.append((nodes[k], hubs[k]))
             yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in (list(zip(*out)) or [(), ()])], names=["node", "hub"])
-    return rows.select("hub", "node", "member", "text").mapInArrow(compare, "node bigint, hub bigint")
+    return rows.select("hub", "node", "member", "text", "docs").mapInArrow(compare, "node bigint, hub bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -525,12 +712,20 @@ def _possible(rows: DataFrame, partners: int | None, similarity: float) -> DataF
     return rows.repartition("block").sortWithinPartitions("block").mapInArrow(read, "node bigint, hub bigint").distinct()
 
 
-def _linked(keyed: DataFrame, reps: DataFrame, weights: Broadcast[Weights], similarity: float) -> DataFrame:
+def _linked(keyed: DataFrame, reps: DataFrame, similarity: float, every_shingle: bool) -> DataFrame:
     """(node, comp) of all nodes that have a link."""
-    sketches = written(_sketches(keyed, weights), "near-sketches")
+    share = keyed.sparkSession.sparkContext.broadcast
+    if every_shingle:
+        total, text_bytes = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+        weights = share(FullWeights(total))
+        sketches = written(_full_sketches(keyed, total, text_bytes), "near-sketches")
+    else:
+        weights = share(frequent_shingles(keyed.select("text")))
+        sketches = written(_sketches(keyed, weights), "near-sketches")
+    counts, sketches = sketches.select("node", "docs"), sketches.select("node", "bands")
     members = written(_with_hub(sketches.select(F.explode("bands").alias("bucket"), "node")), "near-members")
     wanted = written(members.select("node").distinct().join(reps, "node"), "near-wanted")
-    texts = written(_texts(keyed, wanted), "near-texts")
+    texts = written(_texts(keyed, wanted).join(counts, "node"), "near-texts")
     tested = written(members.where("node <> hub").select(
         F.greatest("node", "hub").alias("node"), F.least("node", "hub").alias("hub")).distinct(), "near-pairs")
     links = written(_verified(tested, texts, weights, similarity), "near-links")
@@ -552,28 +747,27 @@ def _linked(keyed: DataFrame, reps: DataFrame, weights: Broadcast[Weights], simi
         partners = FIRST_PARTNERS if linked else None
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, similarity: float = SIMILARITY, every_shingle: bool = False) -> tuple[DataFrame, DataFrame]:
     """(keyed documents, (node, rep) where rep is the lowest document of the
     node's class)."""
     keyed = _keyed(docs)
-    weights = docs.sparkSession.sparkContext.broadcast(frequent_shingles(keyed.select("text")))
     reps = written(_representatives(keyed), "near-reps")
-    comps = _linked(keyed, reps, weights, similarity)
+    comps = _linked(keyed, reps, similarity, every_shingle)
     labelled = reps.join(comps, "node", "left").select("node", "rep", F.coalesce("comp", "node").alias("comp"))
     lowest = labelled.groupBy("comp").agg(F.min("rep").alias("rep"))
     return keyed, written(labelled.select("node", "comp").join(lowest, "comp").select("node", "rep"), "near-classes")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, every_shingle: bool = False) -> DataFrame:
     """doc_id, class_id: one row per row of ``docs``."""
-    keyed, of = classes(docs, similarity)
+    keyed, of = classes(docs, similarity, every_shingle)
     return keyed.select("doc_id", "node").join(of, "node").select("doc_id", F.col("rep.doc_id").alias("class_id"))
 
 
-def unique_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def unique_documents(docs: DataFrame, similarity: float = SIMILARITY, every_shingle: bool = False) -> DataFrame:
     """One row of ``docs`` of each class: its lowest document."""
     node, d = OWN + "node", OWN + "d"
-    _, of = classes(docs, similarity)
+    _, of = classes(docs, similarity, every_shingle)
     kept = written(of.where(F.col("rep.node") == F.col("node")).select(
         F.col("node").alias(node), F.col("rep.doc_id").alias(d), F.col("rep.n").alias(OWN + "n")), "near-kept")
     rows = docs.join(kept, (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(node))

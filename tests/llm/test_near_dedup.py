@@ -254,6 +254,65 @@ def test_long_texts_make_few_frequent_slots(spark, monkeypatch):
     assert len(N.frequent_shingles(docs).hashes) == 8
 
 
+def every_weight(rows):
+    """Shingle weights of every row by plain TF-IDF."""
+    all_ = [shingles(r[1]) for r in rows]
+    df = collections.Counter(s for c in all_ for s in c)
+    return [{s: n * (1 + math.log(len(rows) / df[s]) / math.log(N.FLOOR)) for s, n in c.items()} for c in all_]
+
+
+def brute_every(rows, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setitem(globals(), "weighted", every_weight)
+        return brute(rows)
+
+
+def rare_and_frequent(seed):
+    """Edited copies near the threshold: how much rarer own shingles are than
+    those of a pair or of a group decides, below 1/FLOOR of the documents."""
+    rng = random.Random(seed)
+    rows = []
+    for g in range(30):
+        text = prose(rng, 150, 10**6)
+        rows += [(1000 + 10 * g + k, edited(rng, text, rng.choice([0.004, 0.01, 0.015, 0.02])), "en", "a", 1) for k in range(rng.randrange(2, 8))]
+    return rows + [(5000 + i, prose(rng, 8, 10**6), "en", "a", 1) for i in range(300)]
+
+
+def test_queries_count_every_shingle(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+    from monthly_facts.llm import queries
+
+    rows = awkward_rows(3) + rare_and_frequent(5) + repeated_lines(6, 3)
+    want = brute_every(rows, monkeypatch)
+    assert sum(a != b for a, b in zip(want, brute(rows))) > 5
+    docs_frame(spark, rows, clash=True).repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    got = collected(queries.op2_near_dedup(spark, str(tmp_path)))
+    assert sorted((str(r["doc_id"]), str(r["class_id"])) for r in got) == want
+    kept = collected(corpus_pipeline.near_dedup_stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)))
+    with monkeypatch.context() as m:
+        m.setitem(globals(), "weighted", every_weight)
+        assert sorted(str(r["doc_id"]) for r in kept) == sorted(str(c) for c in classes_of(rows).values())
+
+
+@pytest.mark.parametrize("part_bytes", [N.PART_BYTES, 16, 1])
+def test_document_counts_of_every_shingle(spark, monkeypatch, part_bytes):
+    monkeypatch.setattr(N, "PART_BYTES", part_bytes)
+    rows = awkward_rows(8) + families(9, 6)
+    keyed = N._keyed(docs_frame(spark, rows).repartition(3))
+    got = {r["node"]: np.frombuffer(r["docs"], dtype="<i8") for r in N._full_sketches(keyed, len(rows), sum(len(r[1] or "") for r in rows)).collect()}
+    df = collections.Counter(s for r in rows for s in shingles(r[1]))
+    nodes = {r["text"]: r["node"] for r in keyed.collect()}
+    assert len(got) == len({t for t in nodes if words(t)})
+    for text, node in nodes.items():
+        if words(text):
+            assert sorted(got[node].tolist()) == sorted(df[s] for s in shingles(text))
+
+
+def test_copies_are_one_row_of_a_task(spark):
+    rows = [(i, "one text that many have" if i % 2 else prose(random.Random(i), 9), "en", "a", 1) for i in range(400)]
+    assert N._once_a_task(N._keyed(docs_frame(spark, rows).repartition(4))).count() == 200 + 4
+
+
 def test_components(spark):
     rng = random.Random(6)
     links = [(i + 1, i) for i in range(200)] + [(rng.randrange(300, 600), rng.randrange(300, 600)) for _ in range(150)] + [(-5, -9)]
@@ -268,3 +327,10 @@ def test_components(spark):
 def test_empty(spark):
     docs = docs_frame(spark, [])
     assert N.near_duplicates(docs).collect() == [] and N.unique_documents(docs).collect() == []
+
+
+def test_empty_with_every_shingle(spark):
+    for rows in ([], [(1, None, None, None, None), (2, " ", "en", "a", 1)]):
+        docs = docs_frame(spark, rows)
+        assert sorted(r["doc_id"] for r in N.near_duplicates(docs, every_shingle=True).collect()) == [r[0] for r in rows]
+        assert len(N.unique_documents(docs, every_shingle=True).collect()) == len(rows)
